@@ -138,13 +138,6 @@ def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def parsed_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The collections after a pass through JSON text, without files."""
-    text = F.to_json(F.struct("type", "metadata", "features"), {"ignoreNullFields": "false"})
-    parsed = F.from_json(text, schema.COLLECTION)
-    return collections(spark, sf_dir).select(parsed.alias("document")).select("document.*")
-
-
 # What silver must hold of those features. Times are without a zone.
 SILVER_CTE = f"""WITH e AS (
   SELECT *, {PLACE_SQL} AS place, json_extract_string(props, '$.k') AS k FROM events

@@ -296,7 +296,7 @@ def epoch_to_text(spark, sf_dir):
 
 
 def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_rows(i.parsed_collections(spark, sf_dir), load_ts=i.LOAD_TS)
+    return silver_rows(i.collections(spark, sf_dir), load_ts=i.LOAD_TS)
 
 
 @_query(i.SILVER_SQL)
@@ -306,8 +306,8 @@ def flatten_collections(spark, sf_dir):
 
 @_query(i.SILVER_TEXT_SQL)
 def flatten_text_variant(spark, sf_dir):
-    parsed = i.parsed_collections(spark, sf_dir)
-    return i.silver_text_view(silver_rows(parsed, variant="text", load_ts=i.LOAD_TS))
+    rows = silver_rows(i.collections(spark, sf_dir), variant="text", load_ts=i.LOAD_TS)
+    return i.silver_text_view(rows)
 
 
 @_query(i.SILVER_SQL)
@@ -338,9 +338,9 @@ def landing_features(spark, sf_dir):
 @_query(i.SILVER_TEXT_SQL)
 def silver_text_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "silver")
-    rows = silver_rows(i.parsed_collections(spark, sf_dir), variant="text", load_ts=i.LOAD_TS)
+    rows = silver_rows(i.collections(spark, sf_dir), variant="text", load_ts=i.LOAD_TS)
     write_silver(rows, path, "overwrite", variant="text")
-    return i.silver_text_view(scan_silver(spark, path, "text"))
+    return i.silver_text_view(scan_silver(spark, path, "text", partitioned=False))
 
 
 @_query(f"{i.SILVER_SQL} UNION ALL SELECT {i.SILVER_COLUMNS_SQL} FROM silver")
@@ -348,7 +348,7 @@ def silver_append(spark, sf_dir):
     path = scratch_path(spark, "silver")
     write_silver(_typed(spark, sf_dir), path, "append")
     write_silver(_typed(spark, sf_dir), path, "append")
-    return i.silver_view(scan_silver(spark, path))
+    return i.silver_view(scan_silver(spark, path, partitioned=False))
 
 
 @_query(i.SILVER_SQL)
@@ -356,7 +356,7 @@ def silver_overwrite(spark, sf_dir):
     path = scratch_path(spark, "silver")
     write_silver(_typed(spark, sf_dir), path, "overwrite")
     write_silver(_typed(spark, sf_dir), path, "overwrite")
-    return i.silver_view(scan_silver(spark, path))
+    return i.silver_view(scan_silver(spark, path, partitioned=False))
 
 
 def _through_table(spark: SparkSession, fill) -> DataFrame:

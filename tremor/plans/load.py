@@ -7,6 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tremor import schema
 from tremor.operators.flatten import explode_features, flatten, transform
 from tremor.sinks import write_silver, write_table
 from tremor.sources import (
@@ -28,10 +29,10 @@ TABLE_PARTITIONS = ("feed", "load_date")
 
 @dataclass(frozen=True)
 class Load:
-    """Where a load went."""
+    """Where a load went: its id, and the silver folder of its feed and day."""
 
     load_id: str
-    path: str
+    day: str
 
 
 def silver_rows(
@@ -104,7 +105,7 @@ def load(
         rebalance=rebalance,
     )
 
-    written = Load(load_id, f"{day}/load_id={load_id}")
+    written = Load(load_id, day)
     if table is not None:
         fresh = loaded_rows(spark, written, variant)
         fresh = fresh.withColumns(
@@ -115,5 +116,6 @@ def load(
 
 
 def loaded_rows(spark: SparkSession, done: Load, variant: str = "typed") -> DataFrame:
-    """The silver rows that one load wrote."""
-    return scan_silver(spark, done.path, variant)
+    """The silver rows that one load wrote; the filter leaves only its folder to read."""
+    rows = scan_silver(spark, done.day, variant)
+    return rows.where(F.col("load_id") == done.load_id).drop(*schema.SILVER_PARTITIONS.names)

@@ -122,8 +122,10 @@ ANALYSIS_COLUMNS = {
     "text": {"mag": "magnitude", "loaded": "insert_date"},
 }
 
-# Partition columns of landing and silver folders.
-PARTITIONS = _struct(("feed", "string"), ("load_date", "date"))
+# Partition columns of landing and silver folders. Each load has a silver folder
+# of its own, named after its id.
+LANDING_PARTITIONS = _struct(("feed", "string"), ("load_date", "date"))
+SILVER_PARTITIONS = _struct(("feed", "string"), ("load_date", "date"), ("load_id", "string"))
 
 
 def silver_schema(variant: str) -> T.StructType:

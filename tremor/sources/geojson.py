@@ -49,8 +49,7 @@ def scan_raw_json(spark: SparkSession, path: str, fields: T.StructType = schema.
 
     A file is read by one task; use this for documents, not for bulk data.
     """
-    text = spark.read.text(path, wholetext=True)
-    return text.select(F.from_json("value", fields).alias("document")).select("document.*")
+    return spark.read.schema(fields).option("multiLine", True).json(path)
 
 
 def parse_feature(df: DataFrame, col: str) -> DataFrame:

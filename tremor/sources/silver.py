@@ -1,14 +1,21 @@
 """Scan of silver Parquet."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tremor import schema
 
 
-def scan_silver(spark: SparkSession, path: str, variant: str = "typed") -> DataFrame:
+def scan_silver(
+    spark: SparkSession, path: str, variant: str = "typed", partitioned: bool = True
+) -> DataFrame:
     """Silver rows with their declared schema, so that no footer is read for it.
 
-    Read at the root, ``feed``, ``load_date`` and ``load_id`` follow as
-    partition columns, and filters on them skip whole folders.
+    ``feed``, ``load_date`` and ``load_id`` follow as partition columns, and
+    filters on them skip whole folders. A folder written without partitions is
+    read with ``partitioned=False``.
     """
-    return spark.read.schema(schema.silver_schema(variant)).parquet(path)
+    fields = schema.silver_schema(variant)
+    if partitioned:
+        fields = T.StructType([*fields, *schema.SILVER_PARTITIONS])
+    return spark.read.schema(fields).parquet(path)

@@ -13,7 +13,7 @@ from tremor import schema
 from tremor.plans.load import silver_rows
 from tremor.sinks import write_silver
 
-_PARTITIONS = tuple(schema.PARTITIONS.names)
+_PARTITIONS = tuple(schema.LANDING_PARTITIONS.names)
 
 
 def landing_stream(
@@ -30,7 +30,7 @@ def landing_stream(
     files once they are loaded, which keeps the listing of the folder short.
     """
     fields = schema.COLLECTION if layout == "collections" else schema.FEATURE
-    reader = spark.readStream.schema(T.StructType([*fields, *schema.PARTITIONS])).options(**options)
+    reader = spark.readStream.schema(T.StructType([*fields, *schema.LANDING_PARTITIONS])).options(**options)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(landing)
@@ -70,7 +70,7 @@ def load_incremental(
             silver,
             "overwrite",
             variant=variant,
-            partition_by=(*_PARTITIONS, "load_id"),
+            partition_by=tuple(schema.SILVER_PARTITIONS.names),
             replace_partitions=True,
         )
 
