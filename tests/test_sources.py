@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from feed import collection, feature, land
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, WriterCommitMessage
 
 from tremor import schema
 from tremor.operators.flatten import explode_features
@@ -141,7 +141,7 @@ def test_table_modes(spark):
     spark.sql("DROP TABLE modes")
 
 
-def test_connector_tables(spark):
+def test_connector_tables(spark, tmp_path):
     class Echo(DataSource):
         """A connector that answers with the table's name and an option."""
 
@@ -161,9 +161,27 @@ def test_connector_tables(spark):
 
             return Reader()
 
+        def writer(self, schema, overwrite):
+            options = self.options
+
+            class Writer(DataSourceWriter):
+                def write(self, rows):
+                    with open(f"{options['folder']}/{options['table']}-{overwrite}", "a") as out:
+                        out.writelines(f"{row.name}\n" for row in rows)
+                    return WriterCommitMessage()
+
+            return Writer()
+
     spark.dataSource.register(Echo)
     assert tuple(scan_table(spark, "a.b.c", "echo", project="p").first()) == ("a.b.c", "p")
 
+    df = spark.createDataFrame([("x", "y")], "name string, project string")
+    for mode in ("append", "overwrite"):
+        write_table(df, "t", mode, fmt="echo", folder=str(tmp_path))
+    assert [(tmp_path / f"t-{over}").read_text() for over in (False, True)] == ["x\n"] * 2
+    with pytest.raises(ValueError):
+        write_table(df, "t", "replace_partition", fmt="echo")
+
 
 def test_completed_orders(spark):
     orders = spark.createDataFrame(

@@ -38,10 +38,12 @@ _QUERIES: dict[str, Query] = {}
 _ORACLE: dict[str, str] = {}
 
 
-def _query(sql: str):
+def _query(sql: str, name: str | None = None):
+    """Register a query under its function's name, or under another."""
+
     def register(build: Query) -> Query:
-        _QUERIES[build.__name__] = build
-        _ORACLE[build.__name__] = sql
+        _QUERIES[name or build.__name__] = build
+        _ORACLE[name or build.__name__] = sql
         return build
 
     return register
@@ -262,16 +264,20 @@ def analysis_suite(spark, sf_dir):
 # ---- functions -------------------------------------------------------------
 
 
-@_query(i.QUAKES_SQL + "SELECT id, regexp_extract(place, 'of (.+)$', 1) AS area FROM q")
-def area_by_tail(spark, sf_dir):
+@_query(
+    i.QUAKES_SQL + "SELECT id, regexp_extract(place, 'of (.+)$', 1) AS area FROM q",
+    name="area_tail",
+)
+def _area_tail(spark, sf_dir):
     return i.quakes(spark, sf_dir).select("id", area_tail("place").alias("area"))
 
 
 @_query(
     i.QUAKES_SQL
-    + "SELECT id, trim(array_to_string(string_split(place, ',')[2:], ', ')) AS area FROM q"
+    + "SELECT id, trim(array_to_string(string_split(place, ',')[2:], ', ')) AS area FROM q",
+    name="area_comma",
 )
-def area_by_comma(spark, sf_dir):
+def _area_comma(spark, sf_dir):
     return i.quakes(spark, sf_dir).select("id", area_comma("place").alias("area"))
 
 
@@ -281,14 +287,14 @@ def _epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("SELECT event_id AS id, date_trunc('second', ts) AS time FROM events")
-def epoch_to_timestamp(spark, sf_dir):
+def epoch_to_ts(spark, sf_dir):
     return _epochs(spark, sf_dir).select(
         "id", epoch_ms_to_ts("millis").cast("timestamp_ntz").alias("time")
     )
 
 
 @_query("SELECT event_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time FROM events")
-def epoch_to_text(spark, sf_dir):
+def epoch_to_str(spark, sf_dir):
     return _epochs(spark, sf_dir).select("id", epoch_ms_to_str("millis").alias("time"))
 
 
@@ -318,14 +324,14 @@ def flatten_feature_text(spark, sf_dir):
 
 
 @_query(i.SILVER_SQL)
-def landing_collections(spark, sf_dir):
+def flatten_roundtrip(spark, sf_dir):
     path = landing_path(scratch_path(spark, "landing"), "daily", i.LOAD_DATE)
     write_landing(i.collections(spark, sf_dir), path)
     return i.silver_view(silver_rows(scan_geojson(spark, path), load_ts=i.LOAD_TS))
 
 
 @_query(i.SILVER_SQL)
-def landing_features(spark, sf_dir):
+def features_roundtrip(spark, sf_dir):
     path = landing_path(scratch_path(spark, "landing"), "historical", i.LOAD_DATE, "dated")
     write_landing(i.single_features(spark, sf_dir), path)
     rows = silver_rows(scan_features(spark, path), layout="features", load_ts=i.LOAD_TS)
@@ -336,7 +342,7 @@ def landing_features(spark, sf_dir):
 
 
 @_query(i.SILVER_TEXT_SQL)
-def silver_text_roundtrip(spark, sf_dir):
+def silver_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "silver")
     rows = silver_rows(i.collections(spark, sf_dir), variant="text", load_ts=i.LOAD_TS)
     write_silver(rows, path, "overwrite", variant="text")
@@ -362,10 +368,11 @@ def silver_overwrite(spark, sf_dir):
 def _through_table(spark: SparkSession, fill) -> DataFrame:
     """Rows of a table that ``fill`` writes; the table leaves no name behind."""
     name = f"tremor_check_{uuid4().hex}"
-    fill(name, scratch_path(spark, "table"))
-    rows = stored(scan_table(spark, name), "table-rows")
-    spark.sql(f"DROP TABLE {name}")
-    return rows
+    try:
+        fill(name, scratch_path(spark, "table"))
+        return stored(scan_table(spark, name), "table-rows")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 @_query(i.QUAKES_SQL + "SELECT * FROM q UNION ALL SELECT * FROM q")

@@ -66,6 +66,8 @@ def load(
     load_ts: datetime | None = None,
     rebalance: bool = False,
     table_path: str | None = None,
+    table_format: str | None = None,
+    table_options: dict[str, str] | None = None,
 ) -> Load:
     """Load one landed day of one feed.
 
@@ -78,7 +80,8 @@ def load(
     day in both. A load that broke off is repeated safely with the last.
 
     ``layout`` is ``collections`` (one document per line) or ``features`` (one
-    feature per line, the one that scales with the size of a file).
+    feature per line, the one that scales with the size of a file). With
+    ``table_format`` and ``table_options`` the table is a connector's.
     """
     mode = mode or DEFAULT_MODE[feed]
     if mode not in MODES:
@@ -111,7 +114,15 @@ def load(
         fresh = fresh.withColumns(
             {"feed": F.lit(feed), "load_date": F.lit(run_date.isoformat()).cast("date")}
         )
-        write_table(fresh, table, mode, partition_by=TABLE_PARTITIONS, path=table_path)
+        write_table(
+            fresh,
+            table,
+            mode,
+            partition_by=TABLE_PARTITIONS,
+            path=table_path,
+            fmt=table_format,
+            **(table_options or {}),
+        )
     return written
 
 

@@ -12,14 +12,22 @@ def write_table(
     *,
     partition_by: tuple[str, ...] = (),
     path: str | None = None,
+    fmt: str | None = None,
+    **options: str,
 ) -> None:
     """Write to a catalog table, creating it where it does not exist.
 
     ``append`` adds rows, ``overwrite`` replaces the table, and
     ``replace_partition`` replaces only the partitions that occur in ``df``.
-    ``path`` places a new table outside the warehouse.
+    ``path`` places a new table outside the warehouse. With ``fmt`` the table is
+    a connector's, which knows the first two modes and its own ``options``.
     """
     spark = df.sparkSession
+    if fmt is not None:
+        if mode == "replace_partition":
+            raise ValueError("a connector's table cannot be replaced by partition")
+        df.write.format(fmt).option("table", name).options(**options).mode(mode).save()
+        return
     if mode == "replace_partition" and spark.catalog.tableExists(name):
         # insertInto goes by position and takes the overwrite mode from the session.
         before = spark.conf.get(DYNAMIC)
