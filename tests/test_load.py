@@ -100,6 +100,21 @@ def test_feature_lines_dated_folders_and_rebalance(spark, tmp_path, lake):
     assert [fid for _, _, fid in lake.ids()[0]] == ["f1", "f2"]
 
 
+def test_documents_are_counted(lake):
+    done = lake.load("daily")
+    assert (done.documents, done.unreadable) == (1, 0)
+    lake.land("daily", DAY, "no document", collection(), name="more.json")
+    done = lake.load("daily")
+    assert (done.documents, done.unreadable) == (3, 1)
+    assert lake.ids() == [sorted(D + D)] * 2
+
+
+def test_unreadable_feature_lines_are_no_rows_of_nulls(lake):
+    lake.land("daily", NEXT, feature("x"), name="part.json", indent=2)
+    with pytest.raises(NoFeaturesError):
+        lake.load("daily", NEXT, layout="features")
+
+
 def test_text_variant(lake):
     done = lake.load("daily", variant="text", load_ts=datetime(2024, 1, 5, 12))
     rows = loaded_rows(lake.spark, done, "text")

@@ -31,6 +31,16 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def utc_millis(naive: str) -> Column:
+    """Epoch milliseconds of a timestamp without a zone, taken as UTC."""
+    return F.unix_millis(F.concat(F.col(naive).cast("string"), F.lit("Z")).cast("timestamp"))
+
+
+def naive_utc(instant: Column) -> Column:
+    """A timestamp as one without a zone, in UTC whatever the session's zone."""
+    return F.convert_timezone(None, F.lit("UTC"), instant)
+
+
 def _place() -> Column:
     return F.concat(
         F.col("user_id").cast("string"),
@@ -86,8 +96,7 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     longitude = (event_id % 360 - 180).cast("double") + 0.5
     latitude = (event_id % 90).cast("double") + 0.25
     depth = F.get_json_object("props", "$.k").cast("double")
-    # The detour over the session's zone is undone when a timestamp is cast back.
-    millis = F.unix_millis(F.col("ts").cast("timestamp"))
+    millis = utc_millis("ts")
     whole = {
         "mag": F.col("value"),
         "place": _place(),
@@ -169,7 +178,7 @@ _SHARED = ["place", "felt", "tsunami", "sig", "net", "code", "magType", "title",
 
 def silver_view(rows: DataFrame, *keep: str) -> DataFrame:
     """Typed silver rows in the columns that ``SILVER_SQL`` has."""
-    times = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("time", "updated")]
+    times = [naive_utc(F.col(c)).alias(c) for c in ("time", "updated")]
     loaded = F.unix_micros("insert_dt").alias("loaded_micros")
     return rows.select("id", "mag", "area", "geometry_type", *_SHARED, *times, loaded, *keep)
 

@@ -196,8 +196,8 @@ def frequency_intensity(spark, sf_dir):
     return _rounded(a.frequency_intensity(i.quakes(spark, sf_dir)), "intensity", 4)
 
 
-def _answers(df: DataFrame, name: str, number: str) -> DataFrame:
-    """One analysis as rows of a shared shape."""
+def _answers(df: DataFrame, name: str, number: str | None) -> DataFrame:
+    """One analysis as rows of a shared shape; without a number, a one per row."""
 
     def field(col: str) -> Column:
         return F.col(col).cast("string") if col in df.columns else F.lit(None).cast("string")
@@ -205,7 +205,7 @@ def _answers(df: DataFrame, name: str, number: str) -> DataFrame:
     return df.select(
         F.lit(name).alias("analysis"),
         *[field(col).alias(col) for col in ("area", "day", "place")],
-        F.round(F.col(number).cast("double"), 4).alias("number"),
+        F.round((F.col(number) if number else F.lit(1)).cast("double"), 4).alias("number"),
     )
 
 
@@ -236,6 +236,7 @@ _SUITE = {
   WHERE insert_dt >= TIMESTAMP '2024-01-15' AND insert_dt < TIMESTAMP '2024-01-22'
   ORDER BY mag DESC, area LIMIT 1)""",
     ),
+    "areas_above": (None, f"area, NULL, NULL, 1 FROM q WHERE mag > {i.HIGH_VALUE} GROUP BY area"),
     "frequency": ("frequency", "NULL, NULL, place, count(mag) FROM q GROUP BY place"),
     "intensity": ("intensity", "NULL, NULL, place, sum(mag) FROM q GROUP BY place"),
     "frequency_intensity": ("intensity", "NULL, NULL, place, sum(mag) FROM q GROUP BY place"),
@@ -282,15 +283,13 @@ def _area_comma(spark, sf_dir):
 
 
 def _epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    millis = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
-    return i.events(spark, sf_dir).select(F.col("event_id").alias("id"), millis.alias("millis"))
+    millis = i.utc_millis("ts").cast("string").alias("millis")
+    return i.events(spark, sf_dir).select(F.col("event_id").alias("id"), millis)
 
 
 @_query("SELECT event_id AS id, date_trunc('second', ts) AS time FROM events")
 def epoch_to_ts(spark, sf_dir):
-    return _epochs(spark, sf_dir).select(
-        "id", epoch_ms_to_ts("millis").cast("timestamp_ntz").alias("time")
-    )
+    return _epochs(spark, sf_dir).select("id", i.naive_utc(epoch_ms_to_ts("millis")).alias("time"))
 
 
 @_query("SELECT event_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time FROM events")

@@ -4,13 +4,14 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tremor import schema
 from tremor.operators.flatten import explode_features, flatten, transform
 from tremor.sinks import write_silver, write_table
 from tremor.sources import (
+    content_column,
     landing_path,
     require_features,
     scan_features,
@@ -29,10 +30,13 @@ TABLE_PARTITIONS = ("feed", "load_date")
 
 @dataclass(frozen=True)
 class Load:
-    """Where a load went: its id, and the silver folder of its feed and day."""
+    """Where a load went, its id below the silver folder of its feed and day, and
+    how many landed documents it saw, with how many of them unreadable."""
 
     load_id: str
     day: str
+    documents: int
+    unreadable: int
 
 
 def silver_rows(
@@ -88,7 +92,7 @@ def load(
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     source = landing_path(landing, feed, run_date, style)
     if layout == "collections":
-        landed = require_features(scan_geojson(spark, source, multi_line=multi_line))
+        landed = scan_geojson(spark, source, multi_line=multi_line)
     elif layout == "features":
         landed = scan_features(spark, source)
     else:
@@ -96,8 +100,15 @@ def load(
 
     load_id = f"batch-{uuid4().hex}"
     day = silver_path(silver, feed, run_date)
+    # Counted on the way, in the pass that writes silver.
+    seen = Observation()
+    counted = require_features(landed).observe(
+        seen,
+        F.count("*").alias("documents"),
+        F.count(content_column(landed)).alias("readable"),
+    )
     rows = silver_rows(
-        landed, layout=layout, variant=variant, area_rule=area_rule, load_ts=load_ts
+        counted, layout=layout, variant=variant, area_rule=area_rule, load_ts=load_ts
     ).withColumn("load_id", F.lit(load_id))
     write_silver(
         rows,
@@ -108,7 +119,8 @@ def load(
         rebalance=rebalance,
     )
 
-    written = Load(load_id, day)
+    documents, readable = seen.get["documents"], seen.get["readable"]
+    written = Load(load_id, day, documents, documents - readable)
     if table is not None:
         fresh = loaded_rows(spark, written, variant)
         fresh = fresh.withColumns(

@@ -2,6 +2,7 @@
 
 from tremor.sources.geojson import (
     NoFeaturesError,
+    content_column,
     corrupt_documents,
     parse_feature,
     require_features,
@@ -16,6 +17,7 @@ from tremor.sources.tables import scan_completed_orders, scan_table
 __all__ = [
     "FEEDS",
     "NoFeaturesError",
+    "content_column",
     "corrupt_documents",
     "landing_path",
     "parse_feature",

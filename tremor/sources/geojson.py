@@ -62,24 +62,28 @@ def parse_feature(df: DataFrame, col: str) -> DataFrame:
     return df.select(*others, feature.alias("feature"))
 
 
-def require_features(collections: DataFrame) -> DataFrame:
-    """Fail when there are documents and none of them has a feature list.
+def content_column(landed: DataFrame) -> str:
+    """What a document that was read must have: a feature list, or properties."""
+    return "features" if "features" in landed.columns else "feature.properties"
+
+
+def require_features(landed: DataFrame) -> DataFrame:
+    """Fail when there are documents and not one has content.
 
     That is how a pretty-printed file looks to the line-wise scan. An empty list
     is a list: a quiet day passes. In a sound folder the first document ends the
     search; only a folder without any is read to its end.
     """
-    if collections.where("features IS NOT NULL").isEmpty() and not collections.isEmpty():
-        raise NoFeaturesError("no document has a feature list; is a file pretty-printed (multi_line)?")
-    return collections
+    if landed.where(F.col(content_column(landed)).isNotNull()).isEmpty() and not landed.isEmpty():
+        raise NoFeaturesError("no document holds features; is a file pretty-printed (multi_line)?")
+    return landed
 
 
 def corrupt_documents(df: DataFrame) -> DataFrame:
     """Number of documents, of those with content, and of those with a value that
     did not fit its field. ``df`` comes from a scan with ``keep_corrupt``."""
-    content = "features" if "features" in df.columns else "feature.properties"
     return df.agg(
         F.count("*").alias("documents"),
-        F.count(content).alias("with_content"),
+        F.count(content_column(df)).alias("with_content"),
         F.count(CORRUPT).alias("corrupt"),
     )
