@@ -1,32 +1,53 @@
 """Intermediate results in the shared folder that the cluster names."""
 
-import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; on one machine alone, else the warehouse.
+
+    A cluster must name a folder, and not one that each of its machines has for itself.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if spark.sparkContext.master.startswith("local"):
+        return folder or spark.conf.get("spark.sql.warehouse.dir")
+    if not folder or folder.startswith("file:"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tremor-"))
-    return spark.sparkContext.getCheckpointDir()
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no one else uses."""
-    return f"{_shared_folder(spark).rstrip('/')}/tremor/{name}-{uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/tremor/{name}-{uuid4().hex}"
+
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path of any file system that Spark knows, with all below it."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
-def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+
+def stored(df: DataFrame, name: str = "stored", path: str | None = None) -> DataFrame:
     """Compute ``df`` once, keep it in the shared folder, and read it from there.
 
     What is read later depends on the files alone, so the loss of an executor
     costs no recomputation.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = path or scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str = "scratch") -> Iterator[str]:
+    """A path for as long as the block runs; what was written there is then removed."""
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        remove(spark, path)
