@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm import bpe, chat, piece_counts, shards, token_files, warc
+from tremor.llm import bpe, chat, decontaminate, piece_counts, quality, shards, token_files, warc
 from tremor.llm.common import table, text_or_empty
+from tremor.llm.words import LETTER_WORD, PLAIN_WORD
 from tremor.sinks import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -254,3 +255,115 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path(PIECE_BPE)
     return piece_counts.count_tokens(documents, path, MOST_TOKENS).drop("text")
+
+
+# ---- 3: benchmark decontamination --------------------------------------------
+
+
+def _sql_words(text: str, pattern: str) -> str:
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({lower}, '{pattern}')"
+
+
+def _sql_runs(of: str, size: str) -> str:
+    return f"array_to_string({of}[p:p + {size} - 1], ' ')"
+
+
+_CONTAMINATION_SQL = f"""
+WITH item AS (
+  SELECT item_id, words, least(len(words), {decontaminate.LENGTH}) AS size
+  FROM (SELECT item_id, {_sql_words("text", LETTER_WORD)} AS words FROM benchmark)
+  WHERE len(words) > 0
+), win AS (
+  SELECT DISTINCT item_id, size, {_sql_runs("words", "size")} AS win
+  FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS p FROM item)
+), document AS (
+  SELECT doc_id, {_sql_words("text", LETTER_WORD)} AS words FROM documents
+), hit AS (
+  SELECT doc_id, p, size, item_id
+  FROM (SELECT d.doc_id, s.size, p, {_sql_runs("words", "s.size")} AS win
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS p FROM document) d,
+             (SELECT DISTINCT size FROM win) s
+        WHERE p + s.size - 1 <= len(words)) JOIN win USING (size, win)
+), covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + size)) AS place FROM hit) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM hit GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM document LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@_query(_CONTAMINATION_SQL)
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontaminate.find_hits(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    n_hit = F.size("hit_words").cast("bigint")
+    return hits.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+# ---- 5: quality rules --------------------------------------------------------
+
+_NORMAL = (
+    "translate(trim(regexp_replace(l, '[\\x20\\x09-\\x0D]+', ' ', 'g')), "
+    "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+
+_QUALITY_SQL = f"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '{PLAIN_WORD}') AS words FROM documents
+), run AS (
+  SELECT doc_id, p, array_to_string(words[p:p + 2], ' ') AS run
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS p FROM d)
+), repeated AS (
+  SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS place
+        FROM run JOIN (SELECT doc_id, run FROM run GROUP BY ALL HAVING count(*) > 1)
+          USING (doc_id, run)) GROUP BY doc_id
+), line AS (
+  SELECT doc_id, source, l, {_NORMAL} AS norm, len(regexp_extract_all(l, '{PLAIN_WORD}')) AS n
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS l FROM d)
+  WHERE regexp_matches(l, '{PLAIN_WORD}')
+), dup AS (
+  SELECT doc_id, count(*) - count(DISTINCT l) AS n_dup_lines FROM line GROUP BY doc_id
+), host AS (
+  SELECT source, count(*) AS n_host FROM d GROUP BY source
+), frequent AS (
+  SELECT source, norm FROM line JOIN host USING (source) GROUP BY source, norm
+  HAVING count(DISTINCT doc_id) >= {quality.MIN_DOCUMENTS}
+     AND count(DISTINCT doc_id) > any_value(n_host) * {quality.MOST_SHARE}
+), lost AS (
+  SELECT doc_id, sum(n) AS n_removed FROM line JOIN frequent USING (source, norm) GROUP BY doc_id
+), base AS (
+  SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed_words
+  FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN repeated USING (doc_id) LEFT JOIN lost USING (doc_id)
+), judged AS (
+  SELECT *, n_words < {quality.MIN_WORDS}
+            OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words AS base_failed FROM base
+)
+SELECT *, NOT base_failed AND n_removed_words <= n_words * {quality.MOST_REMOVED}
+          AND n_words - n_removed_words >= {quality.MIN_WORDS} AS kept FROM judged
+"""
+
+
+@_query(_QUALITY_SQL)
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
