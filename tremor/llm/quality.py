@@ -7,7 +7,7 @@ Lines are normalised (A-Z in lower case, blanks joined) and hashed to 64 bits; e
 counts a line once for its host (the column ``source``). A line is boilerplate of a host if it
 occurs in at least MIN_DOCUMENTS of its documents and in more than MOST_SHARE of them. Such
 lines are removed, and a document is depleted, and rejected, if they held more than
-MOST_REMOVED of its words, or if fewer than MIN_WORDS words are left.
+MOST_REMOVED of its words.
 
 Counts are partial in each task before they are shuffled, so that a line or a host with a
 third of all rows arrives as one row per task. The lines above the limits are stored, and
@@ -139,7 +139,7 @@ def _removed(rowed: DataFrame) -> DataFrame:
 
 def _verdict(df: DataFrame) -> DataFrame:
     lost = F.coalesce("n_removed_words", F.lit(0)).cast("bigint")
-    depleted = (lost > F.col("n_words") * MOST_REMOVED) | (F.col("n_words") - lost < MIN_WORDS)
+    depleted = lost > F.col("n_words") * MOST_REMOVED
     return df.withColumn("n_removed_words", lost).withColumn(
         "kept", ~F.col("base_failed") & ~depleted
     )

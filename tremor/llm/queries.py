@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm import bpe, chat, decontaminate, piece_counts, quality, shards, token_files, warc
+from tremor.llm import bpe, chat, decontaminate, ngram_join, piece_counts, quality, shards, token_files, warc
 from tremor.llm.common import table, text_or_empty
 from tremor.llm.words import LETTER_WORD, PLAIN_WORD
 from tremor.sinks import scratch_path
@@ -359,11 +359,20 @@ WITH d AS (
   SELECT *, n_words < {quality.MIN_WORDS}
             OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words AS base_failed FROM base
 )
-SELECT *, NOT base_failed AND n_removed_words <= n_words * {quality.MOST_REMOVED}
-          AND n_words - n_removed_words >= {quality.MIN_WORDS} AS kept FROM judged
+SELECT *, NOT base_failed AND n_removed_words <= n_words * {quality.MOST_REMOVED} AS kept
+FROM judged
 """
 
 
 @_query(_QUALITY_SQL)
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
+
+
+# ---- 9: n-gram Jaccard join --------------------------------------------------
+
+
+@_query()
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = ngram_join.link(table(spark, sf_dir, "documents"), size=4, percent=85)
+    return linked.select("doc_id", "n_shingles", "component_id")
