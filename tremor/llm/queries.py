@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm import bpe, chat, decontaminate, ngram_join, piece_counts, quality, shards, token_files, warc
+from tremor.llm import bpe, chat, decontaminate, ngram_join, piece_counts, quality, shards, suffix_dedup, token_files, warc
 from tremor.llm.common import table, text_or_empty
 from tremor.llm.words import LETTER_WORD, PLAIN_WORD
 from tremor.sinks import scratch_path
@@ -376,3 +376,26 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = ngram_join.link(table(spark, sf_dir, "documents"), size=4, percent=85)
     return linked.select("doc_id", "n_shingles", "component_id")
+
+
+# ---- 4: suffix-array deduplication -------------------------------------------
+
+
+@_query()
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.find_repeats(table(spark, sf_dir, "documents"))
+    copied = F.coalesce("copy", F.lit(False))
+    kept = F.octet_length("kept").cast("bigint")
+    whole = F.when(copied, F.lit(b"")).otherwise(F.col("kept"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.when(copied, F.col("n_bytes"))
+        .otherwise(F.coalesce(F.col("n_bytes") - kept, F.lit(0)))
+        .alias("n_removed"),
+        F.when(copied, F.lit(1))
+        .otherwise(F.coalesce(F.size("starts"), F.lit(0)))
+        .cast("bigint")
+        .alias("n_spans"),
+        F.coalesce(F.sha2(whole, 256), F.col("digest")).alias("kept_sha256"),
+    )
