@@ -1,8 +1,71 @@
-"""The pipeline over ``documents``; its stages come with their operators."""
+"""From raw documents to token ids: five stages, each on all that the one before kept.
 
-STAGES = []
+1. quality rules: boilerplate lines go, and documents that the rules reject;
+2. n-gram Jaccard join: one document of each group of near duplicates stays (five words, 0.8);
+3. suffix-array deduplication: strings of 50 bytes stay in the first document that has them;
+4. benchmark decontamination: documents that hold a benchmark window go;
+5. byte-level BPE: token ids, and the text that they decode to.
+
+Stages 1 to 4 return the columns of ``documents``; where a text changes, so does ``n_chars``.
+Null and empty texts fail the rules of stage 1. Repeated rows pass it as documents of their own,
+and one of them passes stage 2. An empty table stays empty. Extra columns are kept up to stage
+4; stage 5 leaves out those that are named like its own.
+"""
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tremor.llm import bpe, decontaminate, ngram_join, quality, suffix_dedup
+from tremor.llm.common import table
+from tremor.sinks import stored
+
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.clean(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.keep_first(docs, size=5, percent=80)
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(docs)
+
+
+def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.remove_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with token_ids and n_tokens; ``text`` is what the ids decode to."""
+    path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    encoded = bpe.encode(docs, path, pattern)
+    decoded = bpe.decode(encoded.drop("text"), path, pattern)
+    return decoded.withColumns(
+        {
+            "text": F.col("decoded").cast("string"),
+            "n_tokens": F.size("token_ids").cast("bigint"),
+        }
+    ).drop("decoded")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("repeated_strings", repeated_strings),
+    ("contamination", contamination),
+    ("tokens", tokens),
+]
+
+#: SQL has no suffix arrays and no BPE; tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return docs
