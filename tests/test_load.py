@@ -4,7 +4,8 @@ import pytest
 from feed import collection, feature, land
 
 from tremor.plans import load
-from tremor.plans.load import loaded_rows
+from tremor.plans.load import loaded_rows, split_landing
+from tremor.sinks import write_table
 from tremor.sources import NoFeaturesError, landing_path, scan_silver, scan_table
 
 DAY, NEXT = date(2024, 1, 5), date(2024, 1, 6)
@@ -100,19 +101,78 @@ def test_feature_lines_dated_folders_and_rebalance(spark, tmp_path, lake):
     assert [fid for _, _, fid in lake.ids()[0]] == ["f1", "f2"]
 
 
-def test_documents_are_counted(lake):
+def rejected(lake, done=None):
+    rows = lake.spark.read.parquet(f"{lake.silver}-rejects").collect()
+    return sorted((r.feed, str(r.load_date), r.text) for r in rows if done is None or r.load_id == done.load_id)
+
+
+def test_unreadable_documents_are_kept_and_touch_nothing(lake):
     done = lake.load("daily")
     assert (done.documents, done.unreadable) == (1, 0)
     lake.land("daily", DAY, "no document", collection(), name="more.json")
-    done = lake.load("daily")
+    for mode in ("append", "overwrite", "replace_partition"):
+        with pytest.raises(NoFeaturesError, match="1 of 3"):
+            lake.load("daily", mode=mode)
+        assert lake.ids() == [D, D]
+    done = lake.load("daily", keep_good=True)
     assert (done.documents, done.unreadable) == (3, 1)
     assert lake.ids() == [sorted(D + D)] * 2
+    assert rejected(lake, done) == [("daily", "2024-01-05", '"no document"')]
+
+
+def test_a_compact_and_a_pretty_printed_file(lake):
+    lake.land("daily", DAY, collection(feature("x")), name="pretty.json", indent=2)
+    with pytest.raises(NoFeaturesError):
+        lake.load("daily")
+    done = lake.load("daily", keep_good=True)
+    assert done.documents == done.unreadable + 1
+    assert "".join(t for _, _, t in rejected(lake, done)).count('"x"') == 1
+    assert lake.ids() == [D, D]
 
 
 def test_unreadable_feature_lines_are_no_rows_of_nulls(lake):
     lake.land("daily", NEXT, feature("x"), name="part.json", indent=2)
     with pytest.raises(NoFeaturesError):
         lake.load("daily", NEXT, layout="features")
+    lake.land("daily", NEXT, feature("x"), {"type": "Feature"}, "bad", name="part.json")
+    done = lake.load("daily", NEXT, layout="features", keep_good=True)
+    assert (done.documents, done.unreadable) == (3, 2)
+    assert lake.ids() == [[("daily", "2024-01-06", "x")]] * 2
+
+
+def test_a_day_landed_empty_replaces_what_was_loaded(lake):
+    lake.load("daily", NEXT)
+    lake.load("daily")
+    lake.land("daily", DAY, collection())
+    lake.load("daily", mode="replace_partition")
+    assert lake.ids() == [D_NEXT] * 2
+
+
+def test_one_day_can_be_scanned_alone(lake):
+    done = lake.load("daily")
+    rows = scan_silver(lake.spark, done.day).select("feed", "load_date").distinct().collect()
+    assert [(r.feed, str(r.load_date)) for r in rows] == [("daily", "2024-01-05")]
+
+
+def test_collections_as_feature_lines(lake):
+    split_landing(
+        lake.spark,
+        landing_path(lake.landing, "daily", DAY),
+        landing_path(lake.landing, "daily", NEXT),
+    )
+    lake.load("daily", NEXT, layout="features")
+    assert [fid for _, _, fid in lake.ids()[0]] == ["d1", "d2"]
+
+
+def test_tables_are_replaced_as_they_are(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
+    name, where = f"t_{tmp_path.name.replace('-', '_')}", str(tmp_path / "place")
+    write_table(rows, name, "overwrite", path=where)
+    with pytest.raises(ValueError):
+        write_table(rows, name, "replace_partition", partition={"k": "a"})
+    write_table(rows.limit(1), name, "overwrite")
+    assert scan_table(spark, name).count() == spark.read.parquet(where).count() == 1
+    spark.sql(f"DROP TABLE {name}")
 
 
 def test_text_variant(lake):

@@ -1,9 +1,11 @@
 import os
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from feed import collection, feature, land
 
+from pyspark.errors import StreamingQueryException
+
 from tremor.plans import load
 from tremor.sources import landing_path, scan_silver
 from tremor.streaming import load_incremental
@@ -72,3 +74,34 @@ def test_feature_lines_and_text_variant(spark, tmp_path):
     made.run(layout="features", variant="text")
     rows = scan_silver(spark, made.silver, "text").collect()
     assert sorted((r["feed"], r["magnitude"] or 0.0) for r in rows) == [("daily", 0.0), ("daily", 1.5)]
+
+
+def test_unreadable_documents_stay_until_they_are_dealt_with(spark, stream):
+    stream.land("daily", NEXT, "bad", feature("d3"), name="c.json", whole=False)
+    with pytest.raises(StreamingQueryException):
+        stream.run(layout="features")
+    with pytest.raises(StreamingQueryException):
+        stream.run(layout="features")
+    stream.run(layout="features", keep_good=True)
+    assert stream.ids() == [("daily", "2024-01-06", "d3")]
+    rejects = spark.read.parquet(f"{stream.silver}-rejects").collect()
+    # The collections of the other files are no features.
+    assert len(rejects) == 3 and sum(r.text == '"bad"' for r in rejects) == 1
+
+
+def test_table_and_load_instant(spark, stream):
+    name = "stream_" + stream.root.name.replace("-", "_")
+    at = datetime(2024, 1, 5, 12)
+    stream.run(table=name, load_ts=at)
+    os.remove(f"{stream.checkpoint}/commits/0")
+    os.remove(f"{stream.checkpoint}/commits/.0.crc")
+    stream.run(table=name, load_ts=at)
+    rows = spark.table(name).collect()
+    assert sorted((r["feed"], str(r["load_date"]), r["id"]) for r in rows) == FIRST
+    assert {r["insert_dt"] for r in rows} == {at}
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_wrong_layout(stream):
+    with pytest.raises(ValueError):
+        stream.run(layout="rows")

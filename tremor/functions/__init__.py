@@ -6,9 +6,11 @@ from tremor.functions.time import (
     epoch_ms_to_str,
     epoch_ms_to_ts,
     load_day,
+    load_day_plain,
     load_day_text,
     load_instant,
     load_instant_text,
+    naive_utc,
     utc_now,
 )
 
@@ -19,9 +21,11 @@ __all__ = [
     "epoch_ms_to_str",
     "epoch_ms_to_ts",
     "load_day",
+    "load_day_plain",
     "load_day_text",
     "load_instant",
     "load_instant_text",
+    "naive_utc",
     "pair_text",
     "plain_number",
     "utc_now",

@@ -10,8 +10,8 @@ from tremor.functions._columns import ColumnOrName, column
 # Years 1 to 9999, the range in which a timestamp can be printed and read back.
 EPOCH_MS_RANGE = (-62_135_596_800_000, 253_402_300_799_999)
 
-# Up to 18 digits, which always fit 64 bits.
-_WHOLE_NUMBER = r"^\s*[+-]?\d{1,18}\s*$"
+# Up to 18 digits after any zeros, which always fit 64 bits.
+_WHOLE_NUMBER = r"^\s*[+-]?0*\d{1,18}\s*$"
 
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
@@ -23,9 +23,9 @@ def _epoch_seconds(c: ColumnOrName) -> Column:
     value, at a hundred times the cost of a good one.
     """
     text = column(c).cast("string")
-    ms = text.try_cast("bigint")
-    in_range = F.when(ms.between(*EPOCH_MS_RANGE), ms)
-    return F.floor(F.when(text.rlike(_WHOLE_NUMBER), in_range) / 1000)
+    seconds = F.floor(F.when(text.rlike(_WHOLE_NUMBER), text.try_cast("bigint")) / 1000)
+    low, high = (limit // 1000 for limit in EPOCH_MS_RANGE)
+    return F.when(seconds.between(low, high), seconds)
 
 
 def epoch_ms_to_ts(c: ColumnOrName) -> Column:
@@ -65,8 +65,18 @@ def load_instant_text(load_ts: datetime) -> Column:
     return F.lit(_as_utc(load_ts).replace(tzinfo=None).isoformat())
 
 
+def naive_utc(c: ColumnOrName) -> Column:
+    """An instant as a timestamp without a zone, in UTC whatever the session's zone."""
+    return F.convert_timezone(None, F.lit("UTC"), column(c))
+
+
 def load_day(c: ColumnOrName) -> Column:
-    """Day of a timestamp."""
+    """Day of a timestamp with a zone, in UTC."""
+    return F.to_date(naive_utc(c))
+
+
+def load_day_plain(c: ColumnOrName) -> Column:
+    """Day of a timestamp without a zone, or of a date."""
     return F.to_date(column(c))
 
 

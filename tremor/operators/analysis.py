@@ -11,12 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tremor.functions import load_day, load_day_text
+from tremor.functions import load_day, load_day_plain, load_day_text, utc_now
 from tremor.functions._columns import ColumnOrName
 
 # Fixed value: magnitudes above this count as high.
 HIGH_MAGNITUDE = 5.0
 
+# Days that a load may come after the day it is the load of.
+LATEST_LOAD = 7
+
 AsOf = date | str | Column | None
 
 
@@ -30,12 +33,29 @@ def above(df: DataFrame, col: str, threshold: float) -> DataFrame:
 
 def _as_of(as_of: AsOf) -> Column:
     if as_of is None:
-        return F.current_date()
+        return F.lit(utc_now().date())
     return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("date")
 
 
-def last_week(df: DataFrame, ts_col: str, as_of: AsOf = None, compat: bool = False) -> DataFrame:
-    """Rows of the Monday-to-Sunday week before the one that ``as_of`` lies in.
+def _as_kind(day: Column, kind: T.DataType) -> Column:
+    """The start of a UTC day as a constant of a column's type."""
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_seconds(F.unix_date(day) * F.lit(86_400).cast("bigint"))
+    return day.cast(kind)
+
+
+def last_week(
+    df: DataFrame,
+    ts_col: str,
+    as_of: AsOf = None,
+    compat: bool = False,
+    partition: str | None = None,
+) -> DataFrame:
+    """Rows of the Monday-to-Sunday week before the one that ``as_of`` lies in, in UTC.
+
+    ``partition`` names a date column, by which the table is laid out, that is never
+    later than the row's own day, and at most LATEST_LOAD days earlier: as a day's
+    landing is that day's or one shortly after. Folders out of reach are not read.
 
     The default compares the column itself with two constants, which reach the
     scan. ``compat`` compares calendar year and ISO week number instead; it
@@ -45,13 +65,16 @@ def last_week(df: DataFrame, ts_col: str, as_of: AsOf = None, compat: bool = Fal
     kind = df.schema[ts_col].dataType
     column = F.col(ts_col)
     if compat:
-        day = F.to_date(load_day_text(column)) if isinstance(kind, T.StringType) else column
+        day = F.to_date(day_of(df, ts_col))
         return df.where(
             (F.year(day) == F.year(today)) & (F.weekofyear(day) == F.weekofyear(F.date_sub(today, 7)))
         )
     monday = F.trunc(today, "week")
+    if partition is not None:
+        first = F.date_sub(monday, 7 + LATEST_LOAD)
+        df = df.where((F.col(partition) >= first) & (F.col(partition) < monday))
     return df.where(
-        (column >= F.date_sub(monday, 7).cast(kind)) & (column < monday.cast(kind))
+        (column >= _as_kind(F.date_sub(monday, 7), kind)) & (column < _as_kind(monday, kind))
     )
 
 
@@ -59,9 +82,11 @@ def last_week(df: DataFrame, ts_col: str, as_of: AsOf = None, compat: bool = Fal
 
 
 def day_of(df: DataFrame, col: str) -> Column:
-    """Day of a load column, be it a timestamp or ISO text."""
-    text = isinstance(df.schema[col].dataType, T.StringType)
-    return (load_day_text if text else load_day)(col)
+    """Day of a load column, be it a timestamp, with a zone or without, or ISO text."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.StringType):
+        return load_day_text(col)
+    return (load_day if isinstance(kind, T.TimestampType) else load_day_plain)(col)
 
 
 def with_day(df: DataFrame, col: str, name: str = "day") -> DataFrame:

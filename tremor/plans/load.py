@@ -9,13 +9,20 @@ from pyspark.sql import functions as F
 
 from tremor import schema
 from tremor.operators.flatten import explode_features, flatten, transform
-from tremor.sinks import write_silver, write_table
+from tremor.sinks import (
+    exists,
+    remove,
+    remove_others,
+    write_landing,
+    write_rejects,
+    write_silver,
+    write_table,
+)
 from tremor.sources import (
+    NoFeaturesError,
     content_column,
     landing_path,
-    require_features,
-    scan_features,
-    scan_geojson,
+    scan_landed,
     scan_silver,
     silver_path,
 )
@@ -30,13 +37,19 @@ TABLE_PARTITIONS = ("feed", "load_date")
 
 @dataclass(frozen=True)
 class Load:
-    """Where a load went, its id below the silver folder of its feed and day, and
-    how many landed documents it saw, with how many of them unreadable."""
+    """Where a load went, its id below the silver folder of its feed and day, how many
+    landed documents it saw, how many of them are in the rejects folder, and that folder."""
 
     load_id: str
     day: str
     documents: int
     unreadable: int
+    rejects: str
+
+
+def rejects_path(silver: str) -> str:
+    """Where unreadable documents are kept unless a load says otherwise."""
+    return f"{silver.rstrip('/')}-rejects"
 
 
 def silver_rows(
@@ -68,7 +81,9 @@ def load(
     variant: str = "typed",
     area_rule: str | None = None,
     load_ts: datetime | None = None,
-    rebalance: bool = False,
+    rebalance: bool | None = None,
+    rejects: str | None = None,
+    keep_good: bool = False,
     table_path: str | None = None,
     table_format: str | None = None,
     table_options: dict[str, str] | None = None,
@@ -81,56 +96,86 @@ def load(
 
     ``append`` adds to the day and to the table, ``overwrite`` replaces the feed's
     day in silver and the whole table, ``replace_partition`` replaces the feed's
-    day in both. A load that broke off is repeated safely with the last.
+    day in both. New rows are written before old ones go, so that a reader may see
+    both for a moment, never neither. A load that broke off is repeated safely
+    with the last.
+
+    Every document is counted in the pass that writes. Those without features go to
+    ``rejects`` with their text, feed, day and load id, never to silver. The load
+    then fails before old rows or the table change; with ``keep_good`` it goes on
+    with the rest.
 
     ``layout`` is ``collections`` (one document per line) or ``features`` (one
-    feature per line, the one that scales with the size of a file). With
+    feature per line, the one that scales with the size of a file; see
+    ``split_landing``). A collection is parsed by one task, so collections are
+    rebalanced before they are written unless ``rebalance`` is false. With
     ``table_format`` and ``table_options`` the table is a connector's.
     """
+    source = landing_path(landing, feed, run_date, style)
     mode = mode or DEFAULT_MODE[feed]
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    source = landing_path(landing, feed, run_date, style)
-    if layout == "collections":
-        landed = scan_geojson(spark, source, multi_line=multi_line)
-    elif layout == "features":
-        landed = scan_features(spark, source)
-    else:
-        raise ValueError(f"layout must be 'collections' or 'features', not {layout!r}")
+    landed = scan_landed(spark, source, layout, multi_line=multi_line)
+    content = F.col(content_column(landed))
 
     load_id = f"batch-{uuid4().hex}"
     day = silver_path(silver, feed, run_date)
-    # Counted on the way, in the pass that writes silver.
+    partition = {"feed": feed, "load_date": run_date.isoformat()}
+    rejects = rejects or rejects_path(silver)
+    # Counted on the way, before any shuffle, in the pass that writes silver.
     seen = Observation()
-    counted = require_features(landed).observe(
-        seen,
-        F.count("*").alias("documents"),
-        F.count(content_column(landed)).alias("readable"),
+    counted = landed.observe(
+        seen, F.count("*").alias("documents"), F.count(content).alias("readable")
     )
     rows = silver_rows(
-        counted, layout=layout, variant=variant, area_rule=area_rule, load_ts=load_ts
+        counted.where(content.isNotNull()),
+        layout=layout,
+        variant=variant,
+        area_rule=area_rule,
+        load_ts=load_ts,
     ).withColumn("load_id", F.lit(load_id))
     write_silver(
         rows,
         day,
-        "append" if mode == "append" else "overwrite",
+        "append",
         variant=variant,
         partition_by=("load_id",),
-        rebalance=rebalance,
+        rebalance=layout == "collections" if rebalance is None else rebalance,
     )
 
     documents, readable = seen.get["documents"], seen.get["readable"]
-    written = Load(load_id, day, documents, documents - readable)
+    written = Load(load_id, day, documents, documents - readable, rejects)
+    if written.unreadable:
+        bad = landed.where(content.isNull()).withColumns(
+            {
+                "feed": F.lit(feed),
+                "load_date": F.lit(run_date.isoformat()).cast("date"),
+                "load_id": F.lit(load_id),
+            }
+        )
+        write_rejects(bad, rejects)
+        if not keep_good:
+            remove(spark, f"{day}/load_id={load_id}")
+            raise NoFeaturesError(
+                f"{written.unreadable} of {documents} documents hold no features and are in "
+                f"{rejects}, load_id={load_id}; is a file pretty-printed (multi_line)?"
+            )
+    if mode != "append":
+        remove_others(spark, day, f"load_id={load_id}")
+
     if table is not None:
-        fresh = loaded_rows(spark, written, variant)
-        fresh = fresh.withColumns(
-            {"feed": F.lit(feed), "load_date": F.lit(run_date.isoformat()).cast("date")}
+        fresh = loaded_rows(spark, written, variant).withColumns(
+            {
+                "feed": F.lit(feed),
+                "load_date": F.lit(run_date.isoformat()).cast("date"),
+            }
         )
         write_table(
             fresh,
             table,
             mode,
             partition_by=TABLE_PARTITIONS,
+            partition=partition if mode == "replace_partition" else None,
             path=table_path,
             fmt=table_format,
             **(table_options or {}),
@@ -138,7 +183,24 @@ def load(
     return written
 
 
+def split_landing(
+    spark: SparkSession, source: str, target: str, *, multi_line: bool = False
+) -> None:
+    """Rewrite landed collections as feature lines, which files of any size are split by.
+
+    A collection is parsed by one task; its features are spread before they are written.
+    """
+    collections = scan_landed(spark, source, multi_line=multi_line)
+    bad = collections.where(F.col("features").isNull()).count()
+    if bad:
+        raise NoFeaturesError(f"{bad} documents in {source} hold no features")
+    features = explode_features(collections).hint("rebalance")
+    write_landing(features.select("feature.*"), target)
+
+
 def loaded_rows(spark: SparkSession, done: Load, variant: str = "typed") -> DataFrame:
     """The silver rows that one load wrote; the filter leaves only its folder to read."""
+    if not exists(spark, f"{done.day}/load_id={done.load_id}"):  # a load without rows
+        return spark.createDataFrame([], schema.silver_schema(variant))
     rows = scan_silver(spark, done.day, variant)
     return rows.where(F.col("load_id") == done.load_id).drop(*schema.SILVER_PARTITIONS.names)

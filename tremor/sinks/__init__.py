@@ -1,17 +1,28 @@
 """Writing landing documents, silver files, tables and text."""
 
-from tremor.sinks.files import write_landing, write_pairs_text, write_silver
-from tremor.sinks.scratch import remove, scratch, scratch_path, shared_folder, stored
+from tremor.sinks.files import write_landing, write_pairs_text, write_rejects, write_silver
+from tremor.sinks.scratch import (
+    exists,
+    remove,
+    remove_others,
+    scratch,
+    scratch_path,
+    shared_folder,
+    stored,
+)
 from tremor.sinks.tables import write_table
 
 __all__ = [
+    "exists",
     "remove",
+    "remove_others",
     "scratch",
     "scratch_path",
     "shared_folder",
     "stored",
     "write_landing",
     "write_pairs_text",
+    "write_rejects",
     "write_silver",
     "write_table",
 ]

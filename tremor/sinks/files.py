@@ -8,10 +8,21 @@ from tremor import schema
 from tremor.functions import pair_text
 
 
-def write_landing(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Land each row as one line of JSON, null fields included."""
-    document = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    df.select(document.alias("value")).write.mode(mode).text(path)
+def write_landing(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Land each row as one line of JSON, null fields included.
+
+    Landing a folder again replaces it; ``append`` adds files to it.
+    """
+    df.write.mode(mode).option("ignoreNullFields", False).json(path)
+
+
+def write_rejects(df: DataFrame, path: str, *, replace_partitions: bool = False) -> None:
+    """Keep unreadable documents: their text by feed, day and load."""
+    rows = df.select(F.col("value").alias("text"), *schema.SILVER_PARTITIONS.names)
+    mode = "dynamic" if replace_partitions else "static"
+    writer = rows.write.mode("overwrite" if replace_partitions else "append")
+    writer = writer.option("partitionOverwriteMode", mode)
+    writer.partitionBy(*schema.SILVER_PARTITIONS.names).parquet(path)
 
 
 def write_silver(

@@ -25,11 +25,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/tremor/{name}-{uuid4().hex}"
 
 
+def _located(spark: SparkSession, path: str):
+    """A path and its file system, of any kind that Spark knows."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where, store = _located(spark, path)
+    return store.exists(where)
+
+
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete a path of any file system that Spark knows, with all below it."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    """Delete a path with all below it, if it is there."""
+    where, store = _located(spark, path)
+    store.delete(where, True)
+
+
+def remove_others(spark: SparkSession, folder: str, name: str) -> None:
+    """Delete all in a folder but ``name``."""
+    where, store = _located(spark, folder)
+    if store.exists(where):
+        for status in store.listStatus(where):
+            if status.getPath().getName() != name:
+                store.delete(status.getPath(), True)
 
 
 def stored(df: DataFrame, name: str = "stored", path: str | None = None) -> DataFrame:

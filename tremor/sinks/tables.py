@@ -1,8 +1,31 @@
 """Table sink."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-DYNAMIC = "spark.sql.sources.partitionOverwriteMode"
+
+def _partition_columns(spark: SparkSession, name: str) -> tuple[str, ...]:
+    return tuple(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
+
+
+def _own_location(spark: SparkSession, name: str) -> str | None:
+    """Where an external table lies; None for one in the warehouse."""
+    facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    return facts.get("Location") if facts.get("Type") == "EXTERNAL" else None
+
+
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _replace_partition(df: DataFrame, name: str, partition: dict[str, str]) -> None:
+    spark = df.sparkSession
+    columns = _partition_columns(spark, name)
+    if columns != tuple(partition):
+        raise ValueError(f"{name} is partitioned by {columns}, not by {tuple(partition)}")
+    # A named partition is replaced whole, also by no rows, whatever the session's settings.
+    spec = ", ".join(f"{key} = {_quoted(value)}" for key, value in partition.items())
+    rows = df.select(*(c for c in spark.table(name).columns if c not in partition))
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT * FROM {{rows}}", rows=rows)
 
 
 def write_table(
@@ -11,14 +34,16 @@ def write_table(
     mode: str,
     *,
     partition_by: tuple[str, ...] = (),
+    partition: dict[str, str] | None = None,
     path: str | None = None,
     fmt: str | None = None,
     **options: str,
 ) -> None:
     """Write to a catalog table, creating it where it does not exist.
 
-    ``append`` adds rows, ``overwrite`` replaces the table, and
-    ``replace_partition`` replaces only the partitions that occur in ``df``.
+    ``append`` adds rows, ``overwrite`` replaces the table, which stays where it
+    lies, and ``replace_partition`` replaces the one ``partition`` (values by
+    column, in the table's order), also when ``df`` has no rows.
     ``path`` places a new table outside the warehouse. With ``fmt`` the table is
     a connector's, which knows the first two modes and its own ``options``.
     """
@@ -28,15 +53,16 @@ def write_table(
             raise ValueError("a connector's table cannot be replaced by partition")
         df.write.format(fmt).option("table", name).options(**options).mode(mode).save()
         return
-    if mode == "replace_partition" and spark.catalog.tableExists(name):
-        # insertInto goes by position and takes the overwrite mode from the session.
-        before = spark.conf.get(DYNAMIC)
-        spark.conf.set(DYNAMIC, "dynamic")
-        try:
-            df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
-        finally:
-            spark.conf.set(DYNAMIC, before)
-        return
+    exists = spark.catalog.tableExists(name)
+    if mode == "replace_partition":
+        if not partition:
+            raise ValueError("replace_partition needs the partition")
+        partition_by = partition_by or tuple(partition)
+        if exists:
+            _replace_partition(df, name, partition)
+            return
+    if exists and mode == "overwrite":
+        path = path or _own_location(spark, name)
     writer = df.write.mode("append" if mode == "replace_partition" else mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

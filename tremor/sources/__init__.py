@@ -1,14 +1,16 @@
 """Reading landing documents, silver files and tables."""
 
 from tremor.sources.geojson import (
+    LAYOUTS,
     NoFeaturesError,
+    checked_layout,
     content_column,
     corrupt_documents,
     parse_feature,
-    require_features,
+    parse_landed,
     scan_features,
     scan_geojson,
-    scan_raw_json,
+    scan_landed,
 )
 from tremor.sources.paths import FEEDS, landing_path, silver_path
 from tremor.sources.silver import scan_silver
@@ -16,16 +18,18 @@ from tremor.sources.tables import scan_completed_orders, scan_table
 
 __all__ = [
     "FEEDS",
+    "LAYOUTS",
     "NoFeaturesError",
+    "checked_layout",
     "content_column",
     "corrupt_documents",
     "landing_path",
     "parse_feature",
-    "require_features",
+    "parse_landed",
     "scan_completed_orders",
     "scan_features",
     "scan_geojson",
-    "scan_raw_json",
+    "scan_landed",
     "scan_silver",
     "scan_table",
     "silver_path",

@@ -15,8 +15,39 @@ from tremor import schema
 CORRUPT = "_corrupt_record"
 
 
+LAYOUTS = ("collections", "features")
+
+
 class NoFeaturesError(ValueError):
-    """Landing data was there, but not one document of it held features."""
+    """Landed documents hold no features; they lie in the rejects folder."""
+
+
+def checked_layout(layout: str) -> str:
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
+    return layout
+
+
+def parse_landed(texts: DataFrame, layout: str = "collections", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Landed texts in ``value``, parsed: ``features`` or ``feature`` beside the text.
+
+    That column is null where a text holds no feature list, or no feature. Blank
+    lines are no documents. The columns in ``keep`` stay.
+    """
+    whole = checked_layout(layout) == "collections"
+    document = F.from_json("value", schema.COLLECTION if whole else schema.FEATURE)
+    if whole:
+        content = document["features"].alias("features")
+    else:
+        content = F.when(document["properties"].isNotNull(), document).alias("feature")
+    return texts.where(F.trim(F.translate("value", "\t\r\n", "")) != "").select(*keep, "value", content)
+
+
+def scan_landed(
+    spark: SparkSession, path: str, layout: str = "collections", *, multi_line: bool = False
+) -> DataFrame:
+    """Landed documents with their text, one per line or, with ``multi_line``, one per file."""
+    return parse_landed(spark.read.text(path, wholetext=multi_line), layout)
 
 
 def scan_geojson(
@@ -44,41 +75,22 @@ def scan_features(spark: SparkSession, path: str, *, keep_corrupt: bool = False)
     return rows.select(feature, *([CORRUPT] if keep_corrupt else []))
 
 
-def scan_raw_json(spark: SparkSession, path: str, fields: T.StructType = schema.COLLECTION) -> DataFrame:
-    """Whole files as one JSON document each, whatever their line breaks.
-
-    A file is read by one task; use this for documents, not for bulk data.
-    """
-    return spark.read.schema(fields).option("multiLine", True).json(path)
-
-
 def parse_feature(df: DataFrame, col: str) -> DataFrame:
-    """Replace a feature given as JSON text by a parsed ``feature``; a feature
-    that is a struct already is only renamed."""
+    """Replace a feature given as JSON text by a parsed ``feature``, which is null
+    where the text is no feature; a feature that is a struct already is only renamed."""
     feature = F.col(col)
     if isinstance(df.schema[col].dataType, T.StringType):
-        feature = F.from_json(feature, schema.FEATURE)
+        parsed = F.from_json(feature, schema.FEATURE)
+        feature = F.when(parsed["properties"].isNotNull(), parsed)
     others = [name for name in df.columns if name != col]
     return df.select(*others, feature.alias("feature"))
 
 
 def content_column(landed: DataFrame) -> str:
-    """What a document that was read must have: a feature list, or properties."""
+    """What a document that was read must have: a feature list, or a feature's properties."""
     return "features" if "features" in landed.columns else "feature.properties"
 
 
-def require_features(landed: DataFrame) -> DataFrame:
-    """Fail when there are documents and not one has content.
-
-    That is how a pretty-printed file looks to the line-wise scan. An empty list
-    is a list: a quiet day passes. In a sound folder the first document ends the
-    search; only a folder without any is read to its end.
-    """
-    if landed.where(F.col(content_column(landed)).isNotNull()).isEmpty() and not landed.isEmpty():
-        raise NoFeaturesError("no document holds features; is a file pretty-printed (multi_line)?")
-    return landed
-
-
 def corrupt_documents(df: DataFrame) -> DataFrame:
     """Number of documents, of those with content, and of those with a value that
     did not fit its field. ``df`` comes from a scan with ``keep_corrupt``."""

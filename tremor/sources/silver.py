@@ -16,6 +16,11 @@ def scan_silver(
     read with ``partitioned=False``.
     """
     fields = schema.silver_schema(variant)
+    reader = spark.read
     if partitioned:
         fields = T.StructType([*fields, *schema.SILVER_PARTITIONS])
-    return spark.read.schema(fields).parquet(path)
+        # The folder above all partitions, so that a feed's or a day's own folder
+        # still says what feed and day it is.
+        root, found, _ = path.partition("/feed=")
+        reader = reader.option("basePath", root) if found else reader
+    return reader.schema(fields).parquet(path)

@@ -4,14 +4,24 @@ Each run takes what was landed since the last one. The stream keeps no state but
 the checkpoint's list of files, so there is nothing to watermark.
 """
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tremor import schema
-from tremor.plans.load import silver_rows
-from tremor.sinks import write_silver
+from tremor.plans.load import rejects_path, silver_rows
+from tremor.sinks import exists, write_rejects, write_silver, write_table
+from tremor.sources import (
+    NoFeaturesError,
+    checked_layout,
+    content_column,
+    parse_landed,
+    scan_silver,
+    silver_path,
+)
 
 _PARTITIONS = tuple(schema.LANDING_PARTITIONS.names)
 
@@ -21,22 +31,20 @@ def landing_stream(
     landing: str,
     *,
     layout: str = "collections",
+    multi_line: bool = False,
     max_files_per_trigger: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """A stream of partitioned landing folders, with ``feed`` and ``load_date``.
+    """A stream of partitioned landing folders, parsed, with ``feed`` and ``load_date``.
 
     ``options`` go to the file source, such as ``cleanSource`` to archive landed
     files once they are loaded, which keeps the listing of the folder short.
     """
-    fields = schema.COLLECTION if layout == "collections" else schema.FEATURE
-    reader = spark.readStream.schema(T.StructType([*fields, *schema.LANDING_PARTITIONS])).options(**options)
+    fields = T.StructType([T.StructField("value", T.StringType()), *schema.LANDING_PARTITIONS])
+    reader = spark.readStream.schema(fields).options(**options)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(landing)
-    if layout == "features":
-        stream = stream.select(F.struct(*fields.names).alias("feature"), *_PARTITIONS)
-    return stream
+    return parse_landed(reader.text(landing, wholetext=multi_line), layout, _PARTITIONS)
 
 
 def load_incremental(
@@ -45,9 +53,16 @@ def load_incremental(
     silver: str,
     checkpoint: str,
     *,
+    table: str | None = None,
+    table_path: str | None = None,
     layout: str = "collections",
+    multi_line: bool = False,
     variant: str = "typed",
     area_rule: str | None = None,
+    load_ts: datetime | None = None,
+    rebalance: bool | None = None,
+    rejects: str | None = None,
+    keep_good: bool = False,
     max_files_per_trigger: int | None = None,
     **options: str,
 ) -> StreamingQuery:
@@ -56,29 +71,78 @@ def load_incremental(
     A micro-batch overwrites only its own ``load_id`` folders, which are named
     after the query and the batch number. When a run is cut short, the next one
     repeats the batch that was open and replaces what there is of it, so no row
-    is lost or doubled. Loads by ``load`` can share the silver folder.
+    is lost or doubled. Loads by ``load`` can share the silver folder. ``table``
+    is partitioned by feed, day and load id, and filled in the same way.
+
+    Documents without features go to ``rejects``, as in ``load``. The batch then
+    fails before it writes silver, stays open, and is taken up by the next run;
+    with ``keep_good`` it goes on with the rest. Each progress report of the query
+    has the numbers of documents and of readable ones, observed as ``landed``.
     """
+    checked_layout(layout)
+    schema.silver_schema(variant)
+    rejects = rejects or rejects_path(silver)
+    spread = layout == "collections" if rebalance is None else rebalance
+    keys = tuple(schema.SILVER_PARTITIONS.names)
+
     def write_batch(batch: DataFrame, number: int) -> None:
-        rows = silver_rows(
-            batch, layout=layout, variant=variant, area_rule=area_rule, keep=_PARTITIONS
-        )
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if not query_id:
             raise RuntimeError("the batch has no query id to name its folders after")
+        load_id = f"stream-{query_id}-{number}"
+        content = F.col(content_column(batch))
+        bad = batch.where(content.isNull()).withColumn("load_id", F.lit(load_id))
+        if not bad.isEmpty():
+            write_rejects(bad, rejects, replace_partitions=True)
+            if not keep_good:
+                raise NoFeaturesError(
+                    f"documents without features are in {rejects}, load_id={load_id}"
+                )
+        rows = silver_rows(
+            batch.where(content.isNotNull()),
+            layout=layout,
+            variant=variant,
+            area_rule=area_rule,
+            load_ts=load_ts,
+            keep=_PARTITIONS,
+        )
         write_silver(
-            rows.withColumn("load_id", F.lit(f"stream-{query_id}-{number}")),
+            rows.withColumn("load_id", F.lit(load_id)),
             silver,
             "overwrite",
             variant=variant,
-            partition_by=tuple(schema.SILVER_PARTITIONS.names),
+            partition_by=keys,
+            rebalance=spread,
             replace_partitions=True,
         )
+        if table is not None:
+            _fill_table(batch, load_id)
+
+    def _fill_table(batch: DataFrame, load_id: str) -> None:
+        """Each feed and day of the batch, from the silver folder it has just written."""
+        session = batch.sparkSession
+        for feed, day in batch.select(*_PARTITIONS).distinct().collect():
+            folder = silver_path(silver, feed, day)
+            if exists(session, f"{folder}/load_id={load_id}"):
+                rows = scan_silver(session, folder, variant).where(F.col("load_id") == load_id)
+                partition = {"feed": feed, "load_date": day.isoformat(), "load_id": load_id}
+                write_table(rows, table, "replace_partition", partition=partition, path=table_path)
 
     stream = landing_stream(
-        spark, landing, layout=layout, max_files_per_trigger=max_files_per_trigger, **options
+        spark,
+        landing,
+        layout=layout,
+        multi_line=multi_line,
+        max_files_per_trigger=max_files_per_trigger,
+        **options,
+    )
+    counted = stream.observe(
+        "landed",
+        F.count("*").alias("documents"),
+        F.count(F.col(content_column(stream))).alias("readable"),
     )
     return (
-        stream.writeStream.foreachBatch(write_batch)
+        counted.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
