@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tremor import checks
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -22,10 +23,12 @@ def duck(sf_dir):
 
 
 def test_every_query_has_its_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert checks.queries().keys() == checks.oracle_sql().keys()
+    assert checks.queries().keys() <= entry.queries().keys()
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", checks.queries())
 def test_query_equals_sql(spark, duck, sf_dir, name):
     df = entry.queries()[name](spark, sf_dir)
     result = duck.execute(entry.oracle_sql()[name])

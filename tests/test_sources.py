@@ -9,15 +9,13 @@ from tremor import schema
 from tremor.operators.flatten import explode_features
 from tremor.sinks import write_landing, write_silver, write_table
 from tremor.sources import (
-    NoFeaturesError,
     corrupt_documents,
     landing_path,
     parse_feature,
-    require_features,
     scan_completed_orders,
     scan_features,
     scan_geojson,
-    scan_raw_json,
+    scan_landed,
     scan_silver,
     scan_table,
     silver_path,
@@ -56,17 +54,19 @@ def test_pretty_printed_file(spark, tmp_path):
     document = collection(feature("a", mag=1.5), feature("b"))
     compact = land(tmp_path / "compact", document)
     pretty = land(tmp_path / "pretty", document, indent=2)
-    with pytest.raises(NoFeaturesError):
-        require_features(scan_geojson(spark, pretty))
+    assert scan_landed(spark, pretty).where("features IS NOT NULL").isEmpty()
+    assert scan_landed(spark, pretty, multi_line=True).select("features").collect() == (
+        scan_landed(spark, compact).select("features").collect()
+    )
     expected = scan_geojson(spark, compact).collect()
     assert scan_geojson(spark, pretty, multi_line=True).collect() == expected
-    assert scan_raw_json(spark, pretty).collect() == expected
-    assert scan_raw_json(spark, compact).collect() == expected
+    assert scan_geojson(spark, compact, multi_line=True).collect() == expected
 
 
 def test_quiet_and_absent_days_are_no_error(spark, tmp_path):
-    assert require_features(scan_geojson(spark, land(tmp_path / "quiet", collection()))).count() == 1
-    assert require_features(scan_geojson(spark, land(tmp_path / "empty"))).count() == 0
+    [row] = scan_landed(spark, land(tmp_path / "quiet", collection())).collect()
+    assert row.features == []
+    assert scan_landed(spark, land(tmp_path / "empty")).count() == 0
 
 
 def test_feature_lines_and_feature_text(spark, tmp_path):
@@ -93,10 +93,11 @@ def test_corrupt_values_are_counted(spark, tmp_path):
 
 def test_landing_keeps_nulls(spark, tmp_path):
     df = spark.sql("SELECT 'FeatureCollection' AS type, cast(NULL AS string) AS metadata")
-    write_landing(df, str(tmp_path / "l"))
-    write_landing(df, str(tmp_path / "l"))
-    lines = [r[0] for r in spark.read.text(str(tmp_path / "l")).collect()]
-    assert lines == ['{"type":"FeatureCollection","metadata":null}'] * 2
+    for mode, files in (("overwrite", 1), ("overwrite", 1), ("append", 2)):
+        write_landing(df, str(tmp_path / "l"), mode)
+        lines = [r[0] for r in spark.read.text(str(tmp_path / "l")).collect()]
+        assert lines == ['{"type":"FeatureCollection","metadata":null}'] * files
+    assert {p.suffix for p in (tmp_path / "l").glob("part-*")} == {".json"}
 
 
 def test_silver_is_cast_to_its_schema(spark, tmp_path):
@@ -128,15 +129,17 @@ def test_table_modes(spark):
     write_table(day(3, "2024-01-01"), "modes", "append", partition_by=by)
     write_table(day(4, "2024-01-02"), "modes", "append", partition_by=by)
     assert counts() == {"2024-01-01": 6, "2024-01-02": 4}
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    first = {"feed": "daily", "load_date": "2024-01-01"}
     # Columns in another order than the table's.
-    write_table(day(2, "2024-01-01").select("load_date", "feed", "id"), "modes", "replace_partition", partition_by=by)
+    write_table(day(2, "2024-01-01").select("load_date", "feed", "id"), "modes", "replace_partition", partition=first)
     assert counts() == {"2024-01-01": 2, "2024-01-02": 4}
-    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    write_table(day(0, "2024-01-01"), "modes", "replace_partition", partition=first)
+    assert counts() == {"2024-01-02": 4}
     write_table(day(5, "2024-01-03"), "modes", "overwrite", partition_by=by)
     assert counts() == {"2024-01-03": 5}
     spark.sql("DROP TABLE modes")
-    write_table(day(1, "2024-01-04"), "modes", "replace_partition", partition_by=by)
+    fourth = {"feed": "daily", "load_date": "2024-01-04"}
+    write_table(day(1, "2024-01-04"), "modes", "replace_partition", partition=fourth)
     assert counts() == {"2024-01-04": 1}
     spark.sql("DROP TABLE modes")
 

@@ -7,6 +7,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tremor import schema
 from tremor.checks import inputs as i
 from tremor.checks.inputs import Query
 from tremor.functions import area_comma, area_tail, epoch_ms_to_str, epoch_ms_to_ts
@@ -196,7 +197,7 @@ def frequency_intensity(spark, sf_dir):
     return _rounded(a.frequency_intensity(i.quakes(spark, sf_dir)), "intensity", 4)
 
 
-def _answers(df: DataFrame, name: str, number: str | None) -> DataFrame:
+def _answers(df: DataFrame, name: str, number: str | None, digits: int = 4) -> DataFrame:
     """One analysis as rows of a shared shape; without a number, a one per row."""
 
     def field(col: str) -> Column:
@@ -205,7 +206,7 @@ def _answers(df: DataFrame, name: str, number: str | None) -> DataFrame:
     return df.select(
         F.lit(name).alias("analysis"),
         *[field(col).alias(col) for col in ("area", "day", "place")],
-        F.round((F.col(number) if number else F.lit(1)).cast("double"), 4).alias("number"),
+        F.round((F.col(number) if number else F.lit(1)).cast("double"), digits).alias("number"),
     )
 
 
@@ -531,3 +532,180 @@ def orders_report(spark, sf_dir):
         .unionByName(part("large", report.large_orders, F.col("user_id"), "total"))
         .unionByName(part("small", report.small_orders, F.col("user_id"), "total"))
     )
+
+
+# ---- documents that cannot be read, days that are replaced -------------------
+
+_NEXT = i.LOAD_DATE.replace(day=i.LOAD_DATE.day + 1)
+# One text for each event that is no document, beside the documents.
+_BAD_SQL = "SELECT 'rejected' AS kind, '{\"features\": [ ' || event_id AS text FROM events"
+_KEPT_SQL = f"{i.SILVER_CTE}SELECT 'kept' AS kind, id AS text FROM silver UNION ALL {_BAD_SQL}"
+
+
+def _land_bad(spark: SparkSession, sf_dir: str, path: str) -> None:
+    text = F.concat(F.lit('{"features": [ '), F.col("event_id").cast("string"))
+    i.events(spark, sf_dir).select(text.alias("value")).write.mode("append").text(path)
+
+
+def _kept_and_rejected(spark: SparkSession, silver: str, rejects: str) -> DataFrame:
+    kept = scan_silver(spark, silver).select(F.lit("kept").alias("kind"), F.col("id").alias("text"))
+    bad = spark.read.parquet(rejects).select(F.lit("rejected").alias("kind"), "text")
+    return kept.unionByName(bad)
+
+
+def _load_with_bad(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
+    landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
+    path = landing_path(landing, "daily", i.LOAD_DATE)
+    whole = layout == "collections"
+    write_landing((i.collections if whole else i.single_features)(spark, sf_dir), path)
+    _land_bad(spark, sf_dir, path)
+    done = load(
+        spark, "daily", i.LOAD_DATE, landing=landing, silver=silver, layout=layout, keep_good=True
+    )
+    return _kept_and_rejected(spark, silver, done.rejects)
+
+
+@_query(_KEPT_SQL)
+def load_with_bad_documents(spark, sf_dir):
+    return _load_with_bad(spark, sf_dir, "collections")
+
+
+@_query(_KEPT_SQL)
+def load_with_bad_lines(spark, sf_dir):
+    return _load_with_bad(spark, sf_dir, "features")
+
+
+@_query(_KEPT_SQL)
+def load_stream_with_bad_documents(spark, sf_dir):
+    landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
+    path = landing_path(landing, "daily", i.LOAD_DATE)
+    write_landing(i.collections(spark, sf_dir), path)
+    _land_bad(spark, sf_dir, path)
+    rejects = scratch_path(spark, "rejects")
+    load_incremental(
+        spark, landing, silver, scratch_path(spark, "checkpoint"), rejects=rejects, keep_good=True
+    ).awaitTermination()
+    return _kept_and_rejected(spark, silver, rejects)
+
+
+@_query(f"{i.SILVER_CTE}SELECT {i.SILVER_COLUMNS_SQL}, 'daily' AS feed, '{_NEXT}' AS load_date FROM silver")
+def load_replacing_with_nothing(spark, sf_dir):
+    """Two days are loaded; the first is landed again without features, and replaced."""
+    landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
+    full = i.collections(spark, sf_dir)
+    empty = full.withColumn("features", F.slice("features", 1, 0))
+
+    def fill(name, path):
+        for day, documents in ((i.LOAD_DATE, full), (_NEXT, full), (i.LOAD_DATE, empty)):
+            write_landing(documents, landing_path(landing, "daily", day))
+            load(
+                spark, "daily", day, landing=landing, silver=silver, table=name, table_path=path,
+                mode="replace_partition", load_ts=i.LOAD_TS,
+            )
+
+    return _loaded_view(_through_table(spark, fill))
+
+
+@_query(_loaded_sql("daily"))
+def load_large_collections(spark, sf_dir):
+    """A document for each kind of event and hour."""
+    landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
+    hourly = (
+        i.features(spark, sf_dir)
+        .withColumn("hour", F.col("whole.properties.time").substr(1, 7))
+        .groupBy("whole.properties.net", "hour")
+        .agg(F.flatten(F.collect_list(F.array("whole", "poor"))).alias("features"))
+        .select(F.lit("FeatureCollection").alias("type"), "features")
+    )
+    write_landing(hourly, landing_path(landing, "daily", i.LOAD_DATE))
+    load(spark, "daily", i.LOAD_DATE, landing=landing, silver=silver, load_ts=i.LOAD_TS)
+    return _loaded_view(scan_silver(spark, silver))
+
+
+@_query(_loaded_sql("daily", "historical"))
+def load_stream_table(spark, sf_dir):
+    landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
+
+    def fill(name, path):
+        for feed in ("daily", "historical"):
+            write_landing(i.collections(spark, sf_dir), landing_path(landing, feed, i.LOAD_DATE))
+        load_incremental(
+            spark, landing, silver, scratch_path(spark, "checkpoint"), table=name,
+            table_path=path, load_ts=i.LOAD_TS,
+        ).awaitTermination()
+
+    return _loaded_view(_through_table(spark, fill))
+
+
+# ---- instants with a zone, the text variant, partitions, large numbers -------
+
+
+def _zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    instant = F.timestamp_millis(i.utc_millis("insert_dt"))
+    return i.quakes(spark, sf_dir).withColumn("insert_dt", instant)
+
+
+@_query(i.QUAKES_SQL + f"SELECT {_DAY} AS day, count(*) AS n FROM q GROUP BY 1")
+def count_by_day_zoned(spark, sf_dir):
+    return _day_text(a.count_by(a.with_day(_zoned(spark, sf_dir), "insert_dt"), "day"))
+
+
+_LAST_WEEK_SQL = i.QUAKES_SQL + """SELECT id, mag FROM q
+WHERE insert_dt >= TIMESTAMP '2024-01-15' AND insert_dt < TIMESTAMP '2024-01-22'"""
+
+
+@_query(_LAST_WEEK_SQL)
+def last_week_zoned(spark, sf_dir):
+    return a.last_week(_zoned(spark, sf_dir), "insert_dt", i.AS_OF).select("id", "mag")
+
+
+@_query(_LAST_WEEK_SQL)
+def last_week_partitioned(spark, sf_dir):
+    """From folders by day, of which only those of that week and shortly before are read."""
+    path = scratch_path(spark, "by-day")
+    a.with_day(i.quakes(spark, sf_dir), "insert_dt", "load_date").write.partitionBy("load_date").parquet(path)
+    rows = a.last_week(spark.read.parquet(path), "insert_dt", i.AS_OF, partition="load_date")
+    return rows.select("id", "mag")
+
+
+_TEXT_SQL = f"""{i.SILVER_CTE}, q AS (
+  SELECT mag, area_comma AS area, place, TIMESTAMP '{i.LOAD_TS:%Y-%m-%d %H:%M:%S}' AS insert_dt FROM silver
+), answers(analysis, area, day, place, number) AS (
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{name}', {sql.replace('2024-01-15', '2024-01-29').replace('2024-01-22', '2024-02-05')}"
+    for name, (_, sql) in _SUITE.items()
+) + "\n) SELECT analysis, area, day, place, round(CAST(number AS DOUBLE), 8) AS number FROM answers"
+
+
+@_query(_TEXT_SQL)
+def load_text_variant(spark, sf_dir):
+    """All analyses over a loaded table of the text variant."""
+    landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
+    write_landing(i.collections(spark, sf_dir), landing_path(landing, "daily", i.LOAD_DATE))
+
+    def fill(name, path):
+        load(
+            spark, "daily", i.LOAD_DATE, landing=landing, silver=silver, table=name,
+            table_path=path, variant="text", load_ts=i.LOAD_TS,
+        )
+
+    answers = analyses(
+        _through_table(spark, fill),
+        i.LOAD_DATE.replace(month=2, day=7),
+        threshold=i.HIGH_VALUE,
+        **schema.ANALYSIS_COLUMNS["text"],
+    )
+    parts = [_answers(answers[name], name, number, 8) for name, (number, _) in _SUITE.items()]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+@_query(i.ORDERS_CTE + "SELECT '(' || user_id || ', ' || CAST(round(total * 100, 1) AS VARCHAR) || ')' AS line FROM totals")
+def pairs_text_large(spark, sf_dir):
+    path = scratch_path(spark, "pairs")
+    totals = _totals(spark, sf_dir).withColumn("total", F.round(F.col("total") * 100, 1))
+    write_pairs_text(totals, path, "user_id", "total")
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
