@@ -44,6 +44,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+ROW = "__row"
+GIVEN = "__given"
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """All columns in one, so that no name meets an operator's own, and the row's place."""
+    return df.select(F.struct("*").alias(GIVEN), F.monotonically_increasing_id().alias(ROW))
+
+
+def given(name: str) -> Column:
+    return F.col(GIVEN)[name]
+
+
+def unpacked(df: DataFrame, columns: list[str], text: Column | None = None) -> DataFrame:
+    """The columns as they were given; with a new ``text``, and ``n_chars`` to fit it."""
+    made = {}
+    if text is not None:
+        made = {"text": text, "n_chars": F.char_length(text)}
+    return df.select(
+        *(
+            (made[c].cast(df.schema[GIVEN].dataType[c].dataType) if c in made else given(c)).alias(c)
+            for c in columns
+        )
+    )
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

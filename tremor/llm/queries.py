@@ -385,17 +385,14 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.find_repeats(table(spark, sf_dir, "documents"))
     copied = F.coalesce("copy", F.lit(False))
-    kept = F.octet_length("kept").cast("bigint")
-    whole = F.when(copied, F.lit(b"")).otherwise(F.col("kept"))
+    removed = F.coalesce(F.col("n_bytes") - F.col("n_kept"), F.lit(0))
+    spans = F.coalesce(F.size("starts"), F.lit(0))
     return found.select(
         "doc_id",
         "n_bytes",
-        F.when(copied, F.col("n_bytes"))
-        .otherwise(F.coalesce(F.col("n_bytes") - kept, F.lit(0)))
-        .alias("n_removed"),
-        F.when(copied, F.lit(1))
-        .otherwise(F.coalesce(F.size("starts"), F.lit(0)))
-        .cast("bigint")
-        .alias("n_spans"),
-        F.coalesce(F.sha2(whole, 256), F.col("digest")).alias("kept_sha256"),
+        F.when(copied, F.col("n_bytes")).otherwise(removed).alias("n_removed"),
+        F.when(copied, F.lit(1)).otherwise(spans).cast("bigint").alias("n_spans"),
+        F.when(copied, F.sha2(F.lit("").cast("binary"), 256))
+        .otherwise(F.coalesce("kept_sha256", "digest"))
+        .alias("kept_sha256"),
     )

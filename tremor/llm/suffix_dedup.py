@@ -13,7 +13,8 @@ through one task; instead the suffixes that can share a string are brought toget
    segments around shared anchors leave their block, equal ones of a block as one row.
 3. The distinct segments of an anchor are put in one text, and suffix arrays are built of many
    such texts at once (``suffixes``). Equal strings are neighbours there; the least document
-   id among them decides for all. Where an anchor has one segment only, no order is needed.
+   id among them decides for all. A segment that shares no string's hash with another one of
+   its anchor is left out beforehand, and where one segment is all there is, no order is needed.
 4. An anchor that occurs HOT times or more would gather many segments in one task. Its strings
    go by their own hash instead of the anchor's, so that each such group has one string.
    Its rows, one for each block, are read one after the other with the least id first.
@@ -37,7 +38,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import list_array, offsets, ragged, ship, text_or_empty
+from tremor.llm.common import (
+    ROW,
+    given,
+    list_array,
+    offsets,
+    packed,
+    ragged,
+    ship,
+    text_or_empty,
+    unpacked,
+)
 from tremor.llm.suffixes import suffix_arrays
 from tremor.sinks import stored
 
@@ -47,8 +58,10 @@ BLOCK = 2 << 20
 #: Anchors that a task of step 2 gathers, about.
 BUCKET = 1 << 20
 #: Occurrences from which the strings of an anchor go by their own hash.
-HOT = 4096
-ROW = "__row"
+HOT = 2048
+#: Segments that a task settles together, and symbols whose suffixes it sorts in step.
+GATHER = 60_000
+STEP_SYMBOLS = 1 << 20
 NO_ID = -(1 << 63)
 _STEP = 1 << 20
 _BASE = np.uint64(0x100000001B3)
@@ -192,7 +205,9 @@ def _shared(reported: DataFrame) -> DataFrame:
     )
 
 
-_SENT = "route bigint, kind int, least bigint, text binary, block bigint, places array<int>, starts array<int>, ids array<bigint>"
+#: ``entries`` has for each occurrence its document's place in the block, its start and the id.
+_SENT = "route bigint, kind int, least bigint, text binary, block bigint, entries binary"
+_ENTRY = np.dtype([("place", "<i4"), ("start", "<i4"), ("id", "<i8")])
 
 
 def _sent(documents: DataFrame, shared: DataFrame, bits: int) -> DataFrame:
@@ -240,7 +255,11 @@ def _sent(documents: DataFrame, shared: DataFrame, bits: int) -> DataFrame:
         order = np.lexsort((documents_, group))
         first = np.flatnonzero(np.r_[True, np.diff(group[order]) > 0])
         sizes = np.diff(np.r_[first, len(order)])
-        ids = block.ids[documents_[order]]
+        entries = np.empty(len(order), _ENTRY)
+        entries["place"] = documents_[order]
+        entries["start"] = starts[order] - block.at[documents_[order]]
+        entries["id"] = ids = block.ids[documents_[order]]
+        packed, width = entries.tobytes(), _ENTRY.itemsize
         head = order[first]
         return pa.table(
             {
@@ -249,11 +268,13 @@ def _sent(documents: DataFrame, shared: DataFrame, bits: int) -> DataFrame:
                 "least": pa.array(np.minimum.reduceat(ids, first), pa.int64()),
                 "text": pa.array([text for _, text in distinct], pa.binary()),
                 "block": pa.array([block_id] * len(head), pa.int64()),
-                "places": list_array(documents_[order], sizes, pa.int32()),
-                "starts": list_array(
-                    starts[order] - block.at[documents_[order]], sizes, pa.int32()
+                "entries": pa.array(
+                    [
+                        packed[width * a : width * (a + n)]
+                        for a, n in zip(first.tolist(), sizes.tolist(), strict=True)
+                    ],
+                    pa.binary(),
                 ),
-                "ids": list_array(ids, sizes, pa.int64()),
             }
         )
 
@@ -278,45 +299,73 @@ def _least_owner(texts: list[bytes], route: np.ndarray, least: np.ndarray):
     Texts of one route are neighbours. Returns the ids, one text's strings after the other's.
     """
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    strings = lengths - LENGTH + 1
-    at = offsets(strings)
-    out = np.repeat(least, strings)
-    begins = np.flatnonzero(np.r_[True, route[1:] != route[:-1]])
-    sizes = np.diff(np.r_[begins, len(texts)])
-    several = np.repeat(sizes > 1, sizes)
-    if not several.any():
-        return out, at
+    at = offsets(lengths - LENGTH + 1)
+    out = np.repeat(least, lengths - LENGTH + 1)
+    number = np.cumsum(np.r_[0, route[1:] != route[:-1]])
+    routes = number[-1] + 1
+    chosen = np.flatnonzero(np.bincount(number)[number] > 1)
+    chosen = chosen[_may_match(texts, lengths, number, chosen)]
+    total = np.bincount(number[chosen], lengths[chosen] + 1, minlength=routes)
+    # Texts of about one length go in step, so that none waits for much longer ones.
+    chosen = chosen[np.lexsort((number[chosen], total[number[chosen]]))]
+    step = np.log2(np.maximum(total[number[chosen]], 1)).astype(np.int64)
+    part = np.cumsum(lengths[chosen] + 1) // STEP_SYMBOLS
+    new = np.ones(len(chosen), bool)
+    new[1:] = (step[1:] != step[:-1]) | (part[1:] != part[:-1])
+    new[1:] &= number[chosen][1:] != number[chosen][:-1]
+    cuts = np.flatnonzero(new)
+    for lo, hi in zip(cuts, np.r_[cuts[1:], len(chosen)], strict=False):
+        _settle(chosen[lo:hi], texts, lengths, number, least, at, out)
+    return out, at
+
+
+def _may_match(texts, lengths, number, chosen) -> np.ndarray:
+    """Which texts share the hash of a string with another text of their route."""
+    out = np.zeros(len(chosen), bool)
+    if not len(chosen):
+        return out
+    data = np.frombuffer(b"".join([texts[i] for i in chosen]), np.uint8)
+    strings = lengths[chosen] - LENGTH + 1
+    starts = ragged(offsets(lengths[chosen])[:-1], strings)
+    owner = np.repeat(np.arange(len(chosen)), strings)
+    hashed = _run_hashes(data, LENGTH)[starts] ^ _mixed(number[chosen][owner].astype(np.uint64))
+    order = np.argsort(hashed, kind="stable")  # a text's own strings stay together
+    hashed, owner = hashed[order], owner[order]
+    same = (hashed[1:] == hashed[:-1]) & (owner[1:] != owner[:-1])
+    out[owner[1:][same]] = True
+    out[owner[:-1][same]] = True
+    return out
+
+
+def _settle(chosen, texts, lengths, number, least, at, out) -> None:
+    """Sort the suffixes of some routes' texts, and let the least id of equal strings count."""
     # One text for each route: its segments with a mark after each, the last one the least.
-    chosen = np.flatnonzero(several)
     total = lengths[chosen] + 1
     place = offsets(total)
     symbols = np.ones(place[-1], np.uint16)
     body = ragged(place[:-1], lengths[chosen])
     symbols[body] = np.frombuffer(b"".join([texts[i] for i in chosen]), np.uint8)
     symbols[body] += 2
-    last = np.flatnonzero(np.r_[route[chosen][1:] != route[chosen][:-1], True])
+    last = np.flatnonzero(np.r_[number[chosen][1:] != number[chosen][:-1], True])
     symbols[place[1:][last] - 1] = 0
     joined = np.diff(np.r_[0, place[1:][last]])
-    order, bounds = suffix_arrays(symbols, joined)
+    order, _ = suffix_arrays(symbols, joined)
 
     # Only suffixes that begin with a whole string count.
     owner = np.repeat(np.arange(len(chosen)), total)
     inside = np.arange(place[-1]) - place[owner]
-    whole = inside + LENGTH <= lengths[chosen][owner]
-    of_route = np.repeat(np.arange(len(joined)), joined)[whole[order]]
-    order = order[whole[order]]
-    same = np.zeros(len(order), bool)
+    whole = (inside + LENGTH <= lengths[chosen][owner])[order]
+    of_route = np.repeat(np.arange(len(joined)), joined)[whole]
+    order = order[whole]
     ahead = np.flatnonzero(of_route[1:] == of_route[:-1]) + 1
-    for i in range(0, len(ahead), 100_000):
-        part = ahead[i : i + 100_000]
-        step = np.arange(LENGTH)
-        here, there = order[part][:, None] + step, order[part - 1][:, None] + step
-        same[part] = (symbols[here] == symbols[there]).all(axis=1)
+    for k in range(LENGTH):
+        ahead = ahead[symbols[order[ahead] + k] == symbols[order[ahead - 1] + k]]
+    same = np.zeros(len(order), bool)
+    same[ahead] = True
     heads = np.flatnonzero(~same)
     ids = least[chosen][owner[order]]
     best = np.repeat(np.minimum.reduceat(ids, heads), np.diff(np.r_[heads, len(order)]))
     out[at[chosen[owner[order]]] + inside[order]] = best
-    return out, at
 
 
 _CUT = "block bigint, places array<int>, starts array<int>, ends array<int>"
@@ -327,9 +376,10 @@ def _cuts(rows: pa.Table, least: np.ndarray, at: np.ndarray, text: np.ndarray) -
 
     ``text`` says which text each row has; ``least`` and ``at`` are of the texts.
     """
-    lists = [rows[c].combine_chunks() for c in ("places", "starts", "ids")]
-    sizes = np.diff(lists[0].offsets.to_numpy()).astype(np.int64)
-    places, starts, ids = (x.flatten().to_numpy() for x in lists)
+    packed = rows["entries"].to_pylist()
+    sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // _ENTRY.itemsize
+    given = np.frombuffer(b"".join(packed), _ENTRY)
+    places, starts, ids = given["place"], given["start"], given["id"]
     row = np.repeat(np.arange(rows.num_rows), sizes)
     strings = np.diff(at)[text][row]
     string = ragged(at[:-1][text][row], strings)
@@ -359,6 +409,19 @@ def _cuts(rows: pa.Table, least: np.ndarray, at: np.ndarray, text: np.ndarray) -
     )
 
 
+def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together to GATHER rows or more."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= GATHER:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, rows = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def _ranges(sent: DataFrame) -> DataFrame:
     """Ranges to remove, as lists for each block."""
     ordered = sent.repartition("route").sortWithinPartitions("kind", "route", "text", "least")
@@ -389,9 +452,8 @@ def _ranges(sent: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_, known = None, {}
-        for batch in batches:
-            for i in range(0, batch.num_rows, 4096):
-                table = pa.Table.from_batches([batch.slice(i, 4096)])
+        for table in _gathered(batches):
+            if table.num_rows:
                 plain = int((table["kind"].to_numpy() == _SEGMENT).sum())
                 if plain:
                     part = table.slice(0, plain)
@@ -413,8 +475,8 @@ def _ranges(sent: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, _CUT)
 
 
-def _cut_out(documents: DataFrame, ranges: DataFrame) -> DataFrame:
-    """For each document that loses bytes: its row, the removed runs and the bytes it keeps."""
+def _cut_out(documents: DataFrame, ranges: DataFrame, texts: bool) -> DataFrame:
+    """For each document that loses bytes: its row, the removed runs and what it keeps."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         kinds = pa.schema(
@@ -422,6 +484,8 @@ def _cut_out(documents: DataFrame, ranges: DataFrame) -> DataFrame:
                 (ROW, pa.int64()),
                 ("starts", pa.list_(pa.int32())),
                 ("ends", pa.list_(pa.int32())),
+                ("n_kept", pa.int64()),
+                ("kept_sha256", pa.string()),
                 ("kept", pa.binary()),
             ]
         )
@@ -442,7 +506,9 @@ def _cut_out(documents: DataFrame, ranges: DataFrame) -> DataFrame:
             lo, hi = block.at[i], block.at[i + 1]
             edge = np.flatnonzero(np.diff(np.r_[0, gone[lo:hi].view(np.int8), 0]))
             kept = data[lo:hi][~gone[lo:hi]].tobytes()
-            out.append((int(block.rows[i]), edge[::2].tolist(), edge[1::2].tolist(), kept))
+            digest = hashlib.sha256(kept).hexdigest()
+            row = (int(block.rows[i]), edge[::2].tolist(), edge[1::2].tolist())
+            out.append((*row, len(kept), digest, kept if texts else None))
         columns = zip(*out, strict=True)
         arrays = [pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)]
         return pa.Table.from_arrays(arrays, schema=kinds)
@@ -450,16 +516,22 @@ def _cut_out(documents: DataFrame, ranges: DataFrame) -> DataFrame:
     return (
         documents.groupBy("block")
         .cogroup(ranges.groupBy("block"))
-        .applyInArrow(run, f"{ROW} bigint, starts array<int>, ends array<int>, kept binary")
+        .applyInArrow(
+            run,
+            f"{ROW} bigint, starts array<int>, ends array<int>, n_kept bigint, "
+            "kept_sha256 string, kept binary",
+        )
     )
 
 
-def find_repeats(documents: DataFrame) -> DataFrame:
-    """A row for each document: __row, doc_id, n_bytes, digest, copy, starts, ends and kept.
+def find_repeats(documents: DataFrame, texts: bool = False) -> DataFrame:
+    """A row for each document: what goes and what stays.
 
-    ``starts`` and ``ends`` are the removed runs of bytes and ``kept`` the bytes that are left;
-    all three are null where nothing goes, and in a ``copy`` of a whole earlier text, of which
-    nothing is left. ``digest`` is the SHA-256 of the whole text.
+    Columns: __row, doc_id, n_bytes, digest (SHA-256 of the whole text), copy, starts, ends,
+    n_kept, kept_sha256 and kept. ``starts`` and ``ends`` are the removed runs of bytes, and
+    the last three tell of the bytes that are left, ``kept`` with ``texts`` only. All of them
+    are null where nothing goes, and in a ``copy`` of a whole earlier text, of which nothing
+    is left.
     """
     ship(documents.sparkSession)
     rowed = documents.select(
@@ -485,29 +557,22 @@ def find_repeats(documents: DataFrame) -> DataFrame:
     alone = rowed.filter(F.octet_length("text") >= LENGTH).join(copies.select(ROW), ROW, "left_anti")
     blocked = alone.select(ROW, number, "text", F.pmod(F.xxhash64(ROW), F.lit(blocks)).alias("block"))
     shared = _shared(_reported(blocked, bits))
-    cut = _cut_out(blocked, _ranges(_sent(blocked, shared, bits)))
+    cut = _cut_out(blocked, _ranges(_sent(blocked, shared, bits)), texts)
     return facts.drop("id").join(copies, ROW, "left").join(cut, ROW, "left")
 
 
-def _sha256(text: bytes) -> str:
-    return hashlib.sha256(text).hexdigest()
-
-
 def deduplicate(documents: DataFrame) -> DataFrame:
-    """The documents with what is left of their texts, without those that nothing is left of.
+    """The documents with what is left of their texts, without those that lost all but blanks.
 
     A character of which a byte goes goes whole. ``n_chars`` follows the text.
     """
-    found = find_repeats(documents).filter(F.col("copy") | F.col("kept").isNotNull())
+    found = find_repeats(documents, texts=True).filter(F.col("copy") | F.col("kept").isNotNull())
     left = stored(found.select(ROW, "copy", "kept"), "kept")
-    rowed = documents.withColumn(ROW, F.monotonically_increasing_id()).join(left, ROW, "left")
-    text = F.when(F.col("kept").isNull(), F.col("text")).otherwise(whole_characters(F.col("kept")))
-    cleaned = rowed.filter(F.col("copy").isNull()).withColumn("text", text)
-    cleaned = cleaned.filter(F.col("kept").isNull() | (F.length(F.trim("text")) > 0))
-    if "n_chars" in documents.columns:
-        kind = documents.schema["n_chars"].dataType
-        cleaned = cleaned.withColumn("n_chars", F.char_length("text").cast(kind))
-    return cleaned.select(*documents.columns)
+    rows = packed(documents).join(left, ROW, "left").filter(F.col("copy").isNull())
+    text = F.when(F.col("kept").isNull(), given("text")).otherwise(whole_characters(F.col("kept")))
+    cleaned = rows.withColumn("__left", text)
+    cleaned = cleaned.filter(F.col("kept").isNull() | (F.length(F.trim("__left")) > 0))
+    return unpacked(cleaned, documents.columns, F.col("__left"))
 
 
 def whole_characters(data: Column) -> Column:
