@@ -96,7 +96,8 @@ def format_conversations(df: DataFrame, trained: str = "assistant") -> DataFrame
     order = ["conv_id", "turn", "role", "text"]
     empty = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")]
     turns = df.select("conv_id", "turn", *empty)
-    ordered = turns.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Rows of one turn stay together, so that their order is that of the whole table.
+    ordered = turns.repartitionByRange("conv_id", "turn").sortWithinPartitions(*order)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, chunks = TaskContext.get().partitionId(), 0

@@ -20,14 +20,13 @@ place in the input, which has to be stable: a table, or a frame that is stored.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import lower_ascii
+from tremor.llm.common import ROW, given, lower_ascii, packed, unpacked
 from tremor.llm.words import LETTER_WORD, hashes, with_run_hashes, words
 from tremor.sinks import stored
 
 LENGTH = 10
 #: Windows of the benchmark up to which the set is sent to all tasks: some 20 MB.
 MOST_BROADCAST = 200_000
-ROW = "__row"
 # A word with the characters before it, and what follows the last word.
 _PIECE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _TAIL = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\z"
@@ -118,25 +117,22 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, length: int = LENGTH)
     )
 
 
-def _with_rows(documents: DataFrame) -> DataFrame:
-    return documents.withColumn(ROW, F.monotonically_increasing_id())
-
-
 def remove_documents(documents: DataFrame, benchmark: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents that hold no window, with all their columns."""
     hit = find_hits(documents, benchmark, length).filter(F.size("hit_words") > 0).select(ROW)
     # Stored, so that its size decides how it is joined.
-    return _with_rows(documents).join(stored(hit, "hit"), ROW, "left_anti").drop(ROW)
+    rest = packed(documents).join(stored(hit, "hit"), ROW, "left_anti")
+    return unpacked(rest, documents.columns)
 
 
 def remove_spans(documents: DataFrame, benchmark: DataFrame, length: int = LENGTH) -> DataFrame:
     """All documents, without the words that were hit and the characters before each of those."""
     hit = find_hits(documents, benchmark, length).filter(F.size("hit_words") > 0)
-    joined = _with_rows(documents).join(stored(hit.select(ROW, "hit_words"), "hit"), ROW, "left")
-    pieces = F.regexp_extract_all("text", F.lit(_PIECE), F.lit(0))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("__pieces") - 1), F.col("hit_words"))
-    rest = F.transform(kept, lambda i: F.get(F.col("__pieces"), i))
-    text = F.concat(F.array_join(rest, ""), F.regexp_extract("text", _TAIL, 0))
-    cleaned = joined.withColumn("__pieces", F.when(F.col("hit_words").isNotNull(), pieces))
-    cleaned = cleaned.withColumn("text", F.coalesce(text, F.col("text")))
-    return cleaned.select(*documents.columns)
+    rows = packed(documents).join(stored(hit.select(ROW, "hit_words"), "hit"), ROW, "left")
+    pieces = F.regexp_extract_all(given("text"), F.lit(_PIECE), F.lit(0))
+    rows = rows.withColumn("__pieces", F.when(F.col("hit_words").isNotNull(), pieces))
+    stays = F.array_except(F.sequence(F.lit(0), F.size("__pieces") - 1), F.col("hit_words"))
+    rest = F.transform(stays, lambda i: F.get(F.col("__pieces"), i))
+    text = F.concat(F.array_join(rest, ""), F.regexp_extract(given("text"), _TAIL, 0))
+    cut = F.when(F.col("hit_words").isNotNull(), text).otherwise(given("text"))
+    return unpacked(rows, documents.columns, cut)

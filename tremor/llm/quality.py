@@ -24,7 +24,7 @@ a frame that is stored. An empty table gives no rows. ``clean`` keeps extra colu
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import lower_ascii, text_or_empty
+from tremor.llm.common import ROW, given, lower_ascii, packed, text_or_empty, unpacked
 from tremor.llm.words import PLAIN_WORD, hashes, with_run_hashes, words
 from tremor.sinks import stored
 
@@ -36,7 +36,6 @@ MIN_DOCUMENTS = 20
 MOST_SHARE = 0.2
 #: The share of its words that a document may lose.
 MOST_REMOVED = 0.5
-ROW = "__row"
 
 _BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -157,17 +156,17 @@ def judge(documents: DataFrame) -> DataFrame:
 
 def clean(documents: DataFrame) -> DataFrame:
     """The documents that pass, without boilerplate lines; ``n_chars`` follows the text."""
-    rowed = documents.withColumn(ROW, F.monotonically_increasing_id())
-    lost = stored(_removed(rowed), "removed")  # its size decides how it is joined
-    judged = _verdict(with_base(rowed.join(lost, ROW, "left"))).filter("kept")
-    kept = F.filter(
+    rows = packed(documents)
+    plain = rows.select(ROW, given("text").alias("text"), given("source").alias("source"))
+    lost = stored(_removed(plain), "removed")  # its size decides how it is joined
+    open_ = rows.withColumns({"text": given("text"), "source": given("source")})
+    judged = _verdict(with_base(open_.join(lost, ROW, "left"))).filter("kept")
+    stays = F.filter(
         _lines(F.col("text")),
         lambda line: ~_has_word(line)
         | ~F.array_contains(F.col("removed_lines"), F.xxhash64(normal_line(line))),
     )
-    text = F.when(F.col("removed_lines").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    judged = judged.withColumn("text", text)
-    if "n_chars" in documents.columns:
-        kind = documents.schema["n_chars"].dataType
-        judged = judged.withColumn("n_chars", F.char_length("text").cast(kind))
-    return judged.select(*documents.columns)
+    text = F.when(F.col("removed_lines").isNull(), F.col("text")).otherwise(
+        F.array_join(stays, "\n")
+    )
+    return unpacked(judged, documents.columns, text)

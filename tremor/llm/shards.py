@@ -18,6 +18,8 @@ from hashlib import md5
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tremor.llm.common import given, packed
+
 #: Slots for each shard at least, so that shares are even to within a percent.
 SLOTS_PER_SHARD = 100
 #: The table is broadcast with every placement; larger ones are refused.
@@ -75,15 +77,9 @@ def place(df: DataFrame, key: str, shards: list[str], slots: int | None = None)
     """Add ``slot``, ``shard`` and ``shard_name`` for each row."""
     slots = slots or table_size(len(shards))
     made = ("slot", "shard", "shard_name")
-    kept = df.select(*[c for c in df.columns if c not in made or c == key])
-    placed = kept.withColumn("__slot", slot_of(F.col(key), slots))
-    owners = lookup_table(df.sparkSession, shards, slots).withColumnRenamed("slot", "__slot")
-    joined = placed.drop(*(c for c in made if c in placed.columns)).join(
-        F.broadcast(owners), "__slot"
-    )
-    return joined.withColumnRenamed("__slot", "slot").select(
-        *[c for c in kept.columns if c not in made], *made
-    )
+    rows = packed(df).withColumn("slot", slot_of(given(key), slots))
+    owned = rows.join(F.broadcast(lookup_table(df.sparkSession, shards, slots)), "slot")
+    return owned.select(*(given(c).alias(c) for c in df.columns if c not in made), *made)
 
 
 def write_shards(placed: DataFrame, path: str) -> None:
