@@ -1,9 +1,11 @@
+import os
+
 import pytest
 
 from tremor.operators import orders as o
 from tremor.operators.analysis import above
-from tremor.plans import order_report
-from tremor.sinks import write_pairs_text
+from tremor.plans import analyses_for_now, order_report, order_report_for_now
+from tremor.sinks import shared_folder, write_pairs_text
 
 SCHEMA = "user_id bigint, order_id bigint, order_value double, order_status string"
 
@@ -64,3 +66,26 @@ def test_textual_users_are_quoted(spark, tmp_path):
     df = spark.createDataFrame([("u1", 1.0)], "user_id string, total double")
     write_pairs_text(df, str(tmp_path / "t"), "user_id", "total")
     assert lines(tmp_path / "t") == ["('u1', 1.0)"]
+
+
+def test_nothing_stays_of_what_was_for_now(spark, orders):
+    folder = shared_folder(spark).removeprefix("file:")
+
+    def stored():
+        return {n for n in os.listdir(f"{folder}/tremor") if n.startswith(("analyses-", "user-"))}
+
+    os.makedirs(f"{folder}/tremor", exist_ok=True)
+    before = stored()
+    with order_report_for_now(orders) as report:
+        assert report.mean_value.count() == 1 and len(stored()) == len(before) + 1
+    events = spark.sql("SELECT 'a' AS area, 'p' AS place, 1.0D AS mag, TIMESTAMP_NTZ '2024-01-05' AS insert_dt")
+    with analyses_for_now(events, "2024-01-10") as answers:
+        assert answers["top_area"].count() == 1
+    assert stored() == before
+
+
+def test_a_cluster_names_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "yarn")
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: "file:/tmp/x")
+    with pytest.raises(RuntimeError):
+        shared_folder(spark)

@@ -1,9 +1,11 @@
 """The shape of the plans: what reaches the scan, and how often rows are shuffled."""
 
 import re
+from datetime import date
 
 import pytest
 from feed import collection, feature, land
+from pyspark.sql import functions as F
 
 from tremor.checks import inputs as i
 from tremor.checks import queries
@@ -99,3 +101,37 @@ def test_ties_are_spread_by_the_sort(spark, sf_dir):
     for build in (a.frequency, a.intensity, a.frequency_intensity):
         [key] = re.findall(r"rangepartitioning\((.*?), \d+\)", plan(build(i.quakes(spark, sf_dir))))
         assert key.split(",")[-1].strip().startswith("place")
+
+
+def test_a_week_reads_its_folders_only(spark, sf_dir):
+    text = plan(queries()["last_week_partitioned"](spark, sf_dir))
+    assert re.search(r"PartitionFilters: \[.*load_date#\d+ >= 2024-01-08.*load_date#\d+ < 2024-01-22", text)
+    assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(insert_dt,2024-01-15", text)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Pacific/Auckland"])
+def test_zoned_instants_are_utc_and_pushed_down(spark, sf_dir, in_zone, tmp_path, zone):
+    in_zone(zone)
+    rows = spark.sql("SELECT timestamp_seconds(1705888800) AS insert_dt, 1.0D AS mag")  # 22nd, 02:00Z
+    rows.write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    days = a.with_day(rows, "insert_dt").select(F.col("day").cast("string")).collect()
+    assert [r[0] for r in days] == ["2024-01-22"]
+    week = a.last_week(rows, "insert_dt", date(2024, 1, 24))
+    assert week.count() == 0 and a.last_week(rows, "insert_dt", date(2024, 1, 29)).count() == 1
+    assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(insert_dt,", plan(week))
+
+
+def test_writes_have_no_python_and_no_join(spark, sf_dir):
+    seen = []
+    for name in ("load_daily", "silver_append", "flatten_roundtrip", "pairs_text"):
+        text = plan(queries()[name](spark, sf_dir))
+        assert not re.search(r"Python|Arrow|Join|Cartesian", text), name
+        seen.append(name)
+    assert seen
+
+
+def test_many_features_of_one_document_are_spread(spark, tmp_path):
+    landed = scan_geojson(spark, land(tmp_path / "l", collection(*(feature(str(i)) for i in range(50)))))
+    rows = silver_rows(landed).hint("rebalance")
+    assert "REBALANCE" in plan(rows)

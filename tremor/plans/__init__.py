@@ -1,7 +1,17 @@
 """Pipelines built from the sources, operators and sinks."""
 
-from tremor.plans.load import Load, load
-from tremor.plans.orders import OrderReport, order_report
-from tremor.plans.suite import analyses, area_day_summary
+from tremor.plans.load import Load, load, split_landing
+from tremor.plans.orders import OrderReport, order_report, order_report_for_now
+from tremor.plans.suite import analyses, analyses_for_now, area_day_summary
 
-__all__ = ["Load", "OrderReport", "analyses", "area_day_summary", "load", "order_report"]
+__all__ = [
+    "Load",
+    "OrderReport",
+    "analyses",
+    "analyses_for_now",
+    "area_day_summary",
+    "load",
+    "order_report",
+    "order_report_for_now",
+    "split_landing",
+]

@@ -1,5 +1,7 @@
 """The order report: mean value, and users split by their total."""
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -12,7 +14,7 @@ from tremor.operators.orders import (
     split_by_threshold,
     user_totals,
 )
-from tremor.sinks import stored, write_pairs_text
+from tremor.sinks import scratch, stored, write_pairs_text
 from tremor.sources import scan_completed_orders
 from tremor.sources.tables import COMPLETED
 
@@ -31,17 +33,28 @@ def order_report(
     status: str = COMPLETED,
     min_value: float = MIN_ORDER_VALUE,
     large_total: float = LARGE_TOTAL,
+    share: Callable[[DataFrame], DataFrame] = stored,
 ) -> OrderReport:
     """Report on completed orders above ``min_value``.
 
     The orders are scanned and shuffled once, into stored totals per user; the
     mean and both sides of the split are read from those. With ``output``, the
-    sides are written as text below ``large_orders`` and ``small_orders``.
+    sides are written as text below ``large_orders`` and ``small_orders``. ``share``
+    keeps the totals, by default as files in the shared folder.
     """
     valued = above(scan_completed_orders(orders, status), "order_value", min_value)
-    totals = stored(user_totals(valued), "user-totals")
+    totals = share(user_totals(valued))
     large, small = split_by_threshold(totals.select("user_id", "total"), "total", large_total)
     if output is not None:
         for side, name in ((large, "large_orders"), (small, "small_orders")):
             write_pairs_text(side, f"{output.rstrip('/')}/{name}", "user_id", "total")
     return OrderReport(mean_from_totals(totals), large, small)
+
+
+@contextmanager
+def order_report_for_now(
+    orders: DataFrame, output: str | None = None, **options
+) -> Iterator[OrderReport]:
+    """The report for as long as the block runs; the stored totals are then removed."""
+    with scratch(orders.sparkSession, "user-totals") as path:
+        yield order_report(orders, output, share=lambda totals: stored(totals, path=path), **options)

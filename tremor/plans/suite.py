@@ -1,6 +1,8 @@
 """All analyses over one table, from two passes over it."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from tremor.operators.analysis import (
     place_totals,
     top_area,
 )
-from tremor.sinks import stored
+from tremor.sinks import scratch, stored
 
 
 def area_day_summary(
@@ -81,3 +83,18 @@ def analyses(
             F.desc("frequency"), F.desc("intensity"), *in_order
         ),
     }
+
+
+@contextmanager
+def analyses_for_now(df: DataFrame, as_of: AsOf = None, **options) -> Iterator[dict[str, DataFrame]]:
+    """The standard analyses for as long as the block runs.
+
+    What they are read from is then removed from the shared folder.
+    """
+    with scratch(df.sparkSession, "analyses") as folder:
+        number = count()
+
+        def share(aggregate: DataFrame) -> DataFrame:
+            return stored(aggregate, path=f"{folder}/{next(number)}")
+
+        yield analyses(df, as_of, share=share, **options)
