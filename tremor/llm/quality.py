@@ -158,15 +158,18 @@ def clean(documents: DataFrame) -> DataFrame:
     """The documents that pass, without boilerplate lines; ``n_chars`` follows the text."""
     rows = packed(documents)
     plain = rows.select(ROW, given("text").alias("text"), given("source").alias("source"))
-    lost = stored(_removed(plain), "removed")  # its size decides how it is joined
-    open_ = rows.withColumns({"text": given("text"), "source": given("source")})
-    judged = _verdict(with_base(open_.join(lost, ROW, "left"))).filter("kept")
+    # Both are stored: their sizes decide how they are joined, and the rules run once, as a
+    # filter on them would be moved below and repeat what they are made of.
+    lost = stored(_removed(plain), "removed")
+    verdicts = _verdict(with_base(plain).join(lost, ROW, "left")).select(ROW, "kept")
+    rejected = stored(verdicts, "verdicts").filter(~F.col("kept")).select(ROW)
+    kept = rows.join(stored(rejected, "rejected"), ROW, "left_anti").join(lost, ROW, "left")
     stays = F.filter(
-        _lines(F.col("text")),
+        _lines(given("text")),
         lambda line: ~_has_word(line)
         | ~F.array_contains(F.col("removed_lines"), F.xxhash64(normal_line(line))),
     )
-    text = F.when(F.col("removed_lines").isNull(), F.col("text")).otherwise(
+    text = F.when(F.col("removed_lines").isNull(), given("text")).otherwise(
         F.array_join(stays, "\n")
     )
-    return unpacked(judged, documents.columns, text)
+    return unpacked(kept, documents.columns, text)
