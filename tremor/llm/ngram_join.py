@@ -10,11 +10,13 @@ documents share; the sizes of two sets say how many that must be, which bounds t
    order for all. N-grams that are common in the corpus come last in that order: a table of
    fixed size (SKETCH counters) has an estimate of how common each is. The order only has to
    be the same for all; the estimate decides about speed, not about results.
-3. The columns of these prefixes are the blocks. A column with up to SMALL classes gives its
-   pairs that fit in size; over all such columns each pair is counted once. A column with more
-   is cut into tiles of bounded volume, and each two tiles of it are multiplied in one task,
-   block by block; pairs whose sizes rule them out are never counted, and of the links found
-   only a spanning forest leaves the task. Nothing is capped: tiles cover all pairs.
+3. A column of these prefixes with up to SMALL classes gives its pairs that fit in size. The
+   columns that a pair shares are counted over all prefixes, and with what may be shared beyond
+   them bound the overlap; few pairs pass, and those that hang together make a block. A column
+   with more than SMALL classes is a block itself, whose pairs are all found there. Blocks are
+   cut into tiles of bounded volume, and each two tiles of a block are multiplied in one task,
+   piece by piece; documents whose sizes rule each other out are never multiplied, and of the
+   links found only a spanning forest leaves the task. Nothing is capped: tiles cover all pairs.
 4. Links are joined to components by alternating stars.
 
 N-grams are compared by 64-bit hashes. Documents without words, or without text, link with
@@ -32,30 +34,39 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import list_array, lower_ascii, offsets, ragged, ship, slices
+from tremor.llm.common import (
+    ROW,
+    list_array,
+    lower_ascii,
+    offsets,
+    packed,
+    ragged,
+    ship,
+    slices,
+    unpacked,
+)
 from tremor.llm.components import components
 from tremor.llm.words import PLAIN_WORD, hashes, with_run_hashes, words
-from tremor.sinks import stored
+from tremor.sinks import remove, scratch_path, stored
 
 #: Counters of the table of common n-grams; one byte each is sent to every task.
 SKETCH = 1 << 22
 #: Occurrences within a task from which it reports an n-gram.
 COMMON = 8
 #: Classes up to which a column's pairs are listed.
-SMALL = 32
+SMALL = 128
+#: Rows of a table of a few numbers up to which it is sent to all tasks: some 30 MB.
+MOST_BROADCAST = 500_000
 #: N-grams in a tile, about; two tiles are in memory at once.
 TILE = 1 << 20
 _BLOCK = 512
 _COLUMNS = 2048
-ROW = "__row"
 
 
 def n_gram_sets(documents: DataFrame, size: int) -> DataFrame:
     """Columns __row, doc_id, n and grams: the sorted distinct hashes."""
     df = documents.select(
-        F.monotonically_increasing_id().alias(ROW),
-        "doc_id",
-        words(lower_ascii(F.col("text")), PLAIN_WORD).alias("words"),
+        ROW, "doc_id", words(lower_ascii(F.col("text")), PLAIN_WORD).alias("words")
     ).withColumn("hash", hashes(F.col("words")))
     df = with_run_hashes(df, "runs", "hash", size)
     whole = F.when(F.size("words") > 0, F.array(F.xxhash64("words"))).otherwise(F.slice("hash", 1, 0))
@@ -119,38 +130,22 @@ def _may_link(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _needed(sizes_a: np.ndarray, sizes_b: np.ndarray, percent: int) -> np.ndarray:
-    """The overlap from which two sets link: 100 * o >= percent * (a + b - o)."""
-    return -(-(sizes_a + sizes_b) * percent // (100 + percent))
+def _beyond(a: Column, b: Column, percent: int) -> Column:
+    """What two sets can share, at most, outside their prefixes.
 
+    Up to the end of the prefix that ends first in the common order, all they share is in both
+    prefixes; after it, the set whose prefix that is has so many n-grams left.
+    """
+    return F.ceil(F.greatest(a, b) * percent / 100) - 1
 
-def _pair_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link, their overlaps counted in batches of pairs."""
-    left = sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "grams_a", "grams_b")
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (p for batch in batches for p in slices(batch, "grams_a", 1 << 18)):
-            sides = [part.column(2), part.column(3)]
-            sizes = [np.diff(x.offsets.to_numpy()).astype(np.int64) for x in sides]
-            values = [x.flatten().to_numpy() for x in sides]
-            # Columns of the batch, so that pair and column make one number.
-            known, column = np.unique(np.concatenate(values), return_inverse=True)
-            base = np.arange(part.num_rows) * max(len(known), 1)
-            keys = [
-                column[: len(values[0])] + np.repeat(base, sizes[0]),
-                column[len(values[0]) :] + np.repeat(base, sizes[1]),
-            ]
-            at = np.searchsorted(keys[1], keys[0])
-            hit = keys[1][np.minimum(at, len(keys[1]) - 1)] == keys[0] if len(keys[1]) else at < 0
-            overlap = np.diff(offsets(hit)[offsets(sizes[0])])
-            keep = pa.array(overlap >= _needed(*sizes, percent))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0).filter(keep), part.column(1).filter(keep)], ["a", "b"]
-            )
+def _least_overlap(percent: int) -> Column:
+    return F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent))
+
 
-    return both.mapInArrow(run, "a bigint, b bigint")
+def _needed(sizes_a: np.ndarray, sizes_b: np.ndarray, percent: int) -> np.ndarray:
+    """The overlap from which two sets link: 100 * o >= percent * (a + b - o)."""
+    return -(-(sizes_a + sizes_b) * percent // (100 + percent))
 
 
 def _tile_links(members: DataFrame, percent: int) -> DataFrame:
@@ -158,7 +153,7 @@ def _tile_links(members: DataFrame, percent: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("n").combine_chunks()
-        nodes, sides = table["node"].to_numpy(), table["side"].to_numpy()
+        nodes = table["node"].to_numpy()
         sizes = table["n"].to_numpy()
         lists = table["grams"].combine_chunks()
         grams = lists.flatten().to_numpy()
@@ -196,10 +191,9 @@ def _tile_links(members: DataFrame, percent: int) -> DataFrame:
                 x, y = np.nonzero(links)
                 root = _joined(root, x + i, y + j)
         moved = np.flatnonzero(root != np.arange(len(nodes)))
-        del sides
         return pa.table({"a": nodes[moved], "b": nodes[root[moved]]})
 
-    return members.groupBy("gram", "tile_a", "tile_b").applyInArrow(run, "a bigint, b bigint")
+    return members.groupBy("kind", "block", "tile_a", "tile_b").applyInArrow(run, "a bigint, b bigint")
 
 
 def _joined(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -217,42 +211,55 @@ def _joined(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return root
 
 
+def _bounded(df: DataFrame, name: str) -> DataFrame:
+    """Store a table; where it has few rows, send it whole to every task that joins it."""
+    df = stored(df, name)
+    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
+
+
 def _links(classes: DataFrame, percent: int) -> DataFrame:
-    entries = stored(_prefixes(classes, percent), "prefixes")
-    columns = (
-        entries.groupBy("gram")
-        .agg(F.count("*").alias("members"), F.sum("n").alias("volume"))
-        .filter("members > 1")
-    )
+    spark = classes.sparkSession
+    path = scratch_path(spark, "prefixes")
+    entries = stored(_prefixes(classes, percent), path=path)
+    columns = entries.groupBy("gram").agg(F.count("*").alias("members")).filter("members > 1")
     shared = stored(entries.join(columns, "gram"), "shared")
+    remove(spark, path)
     small = shared.filter(F.col("members") <= SMALL).select("gram", "node", "n")
     right = small.select("gram", F.col("node").alias("b"), F.col("n").alias("m"))
-    pairs = (
+    pairs = stored(
         small.withColumnRenamed("node", "a")
         .join(right, "gram")
         .filter((F.col("a") < F.col("b")) & _may_link(F.col("n"), F.col("m"), percent))
-        .select("a", "b")
-        .distinct()
+        .groupBy("a", "b", "n", "m")
+        .agg(F.count("*").alias("shared"))
+        .filter(F.col("shared") + _beyond(F.col("n"), F.col("m"), percent) >= _least_overlap(percent))
+        .select("a", "b"),
+        "pairs",
     )
+    blocks = components(pairs, "blocks").select(F.lit(0).alias("kind"), F.col("root").alias("block"), "node")
     large = shared.filter(F.col("members") > SMALL)
-    # The sets of classes that share a column; all others are done.
-    wanted = shared.select("node").distinct()
+    blocks = stored(blocks.union(large.select(F.lit(1), "gram", "node")), "blocks")
+    # The sets of classes that are in a block; all others are done.
+    wanted = _bounded(blocks.select("node").distinct(), "wanted")
     sets = stored(classes.select("node", "n", "grams").join(wanted, "node", "left_semi"), "sets")
+    volumes = (
+        blocks.join(sets.select("node", "n"), "node").groupBy("kind", "block").agg(F.sum("n").alias("volume"))
+    )
     tiles = F.ceil(F.col("volume") / TILE).cast("int")
-    tile = F.pmod(F.xxhash64("node"), tiles).cast("int")
     members = (
-        large.select("gram", "node", tiles.alias("tiles"), tile.alias("side"))
+        blocks.join(volumes, ["kind", "block"])
+        .select("kind", "block", "node", tiles.alias("tiles"))
+        .withColumn("side", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .select(
-            "gram",
+            "kind",
+            "block",
             "node",
-            "side",
             F.least("side", "other").alias("tile_a"),
             F.greatest("side", "other").alias("tile_b"),
         )
-        .join(sets, "node")
     )
-    return _pair_links(pairs, sets, percent).union(_tile_links(members, percent))
+    return _tile_links(_bounded(members, "members").join(sets, "node"), percent)
 
 
 def link(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -261,33 +268,33 @@ def link(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     ``component`` is a number of its own for each component, ``component_id`` its least doc_id.
     """
     ship(documents.sparkSession)
-    sets = stored(
-        n_gram_sets(documents, size).withColumns(
-            {"h1": F.xxhash64("grams"), "h2": F.xxhash64(F.lit("again"), "grams")}
-        ),
-        "n-grams",
-    )
+    rowed = documents.select(F.monotonically_increasing_id().alias(ROW), "doc_id", "text")
+    hashed = {"h1": F.xxhash64("grams"), "h2": F.xxhash64(F.lit("again"), "grams")}
+    facts = stored(n_gram_sets(rowed, size).withColumns(hashed).drop("grams"), "facts")
     key = ["h1", "h2", "n"]
     classes = stored(
-        sets.filter("n > 0").groupBy(*key).agg(F.min(ROW).alias("node"), F.min("doc_id").alias("least")),
+        facts.filter("n > 0").groupBy(*key).agg(F.min(ROW).alias("node"), F.min("doc_id").alias("least")),
         "classes",
     )
-    first = sets.join(classes.select(F.col("node").alias(ROW)), ROW, "left_semi")
-    links = _links(first.withColumnRenamed(ROW, "node"), percent)
+    # All rows but the first of each class; their sets are not needed again.
+    others = _bounded(
+        facts.select(ROW).join(classes.select(F.col("node").alias(ROW)), ROW, "left_anti"), "others"
+    )
+    first = n_gram_sets(rowed.join(others, ROW, "left_anti"), size)
+    path = scratch_path(documents.sparkSession, "n-grams")
+    sets = stored(first.select(F.col(ROW).alias("node"), "n", "grams"), path=path)
+    links = _links(sets, percent)
+    remove(documents.sparkSession, path)  # what is still needed has been stored by itself
     roots = stored(components(links), "roots")
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     final = rooted.join(named, "root").select(*key, F.col("root").alias("component"), "component_id")
-    return (
-        sets.drop("grams")
-        .join(final, key, "left")
-        .select(
-            ROW,
-            "doc_id",
-            F.col("n").alias("n_shingles"),
-            F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-            F.coalesce("component", ROW).alias("component"),
-        )
+    return facts.join(final, key, "left").select(
+        ROW,
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.coalesce("component", ROW).alias("component"),
     )
 
 
@@ -297,5 +304,5 @@ def keep_first(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     kept = linked.groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first")
     )
-    rowed = documents.withColumn(ROW, F.monotonically_increasing_id())
-    return rowed.join(kept.select(F.col(f"first.{ROW}").alias(ROW)), ROW, "left_semi").drop(ROW)
+    first = kept.select(F.col(f"first.{ROW}").alias(ROW))
+    return unpacked(packed(documents).join(first, ROW, "left_semi"), documents.columns)
