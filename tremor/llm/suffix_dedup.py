@@ -63,7 +63,8 @@ HOT = 2048
 GATHER = 60_000
 STEP_SYMBOLS = 1 << 20
 NO_ID = -(1 << 63)
-_STEP = 1 << 20
+#: Bytes that are hashed together, so that they stay in the cache.
+_STEP = 1 << 16
 _BASE = np.uint64(0x100000001B3)
 _SEGMENT, _STRING = 0, 1
 
