@@ -20,9 +20,9 @@ are not written. A task holds one slice of texts; files are appended to slice by
 import os
 import uuid
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,24 +34,44 @@ from pyspark.sql import functions as F
 from tremor.llm.common import offsets, ragged, ship, slices
 
 NO_ID = -(1 << 63)
-#: Pieces between blanks whose ids a Python worker remembers; past it, it starts afresh.
-MEMO = 1 << 19
+#: Pieces between blanks whose ids a Python worker remembers; past it, it goes back to the
+#: first KEPT of them, among which are the common ones.
+MEMO = 400_000
+KEPT = 150_000
 
-Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
+# Marks that end a word and are a piece of their own there.
+_MARKS = (".", ",", ";", ":", "!", "?")
+
+
+class _Codes(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: str) -> int:
+        code = self[word] = len(self)
+        return code
 
 
 class WordEncoder:
     """Ids by the tokenizers library, each distinct piece between blanks encoded once.
 
-    Right for a tokenizer that drops white space and lets no token reach across a blank or a
-    line end; ``load`` checks that on a probe.
+    Right for a tokenizer that drops white space, lets no token reach across a blank or a line
+    end, keeps runs of letters apart from other characters, and marks the last token of each
+    run by a suffix; ``load`` checks that on a probe. Pieces of letters alone are encoded many
+    at a time, and told apart by that mark; where the marks are not as many as the pieces, the
+    pieces are encoded one by one, as are all others.
     """
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, suffix: str = "</w>"):
         self._tokenizer = tokenizer
         self.size = tokenizer.get_vocab_size()
-        self._memo: dict[str, tuple[int, ...]] = {}
-        probe = " a  b\nc\n\n don't é́ x<|endoftext|> y\t z "
+        self._last = np.zeros(self.size, bool)
+        for token, i in tokenizer.get_vocab().items():
+            self._last[i] = token.endswith(suffix)
+        self._codes = _Codes()
+        self._flat = np.zeros(0, np.uint32)
+        self._starts = np.zeros(0, np.int64)
+        self._sizes = np.zeros(0, np.int64)
+        probe = " a  b\nc\n\n Don't é́ x<|endoftext|> y\t z, A.B .. über, x1. end. a, क़ b "
         whole = tokenizer.encode(probe, add_special_tokens=False).ids
         if whole != self([probe])[0].tolist():
             raise ValueError("the tokenizer does not drop white space")
@@ -63,24 +83,70 @@ class WordEncoder:
 
         return cls(Tokenizer.from_file(path))
 
+    def _forget(self) -> None:
+        self._codes = _Codes(islice(self._codes.items(), KEPT))
+        starts, sizes = self._starts[:KEPT], self._sizes[:KEPT]
+        self._flat = self._flat[ragged(starts, sizes)]
+        self._starts, self._sizes = offsets(sizes)[:-1], sizes
+
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [" ".join(words[i : i + 256]) for i in range(0, len(words), 256)]
+        flat, _ = self._each(texts)
+        ends = np.flatnonzero(self._last[flat]) + 1
+        if len(ends) != len(words) or (len(ends) and ends[-1] != len(flat)):
+            return self._each(words)
+        return flat, np.diff(np.r_[0, ends])
+
+    def _learn(self, known: int) -> None:
+        """Encode the words from number ``known`` on."""
+        codes = self._codes
+        new = list(islice(codes, known, None))
+        # A word with one mark behind it is that word and that mark.
+        marked = [w for w in new if w[-1:] in _MARKS and w[:-1].isalpha()]
+        for w in marked:
+            codes[w[:-1]], codes[w[-1]]  # noqa: B018  numbers those that are new
+        new = list(islice(codes, known, None))
+        letters = [w for w in new if w.isalpha()]
+        plain = set(letters).union(marked)
+        others = [w for w in new if w not in plain]
+        total = len(codes)
+        self._starts = np.r_[self._starts, np.zeros(total - known, np.int64)]
+        self._sizes = np.r_[self._sizes, np.zeros(total - known, np.int64)]
+        for words, encode in ((letters, self._letters), (others, self._each)):
+            if words:
+                self._keep(words, *encode(words))
+        if marked:
+            stems = np.fromiter((codes[w[:-1]] for w in marked), np.int64, len(marked))
+            marks = np.fromiter((codes[w[-1]] for w in marked), np.int64, len(marked))
+            parts = np.stack([stems, marks], axis=1).ravel()
+            sizes = self._sizes[parts]
+            flat = self._flat[ragged(self._starts[parts], sizes)]
+            self._keep(marked, flat, sizes.reshape(-1, 2).sum(axis=1))
+
+    def _keep(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        code = np.fromiter(map(self._codes.__getitem__, words), np.int64, len(words))
+        self._starts[code] = offsets(sizes)[:-1] + len(self._flat)
+        self._sizes[code] = sizes
+        self._flat = np.r_[self._flat, flat]
+
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self._codes) > MEMO:
+            self._forget()
+        known = len(self._codes)
         words = [text.replace("\n", " ").split(" ") for text in texts]
-        index = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(words)))}
-        if len(self._memo) > MEMO:
-            self._memo.clear()
-        memo = self._memo
-        new = [w for w in index if w not in memo]
-        found = self._tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        memo.update((w, tuple(e.ids)) for w, e in zip(new, found, strict=True))
-        of_word = [memo[w] for w in index]
-        sizes = np.fromiter(map(len, of_word), np.int64, len(of_word))
-        flat = np.fromiter(chain.from_iterable(of_word), np.uint32, int(sizes.sum()))
         counts = np.fromiter(map(len, words), np.int64, len(words))
         where = np.fromiter(
-            map(index.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum())
+            map(self._codes.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum())
         )
-        each = sizes[where]
-        ids = flat[ragged(offsets(sizes)[where], each)]
+        if len(self._codes) > known:
+            self._learn(known)
+        each = self._sizes[where]
+        ids = self._flat[ragged(self._starts[where], each)]
         return ids, np.diff(offsets(each)[offsets(counts)])
 
 
@@ -103,7 +169,7 @@ def write_token_files(
     spark = ship(df.sparkSession)
     ordered = (
         df.select(F.col(id_).cast("bigint").alias("id"), F.col(text).alias("text"))
-        .repartitionByRange("id", "text")
+        .repartitionByRange("id")
         .sortWithinPartitions("id", "text")
     )
 
@@ -194,5 +260,5 @@ def read_token_files(manifest: DataFrame, folder: str, rows: int = 2000) -> Data
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    spread = manifest.repartition("part")
+    spread = manifest.repartition(max(1, manifest.count()))
     return spread.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
