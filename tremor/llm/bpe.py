@@ -13,6 +13,7 @@ through; a column that has the name of a new one is replaced.
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from tremor.llm.common import list_array, offsets, ragged, ship, slices
 
 #: Merged pre-tokens that a Python worker remembers; past it, it starts afresh.
-MEMO = 1 << 19
+MEMO = 300_000
 #: Ids that one step of decoding holds at once.
 SLICE_IDS = 1 << 20
 
@@ -156,8 +157,9 @@ class ByteBpe:
         keys = list(ranks)
         self.hash = MinimalPerfectHash(keys)
         self._key_at = [b""] * len(keys)
+        self._id_at = [b""] * len(keys)  # as four bytes, like all ids of pre-tokens
         for key, slot in zip(keys, self.hash.slot_of_key.tolist(), strict=True):
-            self._key_at[slot] = key
+            self._key_at[slot], self._id_at[slot] = key, array("i", [ranks[key]]).tobytes()
         top = max(ranks.values(), default=-1)
         by_id = [None] * (top + 1)
         for key, rank in ranks.items():
@@ -166,7 +168,7 @@ class ByteBpe:
         self.lengths = np.array([len(k or b"") for k in by_id], np.int64)
         self.bytes = np.frombuffer(b"".join(k or b"" for k in by_id), np.uint8)
         self.starts = offsets(self.lengths)[:-1]
-        self._memo: dict[bytes, tuple[int, ...]] = {}
+        self._memo: dict[bytes, bytes] = {}
         self._base = top + 1
         self._joined = {
             ranks[left] * self._base + ranks[right]: rank
@@ -182,10 +184,12 @@ class ByteBpe:
             pairs = (line.split() for line in lines if line.strip())
             return cls({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern)
 
-    def merged(self, token: bytes) -> tuple[int, ...]:
+    def merged(self, token: bytes) -> bytes:
+        """The ids of a pre-token, four bytes each."""
         ids = self._memo.get(token)
         if ids is None:
-            ids = tuple(merge_by_heap([self._byte[b] for b in token], self._joined, self._base))
+            merged = merge_by_heap([self._byte[b] for b in token], self._joined, self._base)
+            ids = array("i", merged).tobytes()
             if len(self._memo) >= MEMO:
                 self._memo.clear()
             if len(token) <= 64:
@@ -199,12 +203,13 @@ class ByteBpe:
         distinct = [word.encode() for word in index]
         slots = self.hash.slots(distinct).tolist()
         # A slot's key is compared, because words outside the set also get slots.
+        key_at, id_at = self._key_at, self._id_at
         of_word = [
-            [self.ranks[word]] if slot >= 0 and self._key_at[slot] == word else self.merged(word)
+            id_at[slot] if slot >= 0 and key_at[slot] == word else self.merged(word)
             for word, slot in zip(distinct, slots, strict=True)
         ]
-        sizes = np.fromiter(map(len, of_word), np.int64, len(of_word))
-        flat = np.fromiter(chain.from_iterable(of_word), np.int32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, of_word), np.int64, len(of_word)) // 4
+        flat = np.frombuffer(b"".join(of_word), np.int32)
         starts = offsets(sizes)[:-1]
         counts = np.fromiter(map(len, words), np.int64, len(words))
         where = np.fromiter(
