@@ -2,6 +2,7 @@
 
 import base64
 import zlib
+from collections import Counter
 from itertools import groupby
 
 import public_tokenizers as P
@@ -82,6 +83,25 @@ def test_token_files(spark, sf_dir, docs):
     assert {r.doc_id: tuple(r)[1:] for r in _result(spark, sf_dir, "op7_token_files")} == expected
 
 
+def test_quality_removes_lines_of_a_given_table(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "source", "text")
+    count, hosts, lines = Counter(), Counter(), {}
+    for row in table.toLocalIterator():
+        found = [x for x in (row.text or "").split("\n") if brute.PLAIN.search(x)]
+        lines[row.doc_id] = row.source, [brute.lower(" ".join(brute.PLAIN.findall(x))) for x in found]
+        hosts[row.source] += 1
+        count.update({(row.source, x) for x in lines[row.doc_id][1]})
+    bad = {
+        x for x, n in count.items() if n >= quality.MIN_DOCUMENTS and n > quality.MOST_SHARE * hosts[x[0]]
+    }
+    assert {source for source, _ in bad} == set(hosts)
+    expected = {
+        key: sum(len(x.split(" ")) for x in own if (source, x) in bad) for key, (source, own) in lines.items()
+    }
+    found = {r.doc_id: r.n_removed_words for r in quality.judge(table).collect()}
+    assert found == expected and any(expected.values())
+
+
 def test_ngram_join(spark, sf_dir, docs):
     expected = brute.components([(k, r.text) for k, r in docs.items()], 4, 85)
     assert {r.doc_id: tuple(r)[1:] for r in _result(spark, sf_dir, "op9_ngram_join")} == expected

@@ -31,9 +31,10 @@ from tremor.sinks import stored
 MIN_WORDS = 50
 #: Of 100 words, those that may stand in repeated windows.
 MOST_REPEATED = 50
-#: Documents of a host that a line is in, and their share, from which it is boilerplate.
+#: Documents of a host that a line is in, and their share, from which it is boilerplate. The
+#: share decides in hosts of more than 1,000 documents, and has to be small, as it grows with them.
 MIN_DOCUMENTS = 20
-MOST_SHARE = 0.2
+MOST_SHARE = 0.02
 #: The share of its words that a document may lose.
 MOST_REMOVED = 0.5
 
