@@ -211,6 +211,24 @@ def test_token_files(spark, docs, none):
     assert token_files.read_token_files(manifest, folder).collect() == []
 
 
+def test_every_letter_before_a_mark():
+    tokenizers = pytest.importorskip("tokenizers")
+    path = P.path(queries.WORD_BPE)
+    library = tokenizers.Tokenizer.from_file(path)
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    encode = token_files.WordEncoder.load(path)
+    for mark in token_files._MARKS:
+        words = [stem + c + mark for c in letters for stem in ("", "a")]
+        expected = [e.ids for e in library.encode_batch_fast(words, add_special_tokens=False)]
+        ids, counts = encode(words)
+        found = np.split(ids, np.cumsum(counts)[:-1])
+        assert [w for w, a, b in zip(words, expected, found, strict=True) if a != b.tolist()] == []
+    words = ["TARİHİ:", "হয়,", "ADRESİ.", "क़.", "İ", "İ x", "हृ क़ a"]
+    ids, counts = encode(words)
+    expected = [library.encode(w, add_special_tokens=False).ids for w in words]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == expected
+
+
 def test_revisits(spark):
     plain = [
         (1, "response", "http://A.org:80/x?utm_source=q#f", 100, None, {"ETag": '"e"', "etag": '"f"'}),

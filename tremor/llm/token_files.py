@@ -23,6 +23,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import accumulate, chain, islice
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,16 @@ KEPT = 150_000
 _MARKS = (".", ",", ";", ":", "!", "?")
 
 
+@lru_cache(maxsize=1 << 16)
+def _stays_letter(char: str) -> bool:
+    """If a letter is one letter still when it is composed and in lower case.
+
+    Otherwise it may end in a mark, which the library takes as one piece with a mark behind it.
+    """
+    made = normalize("NFC", normalize("NFC", char).lower())
+    return len(made) == 1 and made.isalpha()
+
+
 class _Codes(dict):
     """Numbers words as they come."""
 
@@ -106,8 +117,11 @@ class WordEncoder:
         """Encode the words from number ``known`` on."""
         codes = self._codes
         new = list(islice(codes, known, None))
-        # A word with one mark behind it is that word and that mark.
-        marked = [w for w in new if w[-1:] in _MARKS and w[:-1].isalpha()]
+        # A word with one mark behind it is that word and that mark, if it ends in a letter still
+        # once the library has normalised it.
+        marked = [
+            w for w in new if w[-1:] in _MARKS and w[:-1].isalpha() and _stays_letter(w[-2])
+        ]
         for w in marked:
             codes[w[:-1]], codes[w[-1]]  # noqa: B018  numbers those that are new
         new = list(islice(codes, known, None))
