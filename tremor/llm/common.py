@@ -9,10 +9,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tremor
+from tremor.sinks import stored
 
 #: Text that one step of a Python task holds at once.
 SLICE_BYTES = 2 << 20
@@ -48,9 +50,58 @@ ROW = "__row"
 GIVEN = "__given"
 
 
+#: Bits of a row's number within its file; those above number the file.
+_ROW_BITS = 36
+
+
+def _has_places(df: DataFrame) -> bool:
+    """If ``df`` is columns or rows of one Parquet table, which have a place in its files."""
+    plan = df._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.child()
+    if plan.nodeName() != "LogicalRelation":
+        return False
+    try:
+        df.select(df.metadataColumn("_metadata")["row_index"])
+    except AnalysisException:
+        return False
+    # A file that is named twice has its rows twice, in one place.
+    return plan.relation().location().rootPaths().size() == 1
+
+
+def stable(df: DataFrame) -> DataFrame:
+    """``df``, stored unless it reads one Parquet table: its rows have places to be told apart by.
+
+    What is matched by ROW has to come from one such frame.
+    """
+    return df if _has_places(df) else stored(df, "rows")
+
+
+def placed(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """Some columns of a ``stable`` frame, and ROW: the number of the row's file, and its own in it.
+
+    Unlike ``monotonically_increasing_id`` it does not depend on how a scan cuts the files, which
+    changes between two scans when executors come or go.
+    """
+    place = df.metadataColumn("_metadata")
+    # One row for each file.
+    names = df.select(place["file_path"].alias("file")).distinct().collect()
+    paths = sorted(row.file for row in names) or [""]
+    numbers = df.sparkSession.createDataFrame(
+        pa.table({"__file": paths, "__number": pa.array(range(len(paths)), pa.int64())})
+    )
+    found = df.select(*columns, place["file_path"].alias("__file"), place["row_index"].alias("__at"))
+    number = F.shiftleft("__number", _ROW_BITS).bitwiseOR(F.col("__at"))
+    return found.join(F.broadcast(numbers), "__file").select(
+        *(c for c in found.columns if c not in ("__file", "__at")), number.alias(ROW)
+    )
+
+
 def packed(df: DataFrame) -> DataFrame:
     """All columns in one, so that no name meets an operator's own, and the row's place."""
-    return df.select(F.struct("*").alias(GIVEN), F.monotonically_increasing_id().alias(ROW))
+    return placed(df, F.struct("*").alias(GIVEN))
 
 
 def given(name: str) -> Column:

@@ -14,13 +14,13 @@ Null and empty texts have no words and hit nothing; so does every document if th
 empty. Every row is a document of its own, also where ids repeat. An item without id makes
 hits, but is not counted among the items; repeated items count once. ``remove_documents`` and
 ``remove_spans`` keep all columns, ``find_hits`` keeps doc_id. Rows are told apart by their
-place in the input, which has to be stable: a table, or a frame that is stored.
+place in the files of a table; a frame that is not read from one is stored first.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import ROW, given, lower_ascii, packed, unpacked
+from tremor.llm.common import ROW, given, lower_ascii, packed, placed, stable, unpacked
 from tremor.llm.words import LETTER_WORD, hashes, with_run_hashes, words
 from tremor.sinks import stored
 
@@ -76,10 +76,8 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, length: int = LENGTH)
     # At most ``length`` sizes, and at most the bound's number of hashes, reach the driver.
     sizes = sorted(row.size for row in windows.select("size").distinct().collect())
 
-    df = documents.select(
-        F.monotonically_increasing_id().alias(ROW),
-        "doc_id",
-        item_words(F.col("text")).alias("words"),
+    df = placed(
+        stable(documents.select("doc_id", "text")), "doc_id", item_words(F.col("text")).alias("words")
     ).withColumn("hash", hashes(F.col("words")))
     found = [F.expr("CAST(array() AS array<struct<at:int,end:int,window:string>>)")]
     for size in sizes:
@@ -119,6 +117,7 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, length: int = LENGTH)
 
 def remove_documents(documents: DataFrame, benchmark: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents that hold no window, with all their columns."""
+    documents = stable(documents)
     hit = find_hits(documents, benchmark, length).filter(F.size("hit_words") > 0).select(ROW)
     # Stored, so that its size decides how it is joined.
     rest = packed(documents).join(stored(hit, "hit"), ROW, "left_anti")
@@ -127,6 +126,7 @@ def remove_documents(documents: DataFrame, benchmark: DataFrame, length: int = L
 
 def remove_spans(documents: DataFrame, benchmark: DataFrame, length: int = LENGTH) -> DataFrame:
     """All documents, without the words that were hit and the characters before each of those."""
+    documents = stable(documents)
     hit = find_hits(documents, benchmark, length).filter(F.size("hit_words") > 0)
     rows = packed(documents).join(stored(hit.select(ROW, "hit_words"), "hit"), ROW, "left")
     pieces = F.regexp_extract_all(given("text"), F.lit(_PIECE), F.lit(0))

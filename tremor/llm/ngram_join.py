@@ -24,7 +24,7 @@ nothing and are components of their own; documents of fewer words than ``size``
 n-gram, all of them. Rows that repeat an id are rows of their own, with a component each that
 is named by the least id in it; a null id is never the least. An empty table gives no rows.
 Extra columns are kept by ``keep_first``; ``link`` has its own columns only. Rows are told
-apart by their place in the input, which has to be stable: a table, or a stored frame.
+apart by their place in the files of a table; a frame that is not read from one is stored first.
 """
 
 from collections.abc import Iterable, Iterator
@@ -40,9 +40,11 @@ from tremor.llm.common import (
     lower_ascii,
     offsets,
     packed,
+    placed,
     ragged,
     ship,
     slices,
+    stable,
     unpacked,
 )
 from tremor.llm.components import components
@@ -268,7 +270,7 @@ def link(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     ``component`` is a number of its own for each component, ``component_id`` its least doc_id.
     """
     ship(documents.sparkSession)
-    rowed = documents.select(F.monotonically_increasing_id().alias(ROW), "doc_id", "text")
+    rowed = placed(stable(documents.select("doc_id", "text")), "doc_id", "text")
     hashed = {"h1": F.xxhash64("grams"), "h2": F.xxhash64(F.lit("again"), "grams")}
     facts = stored(n_gram_sets(rowed, size).withColumns(hashed).drop("grams"), "facts")
     key = ["h1", "h2", "n"]
@@ -300,6 +302,7 @@ def link(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 def keep_first(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, with all its columns: the first by id, then by place."""
+    documents = stable(documents)
     linked = link(documents, size, percent)
     kept = linked.groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first")

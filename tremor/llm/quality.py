@@ -17,14 +17,14 @@ where one line is hot. Texts stay out of every shuffle of ``judge``.
 
 Null and empty texts have no words and fail the base rules. A null host is a host of its own.
 Repeated rows are documents of their own, and so are rows that repeat an id: each has its
-verdict. Rows are told apart by their place in the input, which has to be stable: a table, or
-a frame that is stored. An empty table gives no rows. ``clean`` keeps extra columns.
+verdict. Rows are told apart by their place in the files of a table; a frame that is not read
+from one is stored first. An empty table gives no rows. ``clean`` keeps extra columns.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import ROW, given, lower_ascii, packed, text_or_empty, unpacked
+from tremor.llm.common import ROW, given, lower_ascii, packed, placed, stable, text_or_empty, unpacked
 from tremor.llm.words import PLAIN_WORD, hashes, with_run_hashes, words
 from tremor.sinks import stored
 
@@ -147,9 +147,8 @@ def _verdict(df: DataFrame) -> DataFrame:
 
 def judge(documents: DataFrame) -> DataFrame:
     """One row for each document: doc_id, the base counts, n_removed_words, base_failed, kept."""
-    rowed = documents.select("doc_id", "text", "source").withColumn(
-        ROW, F.monotonically_increasing_id()
-    )
+    columns = ["doc_id", "text", "source"]
+    rowed = placed(stable(documents.select(*columns)), *columns)
     base = with_base(rowed).drop("text", "source")
     lost = _removed(rowed).select(ROW, "n_removed_words")
     return _verdict(base.join(lost, ROW, "left")).drop(ROW)
@@ -157,7 +156,7 @@ def judge(documents: DataFrame) -> DataFrame:
 
 def clean(documents: DataFrame) -> DataFrame:
     """The documents that pass, without boilerplate lines; ``n_chars`` follows the text."""
-    rows = packed(documents)
+    rows = packed(stable(documents))
     plain = rows.select(ROW, given("text").alias("text"), given("source").alias("source"))
     # Both are stored: their sizes decide how they are joined, and the rules run once, as a
     # filter on them would be moved below and repeat what they are made of.

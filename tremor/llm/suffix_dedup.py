@@ -25,8 +25,8 @@ bytes, except those with the least id. That leaves no group of copies to gather.
 
 Null text is empty. Texts below LENGTH bytes keep all bytes. Documents that share an id do not
 remove each other's strings; a null id is smaller than all others. Every row is a document of
-its own, told apart by its place in the input, which has to be stable: a table, or a stored
-frame. An empty table gives no rows. ``deduplicate`` keeps extra columns. A block holds about
+its own, told apart by its place in the files of a table; a frame that is not read from one is
+stored first. An empty table gives no rows. ``deduplicate`` keeps extra columns. A block holds about
 BLOCK bytes of text, or one longer document.
 """
 
@@ -44,8 +44,10 @@ from tremor.llm.common import (
     list_array,
     offsets,
     packed,
+    placed,
     ragged,
     ship,
+    stable,
     text_or_empty,
     unpacked,
 )
@@ -535,9 +537,8 @@ def find_repeats(documents: DataFrame, texts: bool = False) -> DataFrame:
     is left.
     """
     ship(documents.sparkSession)
-    rowed = documents.select(
-        F.monotonically_increasing_id().alias(ROW), "doc_id", text_or_empty().alias("text")
-    )
+    given_ = stable(documents.select("doc_id", "text"))
+    rowed = placed(given_, "doc_id", text_or_empty().alias("text"))
     number = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id")
     facts = stored(
         rowed.select(
@@ -567,6 +568,7 @@ def deduplicate(documents: DataFrame) -> DataFrame:
 
     A character of which a byte goes goes whole. ``n_chars`` follows the text.
     """
+    documents = stable(documents)
     found = find_repeats(documents, texts=True).filter(F.col("copy") | F.col("kept").isNotNull())
     left = stored(found.select(ROW, "copy", "kept"), "kept")
     rows = packed(documents).join(left, ROW, "left").filter(F.col("copy").isNull())
