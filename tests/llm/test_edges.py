@@ -154,6 +154,16 @@ def test_suffix_dedup(docs, none):
     assert suffix_dedup.deduplicate(none).collect() == []
 
 
+def test_characters_go_whole(spark):
+    shared = "б" * 25 + "".join(chr(0x430 + i % 31) for i in range(40))
+    texts = ["\u0430" + shared + "\u0444", "own \ufffd text \u0440" + shared + "\u0434 tail \ufffd"]
+    made = stored(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    found = {r.doc_id: r.text for r in suffix_dedup.deduplicate(made).collect()}
+    assert found == {0: texts[0], 1: "own \ufffd text \u0440\u0434 tail \ufffd"}
+    data = np.frombuffer("аб".encode(), np.uint8)
+    assert suffix_dedup._whole_characters(data, np.array([0, 1, 1, 0], bool)) == b""
+
+
 def test_hot_strings_give_the_same(docs, monkeypatch):
     plain = suffix_dedup.find_repeats(docs).orderBy("__row").collect()
     monkeypatch.setattr(suffix_dedup, "HOT", 2)

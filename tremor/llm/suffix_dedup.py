@@ -35,7 +35,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremor.llm.common import (
@@ -478,6 +478,12 @@ def _ranges(sent: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, _CUT)
 
 
+def _whole_characters(data: np.ndarray, gone: np.ndarray) -> bytes:
+    """The characters of which no byte goes."""
+    character = np.cumsum((data & 0xC0) != 0x80) - 1
+    return data[(np.bincount(character, gone) == 0)[character]].tobytes()
+
+
 def _cut_out(documents: DataFrame, ranges: DataFrame, texts: bool) -> DataFrame:
     """For each document that loses bytes: its row, the removed runs and what it keeps."""
 
@@ -511,7 +517,8 @@ def _cut_out(documents: DataFrame, ranges: DataFrame, texts: bool) -> DataFrame:
             kept = data[lo:hi][~gone[lo:hi]].tobytes()
             digest = hashlib.sha256(kept).hexdigest()
             row = (int(block.rows[i]), edge[::2].tolist(), edge[1::2].tolist())
-            out.append((*row, len(kept), digest, kept if texts else None))
+            whole = _whole_characters(data[lo:hi], gone[lo:hi]) if texts else None
+            out.append((*row, len(kept), digest, whole))
         columns = zip(*out, strict=True)
         arrays = [pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)]
         return pa.Table.from_arrays(arrays, schema=kinds)
@@ -532,7 +539,8 @@ def find_repeats(documents: DataFrame, texts: bool = False) -> DataFrame:
 
     Columns: __row, doc_id, n_bytes, digest (SHA-256 of the whole text), copy, starts, ends,
     n_kept, kept_sha256 and kept. ``starts`` and ``ends`` are the removed runs of bytes, and
-    the last three tell of the bytes that are left, ``kept`` with ``texts`` only. All of them
+    the last three tell of the bytes that are left; ``kept``, with ``texts`` only, has the
+    characters that are whole. All of them
     are null where nothing goes, and in a ``copy`` of a whole earlier text, of which nothing
     is left.
     """
@@ -572,12 +580,7 @@ def deduplicate(documents: DataFrame) -> DataFrame:
     found = find_repeats(documents, texts=True).filter(F.col("copy") | F.col("kept").isNotNull())
     left = stored(found.select(ROW, "copy", "kept"), "kept")
     rows = packed(documents).join(left, ROW, "left").filter(F.col("copy").isNull())
-    text = F.when(F.col("kept").isNull(), given("text")).otherwise(whole_characters(F.col("kept")))
+    text = F.when(F.col("kept").isNull(), given("text")).otherwise(F.col("kept").cast("string"))
     cleaned = rows.withColumn("__left", text)
     cleaned = cleaned.filter(F.col("kept").isNull() | (F.length(F.trim("__left")) > 0))
     return unpacked(cleaned, documents.columns, F.col("__left"))
-
-
-def whole_characters(data: Column) -> Column:
-    """Bytes as text, without those that make no character."""
-    return F.replace(F.make_valid_utf8(data.cast("string")), F.lit("�"), F.lit(""))
