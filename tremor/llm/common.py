@@ -164,3 +164,10 @@ def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa
     """Rows of consecutive values as an Arrow list column."""
     at = pa.array(offsets(lengths).astype(np.int32))
     return pa.ListArray.from_arrays(at, pa.array(values, kind))
+
+
+def byte_signs() -> dict[str, int]:
+    """The printable sign that stands for each byte in a byte-level vocabulary."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}

@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm import bpe, chat, decontaminate, ngram_join, piece_counts, quality, shards, suffix_dedup, token_files, warc
+from tremor.llm import (
+    alignment,
+    bpe,
+    chat,
+    decontaminate,
+    ngram_join,
+    piece_counts,
+    quality,
+    repair,
+    shards,
+    suffix_dedup,
+    token_files,
+    warc,
+    word_bpe,
+)
 from tremor.llm.common import table, text_or_empty
 from tremor.llm.words import LETTER_WORD, PLAIN_WORD
 from tremor.sinks import scratch_path
@@ -396,3 +410,39 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.coalesce("kept_sha256", "digest"))
         .alias("kept_sha256"),
     )
+
+
+# ---- 11: cross-tokenizer alignment -------------------------------------------
+
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+@_query()
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE)
+    return alignment.measure(table(spark, sf_dir, "documents"), *paths)
+
+
+# ---- 12: BPE encoding and decoding -------------------------------------------
+
+
+@_query()
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(WORD_BPE)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = word_bpe.encode(documents, path).drop("text")
+    return word_bpe.decode(encoded, path).select(
+        "doc_id",
+        F.size("token_ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("token_ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+# ---- 13: conversation structure repair ---------------------------------------
+
+
+@_query()
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.report(conversations, repair.damage(conversations))
