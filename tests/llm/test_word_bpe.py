@@ -60,6 +60,7 @@ def test_edges(spark, library):
     given = spark.createDataFrame(rows, schema)
     encoded = word_bpe.encode(given, PATH)
     found = word_bpe.decode(encoded, PATH).collect()
+    assert sorted(map(str, found)) == sorted(map(str, word_bpe.encode_and_decode(given, PATH).collect()))
     assert len(found) == len(texts) and set(found[0].asDict()) == set(given.columns)
     for row in found:
         ids = library.encode(row.text or "", add_special_tokens=False).ids

@@ -430,8 +430,7 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = word_bpe.encode(documents, path).drop("text")
-    return word_bpe.decode(encoded, path).select(
+    return word_bpe.encode_and_decode(documents, path).select(
         "doc_id",
         F.size("token_ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join("token_ids", " ").cast("binary"), 256).alias("ids_sha256"),

@@ -9,7 +9,8 @@ vocabulary's strings one after the other, with a blank between them, as a tokeni
 decoder does.
 
 Nothing reaches across a blank or a line end, so that a worker remembers the ids of pieces
-between them, MEMO of them at most, and MEMO words. The work is row by row: no shuffle, no key,
+between them, MEMO of them at most, and MEMO words. Pieces of characters below U+0250, which
+Unicode will not change any more, are split by a pattern here, all others by the library. The work is row by row: no shuffle, no key,
 no skew, and a task holds one slice of texts at a time. Null and empty texts have no ids; null
 ids decode to null, ids that the vocabulary lacks to nothing. Very long texts without a blank
 are merged like others, in n log n steps. Repeated rows are encoded alike. All other columns
@@ -23,7 +24,8 @@ from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain, islice
+from itertools import chain, islice, pairwise
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +34,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tremor.llm.bpe import SLICE_IDS, _replaced, _with
-from tremor.llm.common import byte_signs, list_array, offsets, ragged, ship, slices
+from tremor.llm.common import SLICE_BYTES, byte_signs, list_array, offsets, ragged, ship, slices
 
 #: Pieces, and words, that a Python worker remembers; past it, it goes back to the first half.
-MEMO = 300_000
+MEMO = 400_000
 #: Longer pieces and words are not remembered.
 LONGEST = 64
 
-# Fixed value: how the normalised ASCII characters of a text are split into words.
-_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
+_LATIN = [chr(c) for c in range(0x250)]
+
+
+def _class(kind: str) -> str:
+    """The Latin characters whose Unicode category begins with ``kind``, for a pattern."""
+    return "".join(c for c in _LATIN if category(c).startswith(kind))
+
+
+# Fixed value: how normalised texts are split into words, and what counts as a blank.
+_BLANKS = "\t-\r \x85\xa0"
+_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_class('L')}]+|[{_class('N')}]|[^{_BLANKS}{_class('L')}{_class('N')}]+")
+#: The dotted capital I becomes a letter and a mark, and is left to the library.
+_PLAIN = re.compile("[\0-\u012f\u0131-\u024f]*")
 
 
 class _Numbered(dict):
@@ -76,13 +89,14 @@ class WordBpe:
             self.strings[i] = name
         self._special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
         self._base = len(self.strings)
-        # The rank and the product of each pair, packed in one number.
-        self._merges: dict[int, int] = {}
+        #: The rank of each pair, and what the merge of each rank makes.
+        self._ranks: dict[int, int] = {}
+        self._products: list[int] = []
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            key = vocab[left] * self._base + vocab[right]
-            self._merges[key] = rank << 32 | vocab[left + right]
-        if len({made & 0xFFFFFFFF for made in self._merges.values()}) != len(model["merges"]):
+            self._ranks[vocab[left] * self._base + vocab[right]] = rank
+            self._products.append(vocab[left + right])
+        if len(set(self._products)) != len(model["merges"]):
             raise ValueError("two merges make one token")
         signs = byte_signs()
         if any(s not in vocab or s + self._suffix not in vocab for s in signs):
@@ -96,48 +110,53 @@ class WordBpe:
         self._flat = np.zeros(0, np.int32)
         self._starts = np.zeros(0, np.int64)
         self._sizes = np.zeros(0, np.int64)
-        # Every pair of ASCII characters, and some others, must be split as the library does.
+        # Plain characters, and some others, must be split as the library does.
         pairs = "".join(f"a{chr(x)}{chr(y)}b" for x in range(128) for y in range(128))
-        for probe in (*pairs.split("\n"), " Don't É́x 1½ Σς クク　 क़, <|x"):
+        latin = "".join(f" {c}a{c}1{c}'{c}s" for c in _LATIN)
+        for probe in (*pairs.split("\n"), latin, " Don't É́x 1½ Σς クク　 क़, <|x"):
             if self.ids(probe) != self._library.encode(probe, add_special_tokens=False).ids:
                 raise ValueError("the tokenizer splits texts in another way")
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Merge neighbours by rank, of equal ranks the leftmost pair first."""
-        n, base, rules = len(symbols), self._base, self._merges
+        n, base, rank_of, products = len(symbols), self._base, self._ranks.get, self._products
         following, preceding = [*range(1, n), -1], [*range(-1, n - 1)]
-        queue = [
-            (made >> 32) << 32 | i
-            for i in range(n - 1)
-            if (made := rules.get(symbols[i] * base + symbols[i + 1])) is not None
-        ]
+        # The rank of the pair that begins at each place now; entries that differ from it are stale.
+        now = [rank_of(a * base + b, -1) for a, b in pairwise(symbols)]
+        now.append(-1)
+        shift = n.bit_length()
+        mask = (1 << shift) - 1
+        queue = [rank << shift | i for i, rank in enumerate(now) if rank >= 0]
         heapify(queue)
         while queue:
-            rank, i = divmod(heappop(queue), 1 << 32)
-            j = following[i]
-            if symbols[i] < 0 or j < 0:
+            entry = heappop(queue)
+            i, rank = entry & mask, entry >> shift
+            if now[i] != rank:
                 continue
-            made = rules.get(symbols[i] * base + symbols[j])
-            if made is None or made >> 32 != rank:
-                continue  # stale: another merge has changed the pair
-            symbols[i], symbols[j] = made & 0xFFFFFFFF, -1
+            j = following[i]
+            symbols[i] = made = products[rank]
+            symbols[j] = now[j] = now[i] = -1
             following[i] = after = following[j]
             if after >= 0:
                 preceding[after] = i
-                if (made := rules.get(symbols[i] * base + symbols[after])) is not None:
-                    heappush(queue, (made >> 32) << 32 | i)
-            if (before := preceding[i]) >= 0:
-                if (made := rules.get(symbols[before] * base + symbols[i])) is not None:
-                    heappush(queue, (made >> 32) << 32 | before)
+                now[i] = rank = rank_of(made * base + symbols[after], -1)
+                if rank >= 0:
+                    heappush(queue, rank << shift | i)
+            before = preceding[i]
+            if before >= 0:
+                now[before] = rank = rank_of(symbols[before] * base + made, -1)
+                if rank >= 0:
+                    heappush(queue, rank << shift | before)
         return [s for s in symbols if s >= 0]
 
     def _word(self, word: str, symbols: list[int] | None = None) -> bytes:
-        """The ids of an ASCII word, or of one given by its symbols, four bytes each."""
+        """The ids of a word, four bytes each; ``symbols`` are those of one spelled in signs."""
         found = self._words.get(word)
         if found is None:
             if symbols is None:
-                data = word.encode()
-                symbols = [self._inner[b] for b in data[:-1]] + [self._last[data[-1]]]
+                inner, data = self._inner, word.encode()
+                symbols = [inner[b] for b in data]
+                symbols[-1] = self._last[data[-1]]
             found = array("i", self.merge(symbols)).tobytes()
             if len(word) <= LONGEST:
                 if len(self._words) >= MEMO:
@@ -146,16 +165,16 @@ class WordBpe:
         return found
 
     def _piece(self, piece: str) -> bytes:
-        if piece.isascii():
-            return b"".join([self._word(w) for w in _ASCII_WORDS.findall(piece.lower())])
-        # Other characters are normalised and split by the library's own rules. The blank keeps
-        # such words, which are spelled in signs of bytes, apart from ASCII ones.
+        if piece.isascii() or _PLAIN.fullmatch(piece):
+            piece = piece.lower()
+            if piece.isalpha():
+                return self._word(piece)
+            return b"".join([self._word(w) for w in _WORDS.findall(piece)])
+        # The blank keeps words that are spelled in signs of bytes apart from others.
         split = self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(piece))
+        sign = self._sign
         return b"".join(
-            [
-                self._word(f" {word}", [self._sign[s][0] for s in word[:-1]] + [self._sign[word[-1]][1]])
-                for word, _ in split
-            ]
+            [self._word(f" {word}", [sign[s][0] for s in word[:-1]] + [sign[word[-1]][1]]) for word, _ in split]
         )
 
     def _encoded(self, piece: str) -> bytes:
@@ -206,35 +225,56 @@ def word_bpe(path: str) -> WordBpe:
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """Add the token ids of ``text``. ``path`` names a tokenizer file that every executor can open."""
-    ship(df.sparkSession)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = word_bpe(path)
-        for batch in batches:
-            for part in slices(batch, text):
-                column = part.column(part.schema.get_field_index(text))
-                texts = [value or "" for value in column.to_pylist()]
-                yield _replaced(part, ids, list_array(*bpe.encode(texts), pa.int32()))
-
-    return df.mapInArrow(run, _with(df.schema, ids, T.ArrayType(T.IntegerType())))
+    return _step(df, path, text, {ids: T.ArrayType(T.IntegerType())}, _encoded_column)
 
 
 def decode(df: DataFrame, path: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
     """Add the text that the ids stand for, special strings included."""
+    return _step(df, path, ids, {text: T.StringType()}, _decoded_column)
+
+
+def encode_and_decode(
+    df: DataFrame, path: str, text: str = "text", ids: str = "token_ids", again: str = "decoded"
+) -> DataFrame:
+    """Both in one pass: the ids of ``text``, and the text that those ids stand for."""
+
+    def both(bpe: WordBpe, column: pa.Array) -> tuple[pa.Array, ...]:
+        found = _encoded_column(bpe, column)
+        return *found, *_decoded_column(bpe, found[0])
+
+    return _step(df, path, text, {ids: T.ArrayType(T.IntegerType()), again: T.StringType()}, both)
+
+
+def _encoded_column(bpe: WordBpe, column: pa.Array) -> tuple[pa.Array]:
+    texts = [value or "" for value in column.to_pylist()]
+    return (list_array(*bpe.encode(texts), pa.int32()),)
+
+
+def _decoded_column(bpe: WordBpe, column: pa.Array) -> tuple[pa.Array]:
+    counts = pc.list_value_length(column).fill_null(0).to_numpy(False)
+    values, ends = column.flatten().fill_null(-1).to_numpy().tolist(), offsets(counts).tolist()
+    found = [
+        None if gone else bpe.decode(values[a:b])
+        for gone, (a, b) in zip(column.is_null().to_pylist(), pairwise(ends), strict=True)
+    ]
+    return (pa.array(found, pa.string()),)
+
+
+def _step(df: DataFrame, path: str, of: str, made: dict[str, T.DataType], run_column) -> DataFrame:
+    """Add columns that are made of another one, slice by slice."""
     ship(df.sparkSession)
+    schema = df.schema
+    for name, kind in made.items():
+        schema = _with(schema, name, kind)
+    size = SLICE_IDS if isinstance(df.schema[of].dataType, T.ArrayType) else SLICE_BYTES
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = word_bpe(path)
         for batch in batches:
-            for part in slices(batch, ids, SLICE_IDS):
-                column = part.column(part.schema.get_field_index(ids))
-                counts = pc.list_value_length(column).fill_null(0).to_numpy(False)
-                values, ends = column.flatten().fill_null(-1).to_pylist(), offsets(counts).tolist()
-                none = column.is_null().to_pylist()
-                found = [
-                    None if gone else bpe.decode(values[a:b])
-                    for gone, a, b in zip(none, ends[:-1], ends[1:], strict=True)
-                ]
-                yield _replaced(part, text, pa.array(found, pa.string()))
-
-    return df.mapInArrow(run, _with(df.schema, text, T.StringType()))
+            for part in slices(batch, of, size):
+                column = part.column(part.schema.get_field_index(of))
+                for name, values in zip(made, run_column(bpe, column), strict=True):
+                    part = _replaced(part, name, values)
+                yield part
+
+    return df.mapInArrow(run, schema)
