@@ -14,20 +14,23 @@ from tremor.functions import area_comma, area_tail, epoch_ms_to_str, epoch_ms_to
 from tremor.operators import analysis as a
 from tremor.operators import orders as o
 from tremor.operators.flatten import flatten, transform
-from tremor.plans import analyses, load, order_report
+from tremor.plans import analyses, analyses_of_loads, load, order_report, scan_loads
 from tremor.plans.load import silver_rows
 from tremor.sinks import (
+    Journal,
     scratch_path,
     stored,
     write_landing,
     write_pairs_text,
     write_silver,
     write_table,
+    zones,
 )
 from tremor.sources import (
     landing_path,
     parse_feature,
     scan_completed_orders,
+    scan_documents,
     scan_features,
     scan_geojson,
     scan_silver,
@@ -661,10 +664,19 @@ def last_week_zoned(spark, sf_dir):
 
 @_query(_LAST_WEEK_SQL)
 def last_week_partitioned(spark, sf_dir):
-    """From folders by day, of which only those of that week and shortly before are read."""
-    path = scratch_path(spark, "by-day")
-    a.with_day(i.quakes(spark, sf_dir), "insert_dt", "load_date").write.partitionBy("load_date").parquet(path)
-    rows = a.last_week(spark.read.parquet(path), "insert_dt", i.AS_OF, partition="load_date")
+    """From folders by load, a third of them landed a month before and a third two months before.
+
+    The days in each folder are kept when it is written; only folders of that week are read.
+    """
+    path, kept = scratch_path(spark, "by-load"), scratch_path(spark, "zones")
+    late = (F.col("id") % 3 * 30).cast("int")
+    rows = a.with_day(i.quakes(spark, sf_dir), "insert_dt").withColumn(
+        "load_id", F.concat(F.date_sub("day", late).cast("string"), F.lit("-"), late.cast("string"))
+    )
+    rows.drop("day").write.partitionBy("load_id").parquet(path)
+    a.folder_zones(rows, "load_id", "insert_dt").write.parquet(kept)
+    table = spark.read.parquet(path)
+    rows = a.last_week(table, "insert_dt", i.AS_OF, partition="load_id", zones=spark.read.parquet(kept))
     return rows.select("id", "mag")
 
 
@@ -709,3 +721,172 @@ def pairs_text_large(spark, sf_dir):
     write_pairs_text(totals, path, "user_id", "total")
     return spark.read.text(path).select(F.col("value").alias("line"))
 
+
+# ---- loads that are one commit, and what is kept of each ----------------------
+
+
+def _journaled(spark: SparkSession, sf_dir: str, runs: list[tuple], read) -> DataFrame:
+    """Land the events for each feed and day, load in the given order, return what ``read`` gives.
+
+    A run is a feed, a day, a mode and a load instant.
+    """
+    landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
+    journal, shares = scratch_path(spark, "journal"), scratch_path(spark, "shares")
+    for feed, day in {run[:2] for run in runs}:
+        write_landing(i.collections(spark, sf_dir), landing_path(landing, feed, day))
+    name = f"tremor_check_{uuid4().hex}"
+    try:
+        for feed, day, mode, at in runs:
+            load(
+                spark, feed, day, landing=landing, silver=silver, table=name, mode=mode, load_ts=at,
+                table_path=f"{shares}-table", journal=journal, aggregates=shares,
+            )
+        return stored(read(journal, silver, name, shares), "journaled")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+_LAYERS_SQL = i.SILVER_CTE + "\nUNION ALL\n".join(
+    f"SELECT {i.SILVER_COLUMNS_SQL}, '{feed}' AS feed, '{day}' AS load_date, '{layer}' AS layer FROM silver"
+    for layer, feed, day in (
+        ("silver", "daily", i.LOAD_DATE),
+        ("silver", "daily", i.LOAD_DATE),
+        ("silver", "historical", i.LOAD_DATE),
+        ("silver", "daily", _NEXT),
+        ("table", "historical", i.LOAD_DATE),
+        ("table", "daily", _NEXT),
+    )
+)
+
+
+@_query(_LAYERS_SQL)
+def load_committed(spark, sf_dir):
+    """What counts in silver and in the table after loads that add, and that replace others."""
+    runs = [
+        ("daily", i.LOAD_DATE, "append", i.LOAD_TS),
+        ("daily", i.LOAD_DATE, "append", i.LOAD_TS),
+        ("historical", i.LOAD_DATE, "overwrite", i.LOAD_TS),
+        ("daily", _NEXT, "append", i.LOAD_TS),
+        ("daily", _NEXT, "replace_partition", i.LOAD_TS),
+    ]
+
+    def read(journal, silver, name, _):
+        layers = [
+            _loaded_view(rows).withColumn("layer", F.lit(layer))
+            for layer, rows in (
+                ("silver", scan_loads(spark, journal, silver=silver)),
+                ("table", scan_loads(spark, journal, table=name)),
+            )
+        ]
+        return layers[0].unionByName(layers[1])
+
+    return _journaled(spark, sf_dir, runs, read)
+
+
+_EARLIER, _LATER = (i.LOAD_TS.replace(day=d) for d in (17, 25))
+_SHARES_RUNS = [
+    ("historical", i.LOAD_DATE, "overwrite", i.LOAD_TS),
+    ("daily", i.LOAD_DATE, "append", i.LOAD_TS),
+    ("historical", i.LOAD_DATE, "overwrite", _EARLIER),
+    ("daily", i.LOAD_DATE, "append", _EARLIER),
+    ("daily", _NEXT, "append", i.LOAD_TS),
+    ("daily", _NEXT, "replace_partition", _LATER),
+]
+_SHARES_SQL = f"""{i.SILVER_CTE}, q AS (
+  SELECT mag, area_tail AS area, place, loaded_at AS insert_dt FROM silver,
+    (SELECT unnest([{", ".join(f"TIMESTAMP '{t:%Y-%m-%d %H:%M:%S}'" for t in (_EARLIER, _EARLIER, _LATER))}]) AS loaded_at)
+), answers(analysis, area, day, place, number) AS (
+{_SUITE_SQL}
+) SELECT analysis, area, day, place, round(CAST(number AS DOUBLE), 4) AS number FROM answers"""
+
+
+@_query(_SHARES_SQL)
+def load_suite_of_shares(spark, sf_dir):
+    """All analyses from the shares that each load kept, after append, overwrite and replace."""
+
+    def read(journal, _, name, shares):
+        answers = analyses_of_loads(spark, journal, name, shares, i.AS_OF, threshold=i.HIGH_VALUE)
+        parts = [_answers(answers[key], key, number) for key, (number, _) in _SUITE.items()]
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.unionByName(part)
+        return whole
+
+    return _journaled(spark, sf_dir, _SHARES_RUNS, read)
+
+
+@_query(
+    f"""{i.SILVER_CTE}SELECT id, mag FROM silver UNION ALL SELECT id, mag FROM silver"""
+)
+def load_week_of_late_loads(spark, sf_dir):
+    """Last week's rows of a table, from the folders whose load instants the journal puts there."""
+    runs = [
+        ("daily", day, "append", at)
+        for day in (i.LOAD_DATE.replace(month=1, day=2), i.LOAD_DATE.replace(year=2023, month=11))
+        for at in (_EARLIER, _LATER)
+    ]
+
+    def read(journal, _, name, __):
+        found = zones(spark, Journal(spark, journal).table_loads(name))
+        rows = scan_loads(spark, journal, table=name)
+        return a.last_week(rows, "insert_dt", i.AS_OF, partition="load_id", zones=found).select("id", "mag")
+
+    return _journaled(spark, sf_dir, runs, read)
+
+
+# ---- whole documents -----------------------------------------------------------
+
+
+def _pretty(documents: DataFrame) -> DataFrame:
+    text = F.to_json(F.struct("*"), {"pretty": "true", "ignoreNullFields": "false"})
+    return documents.select(text.alias("value"))
+
+
+@_query(i.SILVER_SQL)
+def whole_documents(spark, sf_dir):
+    """Files of one pretty-printed collection each, of some hundred events."""
+    path = scratch_path(spark, "landing")
+    some = (
+        i.features(spark, sf_dir)
+        .withColumn("file", (F.col("whole.id").cast("bigint") / 200).cast("bigint"))
+        .groupBy("file")
+        .agg(F.flatten(F.collect_list(F.array("whole", "poor"))).alias("features"))
+        .select(F.lit("FeatureCollection").alias("type"), "features")
+    )
+    _pretty(some).write.option("maxRecordsPerFile", 1).text(path)
+    return i.silver_view(silver_rows(scan_geojson(spark, path, multi_line=True), load_ts=i.LOAD_TS))
+
+
+def _one_document(spark: SparkSession, sf_dir: str, line_end: str, pretty: bool) -> DataFrame:
+    """All events as one document, which is then read in many ranges."""
+    path = scratch_path(spark, "document")
+    single = i.single_features(spark, sf_dir)
+    first = single.agg(F.min("id")).first()[0]
+    texts = _pretty(single.select("type", "properties", "geometry", "id")) if pretty else single.select(
+        F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")
+    )
+    key = F.get_json_object("value", "$.id")
+    lines = texts.select(
+        F.when(key == first, 1).otherwise(2).alias("at"),
+        F.when(key == first, F.col("value")).otherwise(F.concat(F.lit(","), "value")).alias("value"),
+    )
+    ends = spark.createDataFrame(
+        [(0, '{"type": "FeatureCollection", "title": "a \\"[{\\\\", "features" : ['), (3, '], "bbox": [[{"a": {}}]]}')],
+        "at int, value string",
+    )
+    # One file is written by one task; reading it is what this is about.
+    whole = ends.unionByName(lines).repartition(1).sortWithinPartitions("at").select("value")
+    whole.write.option("lineSep", line_end).text(path)
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    rows = silver_rows(scan_documents(spark, path, -(-size // 7)), layout="features", load_ts=i.LOAD_TS)
+    return i.silver_view(rows)
+
+
+@_query(i.SILVER_SQL)
+def split_document_pretty(spark, sf_dir):
+    return _one_document(spark, sf_dir, "\n", True)
+
+
+@_query(i.SILVER_SQL)
+def split_document_line(spark, sf_dir):
+    return _one_document(spark, sf_dir, " ", False)

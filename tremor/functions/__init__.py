@@ -3,6 +3,7 @@
 from tremor.functions.area import AREA_RULES, area_comma, area_tail
 from tremor.functions.text import pair_text, plain_number
 from tremor.functions.time import (
+    as_utc,
     epoch_ms_to_str,
     epoch_ms_to_ts,
     load_day,
@@ -15,6 +16,7 @@ from tremor.functions.time import (
 )
 
 __all__ = [
+    "as_utc",
     "AREA_RULES",
     "area_comma",
     "area_tail",

@@ -48,7 +48,7 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def _as_utc(instant: datetime) -> datetime:
+def as_utc(instant: datetime) -> datetime:
     """A datetime without a zone is taken as UTC."""
     if instant.tzinfo is None:
         return instant.replace(tzinfo=timezone.utc)
@@ -57,12 +57,12 @@ def _as_utc(instant: datetime) -> datetime:
 
 def load_instant(load_ts: datetime) -> Column:
     """A load's instant as a timestamp literal."""
-    return F.timestamp_micros(F.lit((_as_utc(load_ts) - _EPOCH) // timedelta(microseconds=1)))
+    return F.timestamp_micros(F.lit((as_utc(load_ts) - _EPOCH) // timedelta(microseconds=1)))
 
 
 def load_instant_text(load_ts: datetime) -> Column:
     """A load's instant as ISO text in UTC, without a zone suffix."""
-    return F.lit(_as_utc(load_ts).replace(tzinfo=None).isoformat())
+    return F.lit(as_utc(load_ts).replace(tzinfo=None).isoformat())
 
 
 def naive_utc(c: ColumnOrName) -> Column:

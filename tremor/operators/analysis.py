@@ -17,9 +17,6 @@ from tremor.functions._columns import ColumnOrName
 # Fixed value: magnitudes above this count as high.
 HIGH_MAGNITUDE = 5.0
 
-# Days that a load may come after the day it is the load of.
-LATEST_LOAD = 7
-
 AsOf = date | str | Column | None
 
 
@@ -50,12 +47,14 @@ def last_week(
     as_of: AsOf = None,
     compat: bool = False,
     partition: str | None = None,
+    zones: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of the Monday-to-Sunday week before the one that ``as_of`` lies in, in UTC.
 
-    ``partition`` names a date column, by which the table is laid out, that is never
-    later than the row's own day, and at most LATEST_LOAD days earlier: as a day's
-    landing is that day's or one shortly after. Folders out of reach are not read.
+    ``partition`` names a column by which the table is laid out, and ``zones`` says
+    what days its folders hold (``folder_zones``): only folders that reach into the
+    week are read, whenever they were loaded. Without ``zones`` the column is a date
+    that is never later than the row's own day, and only later folders are left out.
 
     The default compares the column itself with two constants, which reach the
     scan. ``compat`` compares calendar year and ISO week number instead; it
@@ -70,14 +69,27 @@ def last_week(
             (F.year(day) == F.year(today)) & (F.weekofyear(day) == F.weekofyear(F.date_sub(today, 7)))
         )
     monday = F.trunc(today, "week")
-    if partition is not None:
-        first = F.date_sub(monday, 7 + LATEST_LOAD)
-        df = df.where((F.col(partition) >= first) & (F.col(partition) < monday))
+    if partition is not None and zones is not None:
+        hit = (F.col("last") >= F.date_sub(monday, 7)) & (F.col("first") < monday)
+        # The names of a week's folders.
+        folders = [row[0] for row in zones.where(hit).select(partition).distinct().collect()]
+        df = df.where(F.col(partition).isin(folders))
+    elif partition is not None:
+        df = df.where(F.col(partition) < monday)
     return df.where(
         (column >= _as_kind(F.date_sub(monday, 7), kind)) & (column < _as_kind(monday, kind))
     )
 
 
+def folder_zones(df: DataFrame, partition: str, ts_col: str) -> DataFrame:
+    """The first and last day of ``ts_col`` in each folder: ``partition``, first and last.
+
+    Taken when a table is written, it tells later readers which folders they need.
+    """
+    day = day_of(df, ts_col).cast("date")
+    return df.groupBy(partition).agg(F.min(day).alias("first"), F.max(day).alias("last"))
+
+
 # ---- counts and means ------------------------------------------------------
 
 

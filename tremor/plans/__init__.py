@@ -1,7 +1,8 @@
 """Pipelines built from the sources, operators and sinks."""
 
-from tremor.plans.load import Load, load, split_landing
+from tremor.plans.load import Load, load, recover, scan_loads, split_landing
 from tremor.plans.orders import OrderReport, order_report, order_report_for_now
+from tremor.plans.partials import analyses_of_loads
 from tremor.plans.suite import analyses, analyses_for_now, area_day_summary
 
 __all__ = [
@@ -9,9 +10,12 @@ __all__ = [
     "OrderReport",
     "analyses",
     "analyses_for_now",
+    "analyses_of_loads",
     "area_day_summary",
     "load",
     "order_report",
     "order_report_for_now",
+    "recover",
+    "scan_loads",
     "split_landing",
 ]

@@ -55,7 +55,13 @@ def analyses(
     """
     days = share(area_day_summary(df, area=area, mag=mag, loaded=loaded))
     places = share(place_totals(df, place, mag).withColumnRenamed(place, "place"))
+    return answers_from(days, places, as_of, threshold=threshold)
 
+
+def answers_from(
+    days: DataFrame, places: DataFrame, as_of: AsOf = None, *, threshold: float = HIGH_MAGNITUDE
+) -> dict[str, DataFrame]:
+    """The standard analyses, from one aggregate by area and day and one by place."""
     n = F.sum("n")
     by_area = days.groupBy("area")
     by_day = days.groupBy("day").agg(n.alias("n"))

@@ -1,6 +1,7 @@
-"""Writing landing documents, silver files, tables and text."""
+"""Writing landing documents, silver files, tables and text, and the journal of loads."""
 
 from tremor.sinks.files import write_landing, write_pairs_text, write_rejects, write_silver
+from tremor.sinks.journal import ConcurrentLoadError, Journal, Record, zones
 from tremor.sinks.scratch import (
     exists,
     remove,
@@ -10,9 +11,13 @@ from tremor.sinks.scratch import (
     shared_folder,
     stored,
 )
-from tremor.sinks.tables import write_table
+from tremor.sinks.tables import drop_partition, write_table
 
 __all__ = [
+    "ConcurrentLoadError",
+    "Journal",
+    "Record",
+    "drop_partition",
     "exists",
     "remove",
     "remove_others",
@@ -25,4 +30,5 @@ __all__ = [
     "write_rejects",
     "write_silver",
     "write_table",
+    "zones",
 ]

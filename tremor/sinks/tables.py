@@ -2,14 +2,20 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tremor.sinks.scratch import remove
+
 
 def _partition_columns(spark: SparkSession, name: str) -> tuple[str, ...]:
     return tuple(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
 
 
+def _facts(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+
+
 def _own_location(spark: SparkSession, name: str) -> str | None:
     """Where an external table lies; None for one in the warehouse."""
-    facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    facts = _facts(spark, name)
     return facts.get("Location") if facts.get("Type") == "EXTERNAL" else None
 
 
@@ -17,6 +23,17 @@ def _quoted(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def drop_partition(spark: SparkSession, name: str, partition: dict[str, str]) -> None:
+    """Remove one partition with its files, also of an external table, or one half written."""
+    if not spark.catalog.tableExists(name):
+        return
+    folder = "/".join(f"{key}={value}" for key, value in partition.items())
+    spec = ", ".join(f"{key} = {_quoted(value)}" for key, value in partition.items())
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+    remove(spark, f"{_facts(spark, name)['Location']}/{folder}")
+    spark.catalog.refreshTable(name)
+
+
 def _replace_partition(df: DataFrame, name: str, partition: dict[str, str]) -> None:
     spark = df.sparkSession
     columns = _partition_columns(spark, name)

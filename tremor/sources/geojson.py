@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tremor import schema
+from tremor.sources.split import RANGE_BYTES, split_features
 
 CORRUPT = "_corrupt_record"
 
@@ -46,7 +47,13 @@ def parse_landed(texts: DataFrame, layout: str = "collections", keep: tuple[str,
 def scan_landed(
     spark: SparkSession, path: str, layout: str = "collections", *, multi_line: bool = False
 ) -> DataFrame:
-    """Landed documents with their text, one per line or, with ``multi_line``, one per file."""
+    """Landed documents with their text, one per line or, with ``multi_line``, one per file.
+
+    The layout ``documents`` is files of one document of any size and spelling; its features
+    come with their text, like those of the layout ``features``.
+    """
+    if layout == "documents":
+        return parse_landed(split_features(spark, path), "features")
     return parse_landed(spark.read.text(path, wholetext=multi_line), layout)
 
 
@@ -65,6 +72,14 @@ def scan_geojson(
     return spark.read.schema(fields).option("multiLine", multi_line).json(path)
 
 
+def scan_documents(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Features of documents of any size and spelling, pretty-printed or on one line.
+
+    Ranges of a file are read by tasks of their own. Rows are as those of ``scan_features``.
+    """
+    return parse_landed(split_features(spark, path, range_bytes), "features").select("feature")
+
+
 def scan_features(spark: SparkSession, path: str, *, keep_corrupt: bool = False) -> DataFrame:
     """Features, one per line, as a ``feature`` column."""
     fields = schema.FEATURE
