@@ -4,10 +4,12 @@ from tremor.sinks.files import write_landing, write_pairs_text, write_rejects, w
 from tremor.sinks.journal import ConcurrentLoadError, Journal, Record, zones
 from tremor.sinks.scratch import (
     exists,
+    noted,
     remove,
     remove_others,
     scratch,
     scratch_path,
+    settled,
     shared_folder,
     stored,
 )
@@ -19,10 +21,12 @@ __all__ = [
     "Record",
     "drop_partition",
     "exists",
+    "noted",
     "remove",
     "remove_others",
     "scratch",
     "scratch_path",
+    "settled",
     "shared_folder",
     "stored",
     "write_landing",

@@ -1,7 +1,8 @@
 """Intermediate results in the shared folder that the cluster names."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +52,22 @@ def remove_others(spark: SparkSession, folder: str, name: str) -> None:
                 store.delete(status.getPath(), True)
 
 
+_NOTED: ContextVar[list[str] | None] = ContextVar("noted", default=None)
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths that ``stored`` uses while the block runs."""
+    paths: list[str] = []
+    outer = _NOTED.set(paths)
+    try:
+        yield paths
+    finally:
+        _NOTED.reset(outer)
+        if (around := _NOTED.get()) is not None:
+            around.extend(paths)
+
+
 def stored(df: DataFrame, name: str = "stored", path: str | None = None) -> DataFrame:
     """Compute ``df`` once, keep it in the shared folder, and read it from there.
 
@@ -58,10 +75,23 @@ def stored(df: DataFrame, name: str = "stored", path: str | None = None) -> Data
     costs no recomputation.
     """
     path = path or scratch_path(df.sparkSession, name)
+    if (paths := _NOTED.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Store what ``build`` makes, and remove all that it has stored on the way."""
+    with noted() as paths:
+        made = build()
+    try:
+        return stored(made, name)
+    finally:
+        for path in paths:
+            remove(spark, path)
+
+
 @contextmanager
 def scratch(spark: SparkSession, name: str = "scratch") -> Iterator[str]:
     """A path for as long as the block runs; what was written there is then removed."""
