@@ -97,6 +97,14 @@ def test_shards(docs, none):
     assert len(rows) == len(TEXTS) and placed.columns[-3:] == ["slot", "shard", "shard_name"]
     assert len({r.shard for r in rows if r.doc_id == 2}) == 1
     assert shards.place(none, "doc_id", ["a"], 2).collect() == []
+    # Frames that are no table: a range, a union of scans, an aggregate.
+    spark = docs.sparkSession
+    for frame in (spark.range(9), docs.union(docs), docs.groupBy("doc_id").count()):
+        key = frame.columns[0]
+        assert shards.place(frame, key, ["a", "b"], 101).count() == frame.count()
+    text = shards.place(stored(docs, "s"), "doc_id", ["a", "b"], 101)._jdf.queryExecution().toString()
+    physical = text[text.index("== Physical Plan ==") :]
+    assert physical.count("FileScan") == 1 and physical.count("BroadcastHashJoin") == 1
     table = shards.fill_table([str(i) for i in range(7)], 701)
     sizes = np.bincount(table)
     assert sizes.max() - sizes.min() <= 1
@@ -188,14 +196,15 @@ def test_quality(spark, docs, none):
     _same_columns(quality.clean(docs), docs)
     assert quality.judge(none).collect() == quality.clean(none).collect() == []
     line = "Read  more on OUR site today and every day"
-    rows = [(i, "\n".join([line, PROSE.replace("word", f"w{i}x"), line])) for i in range(30)]
+    prose = [" ".join(PROSE.replace("word", f"w{i}{k}") for k in "xy") for i in range(30)]
+    rows = [(i, "\n".join([line, prose[i], line])) for i in range(30)]
     rows += [(30 + i, "\n".join([line] * 7 + [f"x{i}"] * 9)) for i in range(3)]
     rows.append((40, PROSE))
     made = spark.createDataFrame([(i, t, "h" if i < 40 else None) for i, t in rows], "doc_id int, text string, source string")
     kept = {r.doc_id: r.text for r in quality.clean(stored(made)).collect()}
     limits = (quality.MIN_DOCUMENTS, quality.MOST_SHARE, quality.MOST_REMOVED)
     assert kept == brute.quality([(i, "h" if i < 40 else None, t) for i, t in rows], *limits)
-    assert kept[0] == PROSE.replace("word", "w0x") and 30 not in kept and kept[40] == PROSE
+    assert kept[0] == prose[0] and 30 not in kept and kept[40] == PROSE
 
 
 def test_bpe(docs, none):

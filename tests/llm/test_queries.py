@@ -102,6 +102,13 @@ def test_quality_removes_lines_of_a_given_table(spark):
     assert found == expected and any(expected.values())
 
 
+def test_quality_rejects_depleted_documents(spark):
+    verdicts = queries.queries()["op5_quality_rules"](spark, "/root/testdata/sf0.01").collect()
+    assert any(r.n_removed_words for r in verdicts)
+    # The method's own verdict: documents that pass the base rules and go for their lines.
+    assert any(r.kept == r.base_failed for r in verdicts)
+
+
 def test_ngram_join(spark, sf_dir, docs):
     expected = brute.components([(k, r.text) for k, r in docs.items()], 4, 85)
     assert {r.doc_id: tuple(r)[1:] for r in _result(spark, sf_dir, "op9_ngram_join")} == expected

@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 from tremor.llm.bpe import merge_by_heap
 from tremor.llm.common import byte_signs, list_array, offsets, ragged, ship, slices
-from tremor.sinks import stored
+from tremor.sinks import settled, stored
 
 #: Bytes of text that are aligned together.
 BLOCK = 4 << 20
@@ -392,6 +392,10 @@ def measure(df: DataFrame, path_a: str, path_b: str, id_: str = "doc_id", text:
     """
     ship(df.sparkSession)
     check_byte_level(path_a)
+    return settled(df.sparkSession, "measured", lambda: _measured(df, path_a, path_b, id_, text))
+
+
+def _measured(df: DataFrame, path_a: str, path_b: str, id_: str, text: str) -> DataFrame:
     size_a = len(tokenizers(path_a, path_b).bytes_a)
     kind = df.schema[id_].dataType.simpleString()
     numbers = ("n_a", "n_b", "n_groups", "n_links")

@@ -1,9 +1,6 @@
 """Helpers that the operators share: shipping the package, slices of Arrow batches, ragged arrays."""
 
-import io
-import os
-import tempfile
-import zipfile
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,35 +10,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import tremor
+from tremor.shipping import ship
 from tremor.sinks import stored
 
 #: Text that one step of a Python task holds at once.
 SLICE_BYTES = 2 << 20
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> SparkSession:
-    """Let executors import this package, whatever their PYTHONPATH."""
-    context = spark.sparkContext
-    if context.applicationId not in _SHIPPED:
-        root = os.path.dirname(os.path.abspath(tremor.__file__))
-        packed = io.BytesIO()
-        with zipfile.ZipFile(packed, "w") as archive:
-            for folder, _, names in os.walk(root):
-                for name in (n for n in names if n.endswith(".py")):
-                    path = os.path.join(folder, name)
-                    archive.write(path, os.path.relpath(path, os.path.dirname(root)))
-        # A file of the driver, which Spark hands to the executors.
-        path = os.path.join(tempfile.mkdtemp(prefix="tremor-"), "tremor.zip")
-        with open(path, "wb") as out:
-            out.write(packed.getvalue())
-        context.addPyFile(path)
-        _SHIPPED.add(context.applicationId)
-    return spark
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -79,24 +53,45 @@ def stable(df: DataFrame) -> DataFrame:
     return df if _has_places(df) else stored(df, "rows")
 
 
+#: Files up to which their numbers, 16 bytes each, are sent to every task; others are shuffled.
+_MOST_FILES = 1 << 20
+
+
+def _file(path: Column) -> Column:
+    """A file by the hash of its path; an empty host may be spelled or not."""
+    return F.xxhash64(F.replace(path, F.lit("///"), F.lit("/"))).alias("__file")
+
+
 def placed(df: DataFrame, *columns: str | Column) -> DataFrame:
     """Some columns of a ``stable`` frame, and ROW: the number of the row's file, and its own in it.
 
     Unlike ``monotonically_increasing_id`` it does not depend on how a scan cuts the files, which
-    changes between two scans when executors come or go.
+    changes between two scans when executors come or go. The files are those that the scan's own
+    list has on the driver; nothing is read for it. They are told apart by a hash of 64 bits, which
+    is checked to be different for all of them.
     """
-    place = df.metadataColumn("_metadata")
-    # One row for each file.
-    names = df.select(place["file_path"].alias("file")).distinct().collect()
-    paths = sorted(row.file for row in names) or [""]
-    numbers = df.sparkSession.createDataFrame(
-        pa.table({"__file": paths, "__number": pa.array(range(len(paths)), pa.int64())})
-    )
-    found = df.select(*columns, place["file_path"].alias("__file"), place["row_index"].alias("__at"))
-    number = F.shiftleft("__number", _ROW_BITS).bitwiseOR(F.col("__at"))
-    return found.join(F.broadcast(numbers), "__file").select(
-        *(c for c in found.columns if c not in ("__file", "__at")), number.alias(ROW)
-    )
+    spark, place = df.sparkSession, df.metadataColumn("_metadata")
+    paths = sorted(df.inputFiles()) or [""]
+    table = pa.table({"path": paths, "number": pa.array(range(len(paths)), pa.int64())})
+    numbers = spark.createDataFrame(table).select(_file(F.col("path")), F.col("number").alias("__number"))
+    if len(paths) > 1 and numbers.select("__file").distinct().count() < len(paths):
+        raise ValueError("two files have one hash")
+    if len(paths) <= _MOST_FILES:
+        numbers = F.broadcast(numbers)
+    found = df.select(*columns, _file(place["file_path"]), place["row_index"].alias("__at"))
+    kept = [c for c in found.columns if c not in ("__file", "__at")]
+    unknown = F.raise_error("a file that is not in the scan's list").cast("bigint")
+    number = F.shiftleft(F.coalesce("__number", unknown), _ROW_BITS).bitwiseOR(F.col("__at"))
+    return found.join(numbers, "__file", "left").select(*kept, number.alias(ROW))
+
+
+def release() -> None:
+    """Give freed memory of this Python worker back, which stays for the next task otherwise."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
 
 
 def packed(df: DataFrame) -> DataFrame:

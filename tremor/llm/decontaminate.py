@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tremor.llm.common import ROW, given, lower_ascii, packed, placed, stable, unpacked
 from tremor.llm.words import LETTER_WORD, hashes, with_run_hashes, words
-from tremor.sinks import stored
+from tremor.sinks import settled, stored
 
 LENGTH = 10
 #: Windows of the benchmark up to which the set is sent to all tasks: some 20 MB.
@@ -70,6 +70,10 @@ def _candidates(name: str, size: int, keys: list[int] | None) -> Column:
 
 def find_hits(documents: DataFrame, benchmark: DataFrame, length: int = LENGTH) -> DataFrame:
     """A row for each document: __row, doc_id, n_words, hit_words (sorted places), items (sorted)."""
+    return settled(documents.sparkSession, "hits", lambda: _hits(documents, benchmark, length))
+
+
+def _hits(documents: DataFrame, benchmark: DataFrame, length: int) -> DataFrame:
     windows = stored(benchmark_windows(benchmark, length), "windows")
     distinct = windows.select("size", "window").distinct()
     small = windows.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST

@@ -42,6 +42,7 @@ from tremor.llm.common import (
     packed,
     placed,
     ragged,
+    release,
     ship,
     slices,
     stable,
@@ -49,7 +50,7 @@ from tremor.llm.common import (
 )
 from tremor.llm.components import components
 from tremor.llm.words import PLAIN_WORD, hashes, with_run_hashes, words
-from tremor.sinks import remove, scratch_path, stored
+from tremor.sinks import remove, scratch_path, settled, stored
 
 #: Counters of the table of common n-grams; one byte each is sent to every task.
 SKETCH = 1 << 22
@@ -83,21 +84,25 @@ def _common(sets: DataFrame) -> np.ndarray:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH, np.int32)
-        for batch in batches:
-            grams = batch.column(0).flatten().to_numpy().view(np.uint64)
-            counts += np.bincount(grams & np.uint64(SKETCH - 1), minlength=SKETCH).astype(np.int32)
+        for part in (p for batch in batches for p in slices(batch, "grams", 1 << 18)):
+            grams = part.column(0).flatten().to_numpy().view(np.uint64)
+            at, n = np.unique(grams & np.uint64(SKETCH - 1), return_counts=True)
+            counts[at] += n.astype(np.int32)
         at = np.flatnonzero(counts >= COMMON)
         for i in range(0, len(at), 100_000):
             part = at[i : i + 100_000]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part, pa.int64()), pa.array(counts[part], pa.int64())], ["at", "n"]
             )
+        del counts, at
+        release()
 
     reported = sets.select("grams").mapInArrow(run, "at bigint, n bigint")
+    bits = F.ceil(F.log2(F.sum("n") + 1)).cast("tinyint").alias("bits")
+    # At most SKETCH rows of five bytes.
+    summed = reported.groupBy("at").agg(bits).select(F.col("at").cast("int"), "bits").toArrow()
     out = np.zeros(SKETCH, np.uint8)
-    summed = reported.groupBy("at").agg(F.sum("n").alias("n"))
-    for row in summed.select("at", F.ceil(F.log2(F.col("n") + 1)).alias("bits")).toLocalIterator():
-        out[row.at] = row.bits  # at most SKETCH rows
+    out[summed["at"].to_numpy()] = summed["bits"].to_numpy()
     return out
 
 
@@ -154,50 +159,68 @@ def _tile_links(members: DataFrame, percent: int) -> DataFrame:
     """A spanning forest of the links within each pair of tiles."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("n").combine_chunks()
-        nodes = table["node"].to_numpy()
-        sizes = table["n"].to_numpy()
-        lists = table["grams"].combine_chunks()
-        grams = lists.flatten().to_numpy()
-        document = np.repeat(np.arange(len(nodes)), np.diff(lists.offsets.to_numpy()))
-        _, column, seen = np.unique(grams, return_inverse=True, return_counts=True)
-        shared = seen > 1  # a column of one document adds to no pair
-        keep = shared[column]
-        column, document = (np.cumsum(shared) - 1)[column[keep]], document[keep]
-        width = int(shared.sum())
-        order = np.lexsort((document, column // _COLUMNS))
-        column, document = column[order], document[order]
-        cuts = np.searchsorted(column // _COLUMNS, np.arange(-(-width // _COLUMNS) + 1))
-        root = np.arange(len(nodes))
-        starts = range(0, len(nodes), _BLOCK)
-        for i in starts:
-            for j in (j for j in starts if j >= i):
-                a, b = slice(i, i + _BLOCK), slice(j, j + _BLOCK)
-                if sizes[a][-1] * 100 < sizes[b][0] * percent:
-                    break  # documents are in order of size: nothing further fits either
-                overlap = np.zeros((len(sizes[a]), len(sizes[b])), np.float32)
-                for k in range(len(cuts) - 1):
-                    part = slice(cuts[k], cuts[k + 1])
-                    halves = []
-                    for side in (a, b):
-                        lo, hi = np.searchsorted(document[part], (side.start, side.stop))
-                        half = np.zeros((len(sizes[side]), _COLUMNS), np.float32)
-                        half[
-                            document[part][lo:hi] - side.start, column[part][lo:hi] - k * _COLUMNS
-                        ] = 1
-                        halves.append(half)
-                    overlap += halves[0] @ halves[1].T
-                links = overlap >= _needed(sizes[a][:, None], sizes[b][None, :], percent)
-                if i == j:
-                    links = np.triu(links, 1)
-                x, y = np.nonzero(links)
-                root = _joined(root, x + i, y + j)
-        moved = np.flatnonzero(root != np.arange(len(nodes)))
-        return pa.table({"a": nodes[moved], "b": nodes[root[moved]]})
+        try:
+            return _forest(table, percent)
+        finally:
+            release()
 
     return members.groupBy("kind", "block", "tile_a", "tile_b").applyInArrow(run, "a bigint, b bigint")
 
 
+def _forest(table: pa.Table, percent: int) -> pa.Table:
+    table = table.select(["node", "n", "grams"]).sort_by("n").combine_chunks()
+    nodes, sizes = table["node"].to_numpy(), table["n"].to_numpy()
+    lists = table["grams"].combine_chunks()
+    lengths = np.diff(lists.offsets.to_numpy())
+    # Columns get small numbers; one of a single document adds to no pair. Entries are put in the
+    # order of slices of _COLUMNS columns, and of documents in each slice.
+    grams = lists.flatten().to_numpy()
+    order = np.argsort(grams, kind="stable").astype(np.int32)
+    grams = grams[order]
+    new = np.ones(len(grams), bool)
+    new[1:] = grams[1:] != grams[:-1]
+    del grams, lists, table
+    many = np.diff(np.r_[np.flatnonzero(new), len(order)]) > 1
+    keep = np.repeat(many, np.diff(np.r_[np.flatnonzero(new), len(order)]))
+    column = (np.cumsum(new[keep], dtype=np.int32) - 1).astype(np.int32)
+    document = np.repeat(np.arange(len(nodes), dtype=np.int32), lengths)[order[keep]]
+    del order, new, keep
+    width = int(many.sum())
+    order = np.lexsort((document, column // _COLUMNS))
+    column, document = column[order], document[order]
+    del order
+    cuts = np.searchsorted(column // _COLUMNS, np.arange(-(-width // _COLUMNS) + 1))
+    root = np.arange(len(nodes))
+    starts = range(0, len(nodes), _BLOCK)
+    for i in starts:
+        for j in (j for j in starts if j >= i):
+            a, b = slice(i, i + _BLOCK), slice(j, j + _BLOCK)
+            if sizes[a][-1] * 100 < sizes[b][0] * percent:
+                break  # documents are in order of size: nothing further fits either
+            if (root[a] == root[i]).all() and (root[b] == root[i]).all():
+                continue  # one tree already: further links say nothing new
+            overlap = np.zeros((len(sizes[a]), len(sizes[b])), np.float32)
+            for k in range(len(cuts) - 1):
+                part = slice(cuts[k], cuts[k + 1])
+                halves = []
+                for side in (a, b):
+                    lo, hi = np.searchsorted(document[part], (side.start, side.stop))
+                    if lo == hi:
+                        break
+                    half = np.zeros((len(sizes[side]), _COLUMNS), np.float32)
+                    half[document[part][lo:hi] - side.start, column[part][lo:hi] - k * _COLUMNS] = 1
+                    halves.append(half)
+                if len(halves) == 2:
+                    overlap += halves[0] @ halves[1].T
+            links = overlap >= _needed(sizes[a][:, None], sizes[b][None, :], percent)
+            if i == j:
+                links = np.triu(links, 1)
+            x, y = np.nonzero(links)
+            root = _joined(root, x + i, y + j)
+    moved = np.flatnonzero(root != np.arange(len(nodes)))
+    return pa.table({"a": nodes[moved], "b": nodes[root[moved]]})
+
+
 def _joined(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Roots after linking x and y: each tree's root is its least member."""
     while len(x):
@@ -270,6 +293,10 @@ def link(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     ``component`` is a number of its own for each component, ``component_id`` its least doc_id.
     """
     ship(documents.sparkSession)
+    return settled(documents.sparkSession, "linked", lambda: _linked(documents, size, percent))
+
+
+def _linked(documents: DataFrame, size: int, percent: int) -> DataFrame:
     rowed = placed(stable(documents.select("doc_id", "text")), "doc_id", "text")
     hashed = {"h1": F.xxhash64("grams"), "h2": F.xxhash64(F.lit("again"), "grams")}
     facts = stored(n_gram_sets(rowed, size).withColumns(hashed).drop("grams"), "facts")
@@ -303,9 +330,12 @@ def link(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 def keep_first(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, with all its columns: the first by id, then by place."""
     documents = stable(documents)
-    linked = link(documents, size, percent)
-    kept = linked.groupBy("component").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first")
-    )
-    first = kept.select(F.col(f"first.{ROW}").alias(ROW))
+
+    def firsts() -> DataFrame:
+        kept = link(documents, size, percent).groupBy("component").agg(
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first")
+        )
+        return kept.select(F.col(f"first.{ROW}").alias(ROW))
+
+    first = settled(documents.sparkSession, "firsts", firsts)
     return unpacked(packed(documents).join(first, ROW, "left_semi"), documents.columns)

@@ -26,17 +26,17 @@ from pyspark.sql import functions as F
 
 from tremor.llm.common import ROW, given, lower_ascii, packed, placed, stable, text_or_empty, unpacked
 from tremor.llm.words import PLAIN_WORD, hashes, with_run_hashes, words
-from tremor.sinks import stored
+from tremor.sinks import settled, stored
 
 MIN_WORDS = 50
 #: Of 100 words, those that may stand in repeated windows.
 MOST_REPEATED = 50
-#: Documents of a host that a line is in, and their share, from which it is boilerplate. The
-#: share decides in hosts of more than 1,000 documents, and has to be small, as it grows with them.
-MIN_DOCUMENTS = 20
+#: Documents of a host that a line is in, and their share, from which it is boilerplate. The share
+#: decides in hosts of more than 250 documents, and has to be small, as it grows with them.
+MIN_DOCUMENTS = 5
 MOST_SHARE = 0.02
 #: The share of its words that a document may lose.
-MOST_REMOVED = 0.5
+MOST_REMOVED = 0.2
 
 _BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -147,6 +147,10 @@ def _verdict(df: DataFrame) -> DataFrame:
 
 def judge(documents: DataFrame) -> DataFrame:
     """One row for each document: doc_id, the base counts, n_removed_words, base_failed, kept."""
+    return settled(documents.sparkSession, "judged", lambda: _judged(documents))
+
+
+def _judged(documents: DataFrame) -> DataFrame:
     columns = ["doc_id", "text", "source"]
     rowed = placed(stable(documents.select(*columns)), *columns)
     base = with_base(rowed).drop("text", "source")

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremor.llm.common import ship, slices
-from tremor.sinks import stored
+from tremor.sinks import settled, stored
 
 # What a row has to have, and how it ends if it is whole.
 _INK = r"[^\x20\x09-\x0D]"
@@ -460,6 +460,10 @@ def report(conversations: DataFrame, damaged: DataFrame) -> DataFrame:
     Columns: conv_id, gaps (turns that lack between the first and the last one), blank, duplicate,
     truncated, illegal, cost, audit and repaired_sha256.
     """
+    return settled(conversations.sparkSession, "repaired", lambda: _reported(conversations, damaged))
+
+
+def _reported(conversations: DataFrame, damaged: DataFrame) -> DataFrame:
     ordered = in_order(damaged)
     edits = find_edits(ordered)
     numbers = ("blank", "duplicate", "truncated", "illegal", "cost")

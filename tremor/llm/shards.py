@@ -18,7 +18,7 @@ from hashlib import md5
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm.common import given, packed
+from tremor.llm.common import GIVEN, given
 
 #: Slots for each shard at least, so that shares are even to within a percent.
 SLOTS_PER_SHARD = 100
@@ -77,7 +77,8 @@ def place(df: DataFrame, key: str, shards: list[str], slots: int | None = None)
     """Add ``slot``, ``shard`` and ``shard_name`` for each row."""
     slots = slots or table_size(len(shards))
     made = ("slot", "shard", "shard_name")
-    rows = packed(df).withColumn("slot", slot_of(given(key), slots))
+    # Columns keep apart from the new ones in a struct; a slot needs no place of its row.
+    rows = df.select(F.struct("*").alias(GIVEN)).withColumn("slot", slot_of(given(key), slots))
     owned = rows.join(F.broadcast(lookup_table(df.sparkSession, shards, slots)), "slot")
     return owned.select(*(given(c).alias(c) for c in df.columns if c not in made), *made)
 

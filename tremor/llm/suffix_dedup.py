@@ -18,7 +18,8 @@ through one task; instead the suffixes that can share a string are brought toget
 4. An anchor that occurs HOT times or more would gather many segments in one task. Its strings
    go by their own hash instead of the anchor's, so that each such group has one string.
    Its rows, one for each block, are read one after the other with the least id first.
-5. The removed ranges go back to the blocks, which cut them from the texts.
+5. The removed ranges go back to the blocks, which cut them from the texts. ``deduplicate`` gives
+   out whole rows there, so that texts are shuffled once, into their blocks, and not again.
 
 Exact copies of whole texts are set aside first: they are removed wholly, if they have LENGTH
 bytes, except those with the least id. That leaves no group of copies to gather.
@@ -26,8 +27,9 @@ bytes, except those with the least id. That leaves no group of copies to gather.
 Null text is empty. Texts below LENGTH bytes keep all bytes. Documents that share an id do not
 remove each other's strings; a null id is smaller than all others. Every row is a document of
 its own, told apart by its place in the files of a table; a frame that is not read from one is
-stored first. An empty table gives no rows. ``deduplicate`` keeps extra columns. A block holds about
-BLOCK bytes of text, or one longer document.
+stored first. Ids that are no whole numbers are refused. An empty table gives no rows.
+``deduplicate`` keeps extra columns. A block holds about BLOCK bytes of text, or one longer
+document, which is read whole.
 """
 
 import hashlib
@@ -35,24 +37,25 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tremor.llm.common import (
+    GIVEN,
     ROW,
     given,
     list_array,
     offsets,
-    packed,
     placed,
     ragged,
     ship,
     stable,
     text_or_empty,
-    unpacked,
 )
 from tremor.llm.suffixes import suffix_arrays
-from tremor.sinks import stored
+from tremor.sinks import settled, stored
 
 LENGTH = 50
 ANCHOR = 20
@@ -484,7 +487,19 @@ def _whole_characters(data: np.ndarray, gone: np.ndarray) -> bytes:
     return data[(np.bincount(character, gone) == 0)[character]].tobytes()
 
 
-def _cut_out(documents: DataFrame, ranges: DataFrame, texts: bool) -> DataFrame:
+def _removed(block: _Block, ranges: pa.Table) -> np.ndarray:
+    """Which bytes of a block go."""
+    places, starts, ends = (
+        ranges[c].combine_chunks().flatten().to_numpy().astype(np.int64)
+        for c in ("places", "starts", "ends")
+    )
+    depth = np.zeros(len(block.data) + 1, np.int32)
+    np.add.at(depth, block.at[places] + starts, 1)
+    np.add.at(depth, block.at[places] + ends, -1)
+    return np.cumsum(depth, dtype=np.int32)[:-1] > 0
+
+
+def _cut_out(documents: DataFrame, ranges: DataFrame) -> DataFrame:
     """For each document that loses bytes: its row, the removed runs and what it keeps."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -495,30 +510,20 @@ def _cut_out(documents: DataFrame, ranges: DataFrame, texts: bool) -> DataFrame:
                 ("ends", pa.list_(pa.int32())),
                 ("n_kept", pa.int64()),
                 ("kept_sha256", pa.string()),
-                ("kept", pa.binary()),
             ]
         )
         if not left.num_rows or not right.num_rows:
             return kinds.empty_table()
         block = _Block(left)
-        places, starts, ends = (
-            right[c].combine_chunks().flatten().to_numpy().astype(np.int64)
-            for c in ("places", "starts", "ends")
-        )
-        depth = np.zeros(len(block.data) + 1, np.int64)
-        np.add.at(depth, block.at[places] + starts, 1)
-        np.add.at(depth, block.at[places] + ends, -1)
-        gone = np.cumsum(depth)[:-1] > 0
+        gone = _removed(block, right)
         data = np.frombuffer(block.data, np.uint8)
         out = []
-        for i in np.unique(places).tolist():
+        for i in np.unique(np.searchsorted(block.at, np.flatnonzero(gone), "right") - 1).tolist():
             lo, hi = block.at[i], block.at[i + 1]
             edge = np.flatnonzero(np.diff(np.r_[0, gone[lo:hi].view(np.int8), 0]))
             kept = data[lo:hi][~gone[lo:hi]].tobytes()
             digest = hashlib.sha256(kept).hexdigest()
-            row = (int(block.rows[i]), edge[::2].tolist(), edge[1::2].tolist())
-            whole = _whole_characters(data[lo:hi], gone[lo:hi]) if texts else None
-            out.append((*row, len(kept), digest, whole))
+            out.append((int(block.rows[i]), edge[::2].tolist(), edge[1::2].tolist(), len(kept), digest))
         columns = zip(*out, strict=True)
         arrays = [pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)]
         return pa.Table.from_arrays(arrays, schema=kinds)
@@ -528,47 +533,96 @@ def _cut_out(documents: DataFrame, ranges: DataFrame, texts: bool) -> DataFrame:
         .cogroup(ranges.groupBy("block"))
         .applyInArrow(
             run,
-            f"{ROW} bigint, starts array<int>, ends array<int>, n_kept bigint, "
-            "kept_sha256 string, kept binary",
+            f"{ROW} bigint, starts array<int>, ends array<int>, n_kept bigint, kept_sha256 string",
         )
     )
 
 
-def find_repeats(documents: DataFrame, texts: bool = False) -> DataFrame:
+def _cleaned(blocked: DataFrame, ranges: DataFrame, kind: T.DataType) -> DataFrame:
+    """All rows of the blocks, in GIVEN, with what is left of their texts in ``left``.
+
+    Rows of which nothing but blanks is left are left out.
+    """
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.sort_by(ROW)
+        texts = left["text"].combine_chunks()
+        if right.num_rows and left.num_rows:
+            block = _Block(left)
+            gone = _removed(block, right)
+            data = np.frombuffer(block.data, np.uint8)
+            hit = np.unique(np.searchsorted(block.at, np.flatnonzero(gone), "right") - 1)
+            kept = [
+                _whole_characters(data[lo:hi], gone[lo:hi]).decode()
+                for lo, hi in zip(block.at[hit].tolist(), block.at[hit + 1].tolist(), strict=True)
+            ]
+            mask = np.zeros(left.num_rows, bool)
+            mask[hit] = True
+            texts = pc.replace_with_mask(texts, pa.array(mask), pa.array(kept, texts.type))
+            stays = np.ones(left.num_rows, bool)
+            stays[hit] = [bool(text.strip(" ")) for text in kept]
+            left, texts = left.filter(pa.array(stays)), texts.filter(pa.array(stays))
+        return pa.table({GIVEN: left[GIVEN], "left": texts})
+
+    schema = T.StructType([T.StructField(GIVEN, kind), T.StructField("left", T.StringType())])
+    return blocked.groupBy("block").cogroup(ranges.groupBy("block")).applyInArrow(run, schema)
+
+
+class _Plan:
+    """What both results are made of: facts, copies, the blocks of other texts, and their ranges."""
+
+    def __init__(self, documents: DataFrame, *more: Column):
+        ship(documents.sparkSession)
+        rowed = placed(documents, "doc_id", text_or_empty().alias("text"), *more)
+        number = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id")
+        size = F.octet_length("text").cast("bigint").alias("n_bytes")
+        self.facts = stored(
+            rowed.select(ROW, "doc_id", number, size, F.sha2("text", 256).alias("digest")), "facts"
+        )
+        # Short texts are never copies, so that all empty ones do not meet.
+        long = self.facts.filter(F.col("n_bytes") >= LENGTH)
+        first = long.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+        self.copies = stored(
+            long.join(first.filter("n > 1"), "digest")
+            .filter(F.col("id") > F.col("first"))
+            .select(ROW, F.lit(True).alias("copy")),
+            "copies",
+        )
+        volume = self.facts.agg(F.sum("n_bytes")).first()[0] or 0
+        blocks = max(1, -(-volume // BLOCK))
+        bits = min(32, max(1, (volume // 10 // BUCKET).bit_length()))
+        others = [c for c in rowed.columns if c not in (ROW, "doc_id", "text")]
+        self.short = rowed.filter(F.octet_length("text") < LENGTH)
+        alone = rowed.filter(F.octet_length("text") >= LENGTH)
+        alone = alone.join(self.copies.select(ROW), ROW, "left_anti")
+        block = F.pmod(F.xxhash64(ROW), F.lit(blocks)).alias("block")
+        self.blocked = alone.select(ROW, number, "text", block, *others)
+        shared = _shared(_reported(self.blocked, bits))
+        self.ranges = _ranges(_sent(self.blocked, shared, bits))
+
+
+def _checked(documents: DataFrame) -> DataFrame:
+    """Strings are removed by the order of ids, which has to be that of whole numbers."""
+    if not isinstance(documents.schema["doc_id"].dataType, T.IntegralType):
+        raise TypeError("doc_id must be a whole number")
+    return stable(documents)
+
+
+def find_repeats(documents: DataFrame) -> DataFrame:
     """A row for each document: what goes and what stays.
 
     Columns: __row, doc_id, n_bytes, digest (SHA-256 of the whole text), copy, starts, ends,
-    n_kept, kept_sha256 and kept. ``starts`` and ``ends`` are the removed runs of bytes, and
-    the last three tell of the bytes that are left; ``kept``, with ``texts`` only, has the
-    characters that are whole. All of them
-    are null where nothing goes, and in a ``copy`` of a whole earlier text, of which nothing
-    is left.
+    n_kept and kept_sha256. ``starts`` and ``ends`` are the removed runs of bytes, and the last
+    two tell of the bytes that are left. All of them are null where nothing goes, and in a
+    ``copy`` of a whole earlier text, of which nothing is left.
     """
-    ship(documents.sparkSession)
-    given_ = stable(documents.select("doc_id", "text"))
-    rowed = placed(given_, "doc_id", text_or_empty().alias("text"))
-    number = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id")
-    facts = stored(
-        rowed.select(
-            ROW, "doc_id", number, F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("digest")
-        ),
-        "facts",
-    )
-    first = facts.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n"))
-    copies = stored(
-        facts.join(first.filter("n > 1"), "digest")
-        .filter((F.col("id") > F.col("first")) & (F.col("n_bytes") >= LENGTH))
-        .select(ROW, F.lit(True).alias("copy")),
-        "copies",
-    )
-    volume = facts.agg(F.sum("n_bytes")).first()[0] or 0
-    blocks = max(1, -(-volume // BLOCK))
-    bits = min(32, max(1, (volume // 10 // BUCKET).bit_length()))
-    alone = rowed.filter(F.octet_length("text") >= LENGTH).join(copies.select(ROW), ROW, "left_anti")
-    blocked = alone.select(ROW, number, "text", F.pmod(F.xxhash64(ROW), F.lit(blocks)).alias("block"))
-    shared = _shared(_reported(blocked, bits))
-    cut = _cut_out(blocked, _ranges(_sent(blocked, shared, bits)), texts)
-    return facts.drop("id").join(copies, ROW, "left").join(cut, ROW, "left")
+
+    def found() -> DataFrame:
+        plan = _Plan(_checked(documents.select("doc_id", "text")))
+        cut = _cut_out(plan.blocked, plan.ranges)
+        return plan.facts.drop("id").join(plan.copies, ROW, "left").join(cut, ROW, "left")
+
+    return settled(documents.sparkSession, "repeats", found)
 
 
 def deduplicate(documents: DataFrame) -> DataFrame:
@@ -576,11 +630,13 @@ def deduplicate(documents: DataFrame) -> DataFrame:
 
     A character of which a byte goes goes whole. ``n_chars`` follows the text.
     """
-    documents = stable(documents)
-    found = find_repeats(documents, texts=True).filter(F.col("copy") | F.col("kept").isNotNull())
-    left = stored(found.select(ROW, "copy", "kept"), "kept")
-    rows = packed(documents).join(left, ROW, "left").filter(F.col("copy").isNull())
-    text = F.when(F.col("kept").isNull(), given("text")).otherwise(F.col("kept").cast("string"))
-    cleaned = rows.withColumn("__left", text)
-    cleaned = cleaned.filter(F.col("kept").isNull() | (F.length(F.trim("__left")) > 0))
-    return unpacked(cleaned, documents.columns, F.col("__left"))
+    documents = _checked(documents)
+    others = [F.col(c) for c in documents.columns if c not in ("text", "n_chars")]
+    plan = _Plan(documents, F.struct(*others, F.col("text").isNull().alias("__none")).alias(GIVEN))
+    kept = _cleaned(plan.blocked, plan.ranges, plan.blocked.schema[GIVEN].dataType)
+    rows = kept.unionByName(plan.short.select(GIVEN, F.col("text").alias("left")))
+    text = F.when(~given("__none"), F.col("left"))
+    made = {"text": text, "n_chars": F.char_length(text)}
+    return rows.select(
+        *((made[c].cast(documents.schema[c].dataType) if c in made else given(c)).alias(c) for c in documents.columns)
+    )
