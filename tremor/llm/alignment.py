@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tremor.llm.bpe import merge_by_heap
-from tremor.llm.common import byte_signs, list_array, offsets, ragged, ship, slices
+from tremor.llm.common import byte_signs, list_array, offsets, ragged, release, ship, slices
 from tremor.sinks import settled, stored
 
 #: Bytes of text that are aligned together.
@@ -418,6 +418,8 @@ def _measured(df: DataFrame, path_a: str, path_b: str, id_: str, text: str) -> D
                 found = Aligned(both, _texts(part, "text"))
                 yield _block_row(block, part.column(0), found, pa.schema(fields))
                 block += 1
+                del found
+                release()
 
     given = df.select(F.col(id_).alias("id"), F.col(text).alias("text"))
     blocks = stored(given.mapInArrow(run, schema), "blocks")

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tremor.llm.common import list_array, offsets, ragged, ship, slices
+from tremor.llm.common import list_array, offsets, ragged, release, ship, slices
 
 #: Merged pre-tokens that a Python worker remembers; past it, it starts afresh.
 MEMO = 300_000
@@ -264,6 +264,7 @@ def encode(
                 column = part.column(part.schema.get_field_index(text))
                 texts = [value or "" for value in column.to_pylist()]
                 yield _replaced(part, ids, list_array(*bpe.encode(texts), pa.int32()))
+        release()
 
     return df.mapInArrow(run, _with(df.schema, ids, T.ArrayType(T.IntegerType())))
 
@@ -286,5 +287,6 @@ def decode(
                 none = column.is_null().to_numpy(False)
                 found = [None if gone else x for x, gone in zip(found, none, strict=True)]
                 yield _replaced(part, data, pa.array(found, pa.binary()))
+        release()
 
     return df.mapInArrow(run, _with(df.schema, data, T.BinaryType()))

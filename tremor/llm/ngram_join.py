@@ -284,7 +284,8 @@ def _links(classes: DataFrame, percent: int) -> DataFrame:
             F.greatest("side", "other").alias("tile_b"),
         )
     )
-    return _tile_links(_bounded(members, "members").join(sets, "node"), percent)
+    # Joined by a shuffle at every size, as these rows grow with the documents.
+    return _tile_links(stored(members, "members").hint("merge").join(sets, "node"), percent)
 
 
 def link(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -50,6 +50,7 @@ from tremor.llm.common import (
     offsets,
     placed,
     ragged,
+    release,
     ship,
     stable,
     text_or_empty,
@@ -284,7 +285,13 @@ def _sent(documents: DataFrame, shared: DataFrame, bits: int) -> DataFrame:
             }
         )
 
-    return documents.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(run, _SENT)
+    def freed(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return run(left, right)
+        finally:
+            release()
+
+    return documents.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(freed, _SENT)
 
 
 def _table(schema: str) -> pa.Table:
@@ -477,6 +484,8 @@ def _ranges(sent: DataFrame) -> DataFrame:
                     yield from one_by_one(table.slice(plain), known).to_batches()
         if open_ is not None:
             yield from settled(open_).to_batches()
+        del open_
+        release()
 
     return ordered.mapInArrow(run, _CUT)
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tremor.llm.bpe import SLICE_IDS, _replaced, _with
-from tremor.llm.common import SLICE_BYTES, byte_signs, list_array, offsets, ragged, ship, slices
+from tremor.llm.common import SLICE_BYTES, byte_signs, list_array, offsets, ragged, release, ship, slices
 
 #: Pieces, and words, that a Python worker remembers; past it, it goes back to the first half.
 MEMO = 400_000
@@ -276,5 +276,6 @@ def _step(df: DataFrame, path: str, of: str, made: dict[str, T.DataType], run_co
                 for name, values in zip(made, run_column(bpe, column), strict=True):
                     part = _replaced(part, name, values)
                 yield part
+        release()
 
     return df.mapInArrow(run, schema)
