@@ -247,13 +247,14 @@ def _links(classes: DataFrame, percent: int) -> DataFrame:
     path = scratch_path(spark, "prefixes")
     entries = stored(_prefixes(classes, percent), path=path)
     columns = entries.groupBy("gram").agg(F.count("*").alias("members")).filter("members > 1")
-    shared = stored(entries.join(columns, "gram"), "shared")
+    # All joins on grams are by a shuffle at every size: both sides grow with the documents.
+    shared = stored(entries.join(columns.hint("merge"), "gram"), "shared")
     remove(spark, path)
     small = shared.filter(F.col("members") <= SMALL).select("gram", "node", "n")
     right = small.select("gram", F.col("node").alias("b"), F.col("n").alias("m"))
     pairs = stored(
         small.withColumnRenamed("node", "a")
-        .join(right, "gram")
+        .join(right.hint("merge"), "gram")
         .filter((F.col("a") < F.col("b")) & _may_link(F.col("n"), F.col("m"), percent))
         .groupBy("a", "b", "n", "m")
         .agg(F.count("*").alias("shared"))
