@@ -797,7 +797,7 @@ _SHARES_SQL = f"""{i.SILVER_CTE}, q AS (
     (SELECT unnest([{", ".join(f"TIMESTAMP '{t:%Y-%m-%d %H:%M:%S}'" for t in (_EARLIER, _EARLIER, _LATER))}]) AS loaded_at)
 ), answers(analysis, area, day, place, number) AS (
 {_SUITE_SQL}
-) SELECT analysis, area, day, place, round(CAST(number AS DOUBLE), 4) AS number FROM answers"""
+) SELECT analysis, area, day, place, round(CAST(number AS DOUBLE), 8) AS number FROM answers"""
 
 
 @_query(_SHARES_SQL)
@@ -806,7 +806,7 @@ def load_suite_of_shares(spark, sf_dir):
 
     def read(journal, _, name, shares):
         answers = analyses_of_loads(spark, journal, name, shares, i.AS_OF, threshold=i.HIGH_VALUE)
-        parts = [_answers(answers[key], key, number) for key, (number, _) in _SUITE.items()]
+        parts = [_answers(answers[key], key, number, 8) for key, (number, _) in _SUITE.items()]
         whole = parts[0]
         for part in parts[1:]:
             whole = whole.unionByName(part)
