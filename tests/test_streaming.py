@@ -7,6 +7,7 @@ from feed import collection, feature, land
 from pyspark.errors import StreamingQueryException
 
 from tremor.plans import load
+from tremor.sinks import move_folders
 from tremor.sources import landing_path, scan_silver
 from tremor.streaming import load_incremental
 
@@ -102,6 +103,46 @@ def test_table_and_load_instant(spark, stream):
     spark.sql(f"DROP TABLE {name}")
 
 
+def progress(stream, **options):
+    query = load_incremental(stream.spark, stream.landing, stream.silver, stream.checkpoint, **options)
+    query.awaitTermination()
+    return query.recentProgress
+
+
+def test_a_batch_reads_its_files_once(stream):
+    """The source counts a line each time it is read; silver and table need one reading."""
+    name = "once_" + stream.root.name.replace("-", "_")
+    [report] = progress(stream, table=name)
+    assert report["numInputRows"] == 2
+    assert report["observedMetrics"]["landed"].asDict() == {"documents": 2, "readable": 2}
+    assert stream.spark.table(name).count() == 3
+    stream.spark.sql(f"DROP TABLE {name}")
+    assert os.listdir(f"{stream.silver}/_open") == []
+
+
+def test_a_failed_batch_leaves_silver_alone(spark, stream):
+    stream.run()
+    stream.land("daily", NEXT, "bad", feature("d3"), name="c.json", whole=False)
+    with pytest.raises(StreamingQueryException):
+        stream.run()
+    assert stream.ids() == FIRST and os.listdir(f"{stream.silver}/_open") == []
+    # What a run that was killed while it wrote has left behind is not read, and goes.
+    os.makedirs(f"{stream.silver}/_open/other/feed=daily/load_date=2024-01-06/load_id=x")
+    assert stream.ids() == FIRST
+
+
+def test_folders_move_into_place(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a b", None), (2, "a=b", "x/y")], "n int, k string, m string")
+    rows.write.partitionBy("k", "m").parquet(str(tmp_path / "new"))
+    rows.limit(0).write.parquet(str(tmp_path / "none"))
+    assert move_folders(spark, str(tmp_path / "none"), str(tmp_path / "t"), 2) == []
+    for _ in range(2):
+        rows.write.mode("overwrite").partitionBy("k", "m").parquet(str(tmp_path / "new"))
+        assert len(move_folders(spark, str(tmp_path / "new"), str(tmp_path / "t"), 2)) == 2
+    found = spark.read.parquet(str(tmp_path / "t")).collect()
+    assert sorted((r.n, r.k, r.m) for r in found) == [(1, "a b", None), (2, "a=b", "x/y")]
+
+
 def test_wrong_layout(stream):
     with pytest.raises(ValueError):
         stream.run(layout="rows")

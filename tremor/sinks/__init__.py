@@ -4,6 +4,7 @@ from tremor.sinks.files import write_landing, write_pairs_text, write_rejects, w
 from tremor.sinks.journal import ConcurrentLoadError, Journal, Record, zones
 from tremor.sinks.scratch import (
     exists,
+    move_folders,
     noted,
     remove,
     remove_others,
@@ -21,6 +22,7 @@ __all__ = [
     "Record",
     "drop_partition",
     "exists",
+    "move_folders",
     "noted",
     "remove",
     "remove_others",

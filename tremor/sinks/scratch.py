@@ -52,6 +52,35 @@ def remove_others(spark: SparkSession, folder: str, name: str) -> None:
                 store.delete(status.getPath(), True)
 
 
+def _folders_at(store, where, depth: int, prefix: str = "") -> list[str]:
+    """Names of the partition folders ``depth`` levels below a path."""
+    found = []
+    for status in store.listStatus(where):
+        name = status.getPath().getName()
+        if status.isDirectory() and "=" in name:
+            below = [] if depth == 1 else _folders_at(store, status.getPath(), depth - 1, f"{prefix}{name}/")
+            found += [f"{prefix}{name}"] if depth == 1 else below
+    return found
+
+
+def move_folders(spark: SparkSession, source: str, target: str, depth: int) -> list[str]:
+    """Move the partition folders ``depth`` levels below ``source`` to the same place below
+    ``target``, where each replaces one of its name; returns their names.
+
+    A move that broke off is repeated safely by writing ``source`` again.
+    """
+    where, store = _located(spark, source)
+    folders = sorted(_folders_at(store, where, depth))
+    for folder in folders:
+        old, _ = _located(spark, f"{source}/{folder}")
+        new, _ = _located(spark, f"{target.rstrip('/')}/{folder}")
+        store.delete(new, True)
+        store.mkdirs(new.getParent())
+        if not store.rename(old, new):
+            raise OSError(f"{old} cannot be moved to {new}")
+    return folders
+
+
 _NOTED: ContextVar[list[str] | None] = ContextVar("noted", default=None)
 
 

@@ -4,16 +4,17 @@ Each run takes what was landed since the last one. The stream keeps no state but
 the checkpoint's list of files, so there is nothing to watermark.
 """
 
-from datetime import datetime
+from datetime import date, datetime
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tremor import schema
 from tremor.plans.load import rejects_path, silver_rows
-from tremor.sinks import exists, write_rejects, write_silver, write_table
+from tremor.sinks import move_folders, remove, write_rejects, write_silver, write_table
 from tremor.sources import (
     NoFeaturesError,
     checked_layout,
@@ -74,10 +75,15 @@ def load_incremental(
     is lost or doubled. Loads by ``load`` can share the silver folder. ``table``
     is partitioned by feed, day and load id, and filled in the same way.
 
-    Documents without features go to ``rejects``, as in ``load``. The batch then
-    fails before it writes silver, stays open, and is taken up by the next run;
-    with ``keep_good`` it goes on with the rest. Each progress report of the query
-    has the numbers of documents and of readable ones, observed as ``landed``.
+    The landed files are read and parsed once: documents are counted in the pass
+    that writes, into a folder below silver that no scan looks into, and what it
+    wrote is moved into place when the counts are known.
+
+    Documents without features go to ``rejects``, as in ``load``; only a batch that
+    has some is read again. It then fails before silver changes, stays open, and is
+    taken up by the next run; with ``keep_good`` it goes on with the rest. Each
+    progress report of the query has the numbers of documents and of readable ones,
+    observed as ``landed``.
     """
     checked_layout(layout)
     schema.silver_schema(variant)
@@ -91,42 +97,50 @@ def load_incremental(
             raise RuntimeError("the batch has no query id to name its folders after")
         load_id = f"stream-{query_id}-{number}"
         content = F.col(content_column(batch))
-        bad = batch.where(content.isNull()).withColumn("load_id", F.lit(load_id))
-        if not bad.isEmpty():
-            write_rejects(bad, rejects, replace_partitions=True)
-            if not keep_good:
-                raise NoFeaturesError(
-                    f"documents without features are in {rejects}, load_id={load_id}"
-                )
+        seen = Observation()
+        counted = batch.observe(
+            seen, F.count("*").alias("documents"), F.count(content).alias("readable")
+        )
         rows = silver_rows(
-            batch.where(content.isNotNull()),
+            counted.where(content.isNotNull()),
             layout=layout,
             variant=variant,
             area_rule=area_rule,
             load_ts=load_ts,
             keep=_PARTITIONS,
         )
-        write_silver(
-            rows.withColumn("load_id", F.lit(load_id)),
-            silver,
-            "overwrite",
-            variant=variant,
-            partition_by=keys,
-            rebalance=spread,
-            replace_partitions=True,
-        )
+        # The leading underscore hides the folder from scans of silver.
+        aside = f"{silver.rstrip('/')}/_open/{load_id}"
+        try:
+            write_silver(
+                rows.withColumn("load_id", F.lit(load_id)),
+                aside,
+                "overwrite",
+                variant=variant,
+                partition_by=keys,
+                rebalance=spread,
+            )
+            if seen.get["documents"] != seen.get["readable"]:
+                bad = batch.where(content.isNull()).withColumn("load_id", F.lit(load_id))
+                write_rejects(bad, rejects, replace_partitions=True)
+                if not keep_good:
+                    raise NoFeaturesError(
+                        f"documents without features are in {rejects}, load_id={load_id}"
+                    )
+            moved = move_folders(batch.sparkSession, aside, silver, len(keys))
+        finally:
+            remove(batch.sparkSession, aside)
         if table is not None:
-            _fill_table(batch, load_id)
+            _fill_table(batch.sparkSession, load_id, moved)
 
-    def _fill_table(batch: DataFrame, load_id: str) -> None:
+    def _fill_table(session: SparkSession, load_id: str, folders: list[str]) -> None:
         """Each feed and day of the batch, from the silver folder it has just written."""
-        session = batch.sparkSession
-        for feed, day in batch.select(*_PARTITIONS).distinct().collect():
-            folder = silver_path(silver, feed, day)
-            if exists(session, f"{folder}/load_id={load_id}"):
-                rows = scan_silver(session, folder, variant).where(F.col("load_id") == load_id)
-                partition = {"feed": feed, "load_date": day.isoformat(), "load_id": load_id}
-                write_table(rows, table, "replace_partition", partition=partition, path=table_path)
+        for folder in folders:
+            partition = dict(unquote(part).split("=", 1) for part in folder.split("/"))
+            feed, day = partition["feed"], date.fromisoformat(partition["load_date"])
+            rows = scan_silver(session, silver_path(silver, feed, day), variant)
+            rows = rows.where(F.col("load_id") == load_id)
+            write_table(rows, table, "replace_partition", partition=partition, path=table_path)
 
     stream = landing_stream(
         spark,
