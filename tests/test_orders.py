@@ -1,11 +1,12 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tremor.operators import orders as o
 from tremor.operators.analysis import above
 from tremor.plans import analyses_for_now, order_report, order_report_for_now
-from tremor.sinks import shared_folder, write_pairs_text
+from tremor.sinks import shared_folder, stored, write_pairs_text, write_tagged_pairs
 
 SCHEMA = "user_id bigint, order_id bigint, order_value double, order_status string"
 
@@ -40,6 +41,37 @@ def test_report(orders, tmp_path):
     assert lines(tmp_path / "small_orders") == ["(1, 500.0)"]
 
 
+def test_both_sides_are_written_in_one_pass(spark, orders, tmp_path):
+    read = []
+
+    def share(totals):
+        read.append(stored(totals, path=str(tmp_path / f"totals-{len(read)}")))
+        return read[-1].withColumn("total", counted("total"))
+
+    rows = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(total):
+        rows.add(1)
+        return total
+
+    for _ in range(2):  # the second report replaces the first
+        order_report(orders, str(tmp_path / "out"), share=share)
+    assert rows.value == 2 * 3
+    assert sorted(os.listdir(tmp_path / "out")) == ["large_orders", "small_orders"]
+    assert lines(tmp_path / "out" / "large_orders") == ["(2, 500.5)", "(3, 12345678.5)"]
+    assert lines(tmp_path / "out" / "small_orders") == ["(1, 500.0)"]
+
+
+def test_tags_without_rows_and_null_totals(spark, tmp_path):
+    df = spark.createDataFrame([("a", None), ("b", 1.0)], "user_id string, total double")
+    tagged = o.tag_by_threshold(df, "total", 500, "large", "small")
+    for rows, small in ((tagged, ["('a', None)", "('b', 1.0)"]), (tagged.limit(0), [])):
+        write_tagged_pairs(rows, str(tmp_path / "t"), "side", ("large", "small"), "user_id", "total")
+        assert lines(tmp_path / "t" / "small") == small and lines(tmp_path / "t" / "large") == []
+        assert sorted(os.listdir(tmp_path / "t")) == ["large", "small"]
+
+
 def test_report_without_orders(orders):
     report = order_report(orders.where("order_status = 'NONE'"))
     assert report.mean_value.first()[0] is None
@@ -71,17 +103,17 @@ def test_textual_users_are_quoted(spark, tmp_path):
 def test_nothing_stays_of_what_was_for_now(spark, orders):
     folder = shared_folder(spark).removeprefix("file:")
 
-    def stored():
+    def kept():
         return {n for n in os.listdir(f"{folder}/tremor") if n.startswith(("analyses-", "user-"))}
 
     os.makedirs(f"{folder}/tremor", exist_ok=True)
-    before = stored()
+    before = kept()
     with order_report_for_now(orders) as report:
-        assert report.mean_value.count() == 1 and len(stored()) == len(before) + 1
+        assert report.mean_value.count() == 1 and len(kept()) == len(before) + 1
     events = spark.sql("SELECT 'a' AS area, 'p' AS place, 1.0D AS mag, TIMESTAMP_NTZ '2024-01-05' AS insert_dt")
     with analyses_for_now(events, "2024-01-10") as answers:
         assert answers["top_area"].count() == 1
-    assert stored() == before
+    assert kept() == before
 
 
 def test_a_cluster_names_a_shared_folder(spark, monkeypatch):

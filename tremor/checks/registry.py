@@ -611,12 +611,14 @@ def load_replacing_with_nothing(spark, sf_dir):
 
 @_query(_loaded_sql("daily"))
 def load_large_collections(spark, sf_dir):
-    """A document for each kind of event and hour."""
+    """A document for each kind of event and hour, of a thousand events at most."""
     landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
     hourly = (
         i.features(spark, sf_dir)
         .withColumn("hour", F.col("whole.properties.time").substr(1, 7))
-        .groupBy("whole.properties.net", "hour")
+        # Kinds and hours stay as many while events grow in number.
+        .withColumn("slice", (F.col("whole.id").cast("bigint") / 1000).cast("bigint"))
+        .groupBy("whole.properties.net", "hour", "slice")
         .agg(F.flatten(F.collect_list(F.array("whole", "poor"))).alias("features"))
         .select(F.lit("FeatureCollection").alias("type"), "features")
     )

@@ -35,3 +35,10 @@ def split_by_threshold(df: DataFrame, col: str, threshold: float) -> tuple[DataF
     """Rows strictly above the threshold, and all the others, nulls among them."""
     large = F.coalesce(F.col(col) > F.lit(threshold), F.lit(False))
     return df.where(large), df.where(~large)
+
+
+def tag_by_threshold(
+    df: DataFrame, col: str, threshold: float, above: str, rest: str, name: str = "side"
+) -> DataFrame:
+    """The same split as a column, for a sink that writes both sides in one pass."""
+    return df.withColumn(name, F.when(F.col(col) > F.lit(threshold), above).otherwise(rest))

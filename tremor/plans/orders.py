@@ -12,12 +12,16 @@ from tremor.operators.orders import (
     MIN_ORDER_VALUE,
     mean_from_totals,
     split_by_threshold,
+    tag_by_threshold,
     user_totals,
 )
-from tremor.sinks import scratch, stored, write_pairs_text
+from tremor.sinks import scratch, stored, write_tagged_pairs
 from tremor.sources import scan_completed_orders
 from tremor.sources.tables import COMPLETED
 
+# Folders of the two sides.
+SIDES = ("large_orders", "small_orders")
+
 
 @dataclass(frozen=True)
 class OrderReport:
@@ -39,15 +43,15 @@ def order_report(
 
     The orders are scanned and shuffled once, into stored totals per user; the
     mean and both sides of the split are read from those. With ``output``, the
-    sides are written as text below ``large_orders`` and ``small_orders``. ``share``
-    keeps the totals, by default as files in the shared folder.
+    sides are written as text below ``large_orders`` and ``small_orders``, in one pass
+    over the totals. ``share`` keeps the totals, by default as files in the shared folder.
     """
     valued = above(scan_completed_orders(orders, status), "order_value", min_value)
     totals = share(user_totals(valued))
     large, small = split_by_threshold(totals.select("user_id", "total"), "total", large_total)
     if output is not None:
-        for side, name in ((large, "large_orders"), (small, "small_orders")):
-            write_pairs_text(side, f"{output.rstrip('/')}/{name}", "user_id", "total")
+        tagged = tag_by_threshold(totals, "total", large_total, *SIDES)
+        write_tagged_pairs(tagged, output, "side", SIDES, "user_id", "total")
     return OrderReport(mean_from_totals(totals), large, small)
 
 

@@ -1,6 +1,12 @@
 """Writing landing documents, silver files, tables and text, and the journal of loads."""
 
-from tremor.sinks.files import write_landing, write_pairs_text, write_rejects, write_silver
+from tremor.sinks.files import (
+    write_landing,
+    write_pairs_text,
+    write_rejects,
+    write_silver,
+    write_tagged_pairs,
+)
 from tremor.sinks.journal import ConcurrentLoadError, Journal, Record, zones
 from tremor.sinks.scratch import (
     exists,
@@ -36,5 +42,6 @@ __all__ = [
     "write_rejects",
     "write_silver",
     "write_table",
+    "write_tagged_pairs",
     "zones",
 ]

@@ -1,11 +1,14 @@
 """File sinks. Every task writes its own files; nothing passes the driver."""
 
-from pyspark.sql import DataFrame
+from uuid import uuid4
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tremor import schema
 from tremor.functions import pair_text
+from tremor.sinks.scratch import move_folder, remove
 
 
 def write_landing(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -53,7 +56,29 @@ def write_silver(
     writer.parquet(path)
 
 
+def _pair_lines(df: DataFrame, key: str, value: str) -> Column:
+    quoted = isinstance(df.schema[key].dataType, T.StringType)
+    return pair_text(key, value, quoted).alias("value")
+
+
 def write_pairs_text(df: DataFrame, path: str, key: str, value: str, mode: str = "overwrite") -> None:
     """Write ``(key, value)`` lines to ``.txt`` files."""
-    quoted = isinstance(df.schema[key].dataType, T.StringType)
-    df.select(pair_text(key, value, quoted).alias("value")).write.mode(mode).text(path)
+    df.select(_pair_lines(df, key, value)).write.mode(mode).text(path)
+
+
+def write_tagged_pairs(
+    df: DataFrame, path: str, tag: str, names: tuple[str, ...], key: str, value: str
+) -> None:
+    """Write ``(key, value)`` lines to a folder for each of the tag's ``names``, in one pass.
+
+    The folders take the place of what was there when all of them are written; a
+    tag without rows leaves an empty one. All rows must have one of the names.
+    """
+    spark = df.sparkSession
+    aside = f"{path.rstrip('/')}/_open-{uuid4().hex}"
+    try:
+        df.select(_pair_lines(df, key, value), F.col(tag).alias("tag")).write.partitionBy("tag").text(aside)
+        for name in names:
+            move_folder(spark, f"{aside}/tag={name}", f"{path.rstrip('/')}/{name}")
+    finally:
+        remove(spark, aside)

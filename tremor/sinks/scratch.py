@@ -63,6 +63,19 @@ def _folders_at(store, where, depth: int, prefix: str = "") -> list[str]:
     return found
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to where it replaces ``target``; without a source that becomes empty."""
+    old, store = _located(spark, source)
+    new, _ = _located(spark, target)
+    store.delete(new, True)
+    if not store.exists(old):
+        store.mkdirs(new)
+        return
+    store.mkdirs(new.getParent())
+    if not store.rename(old, new):
+        raise OSError(f"{source} cannot be moved to {target}")
+
+
 def move_folders(spark: SparkSession, source: str, target: str, depth: int) -> list[str]:
     """Move the partition folders ``depth`` levels below ``source`` to the same place below
     ``target``, where each replaces one of its name; returns their names.
@@ -72,12 +85,7 @@ def move_folders(spark: SparkSession, source: str, target: str, depth: int) -> l
     where, store = _located(spark, source)
     folders = sorted(_folders_at(store, where, depth))
     for folder in folders:
-        old, _ = _located(spark, f"{source}/{folder}")
-        new, _ = _located(spark, f"{target.rstrip('/')}/{folder}")
-        store.delete(new, True)
-        store.mkdirs(new.getParent())
-        if not store.rename(old, new):
-            raise OSError(f"{old} cannot be moved to {new}")
+        move_folder(spark, f"{source}/{folder}", f"{target.rstrip('/')}/{folder}")
     return folders
 
 
