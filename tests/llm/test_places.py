@@ -64,6 +64,30 @@ def test_ngram_join(table, cut_anew):
     assert {r.doc_id: r.text for r in found} == {i: _text(i) for i in {c for _, c in expected.values()}}
 
 
+@pytest.mark.parametrize("most", [ngram_join.MOST_BITMAPS, 0])
+def test_rows_of_places(spark, monkeypatch, most):
+    """By bitmaps, and by a shuffle where there are too many of them."""
+    monkeypatch.setattr(ngram_join, "MOST_BITMAPS", most)
+    edges = [0, 1, 7, 8, 9, 32_767, 32_768, 65_535, 65_536]
+    numbers = [(file << 40) + at for file in (0, 1, 70_000) for at in edges]
+    rows = spark.createDataFrame([(n, str(n)) for n in numbers], f"{common.ROW} bigint, text string")
+    for kept in (numbers[::2], numbers[1::2], numbers, []):
+        places = spark.createDataFrame([(n,) for n in kept], f"{common.ROW} bigint")
+        found = ngram_join._rows_of(rows, places)
+        assert sorted(int(r.text) for r in found.collect()) == sorted(kept)
+        if most and kept:
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("most", [ngram_join.MOST_BITMAPS, 0])
+def test_first_documents(table, monkeypatch, most):
+    monkeypatch.setattr(ngram_join, "MOST_BITMAPS", most)
+    expected = brute.components([(i, _text(i)) for i in range(120)], 5, 80)
+    found = ngram_join.keep_first(table, 5, 80).collect()
+    assert sorted(r.doc_id for r in found) == sorted({c for _, c in expected.values()})
+
+
 def test_decontamination(spark, table, cut_anew):
     items = [(1, "one two three four five six seven eight nine ten")]
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")

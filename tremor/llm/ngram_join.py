@@ -60,6 +60,10 @@ COMMON = 8
 SMALL = 128
 #: Rows of a table of a few numbers up to which it is sent to all tasks: some 30 MB.
 MOST_BROADCAST = 500_000
+#: Bits of a place within one bitmap of kept rows, and bitmaps (4 KB each, for 32,768 places) up
+#: to which they are sent to all tasks: 32 MB, for some 268 million rows.
+_BITMAP = 15
+MOST_BITMAPS = 8192
 #: N-grams in a tile, about; two tiles are in memory at once.
 TILE = 1 << 20
 _BLOCK = 512
@@ -329,6 +333,24 @@ def _linked(documents: DataFrame, size: int, percent: int) -> DataFrame:
     )
 
 
+def _rows_of(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows whose ROW is in ``places``, by one bit for each where that is small enough.
+
+    A bitmap for each stretch of a file goes to every task then, and no text is shuffled; the
+    number of bitmaps is checked, and beyond the bound rows and places are joined by a shuffle.
+    """
+    bucket = F.shiftright(ROW, _BITMAP)
+    bit = F.col(ROW).bitwiseAND((1 << _BITMAP) - 1)
+    bits = F.bitmap_construct_agg(bit).alias("bits")
+    bitmaps = stored(places.groupBy(bucket.alias("bucket")).agg(bits), "bitmaps")
+    if bitmaps.count() > MOST_BITMAPS:
+        return rows.join(places, ROW, "left_semi")
+    at = F.substring("bits", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))
+    byte = F.conv(F.hex(at), 16, 10).cast("int")
+    kept = F.getbit(byte, bit.bitwiseAND(7).cast("int")) == 1
+    return rows.join(F.broadcast(bitmaps), (bucket == F.col("bucket")) & kept, "left_semi")
+
+
 def keep_first(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, with all its columns: the first by id, then by place."""
     documents = stable(documents)
@@ -340,4 +362,4 @@ def keep_first(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         return kept.select(F.col(f"first.{ROW}").alias(ROW))
 
     first = settled(documents.sparkSession, "firsts", firsts)
-    return unpacked(packed(documents).join(first, ROW, "left_semi"), documents.columns)
+    return unpacked(_rows_of(packed(documents), first), documents.columns)
