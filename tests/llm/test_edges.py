@@ -135,9 +135,35 @@ def test_decontamination(docs, none, benchmark):
 
 
 def test_a_large_benchmark_gives_the_same(docs, benchmark, monkeypatch):
+    spark = docs.sparkSession
     few = decontaminate.find_hits(docs, benchmark).orderBy("__row").collect()
-    monkeypatch.setattr(decontaminate, "MOST_BROADCAST", 1)
-    assert decontaminate.find_hits(docs, benchmark).orderBy("__row").collect() == few
+    # A filter that lets most windows through, and tables that are shuffled.
+    monkeypatch.setattr(decontaminate, "FILTER_WORDS", 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert decontaminate.find_hits(docs, benchmark).orderBy("__row").collect() == few
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_window_filter(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "FILTER_WORDS", 8)
+    known = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a b")], "size int, window string")
+    [(numbers,)] = decontaminate.window_filter(known, [1, 2]).collect()
+    expected = [0] * 8
+    for query in ("xxhash64('a')", "xxhash64('b')", "xxhash64(xxhash64('a'), xxhash64('b'))"):
+        key = spark.range(1).selectExpr(query).head()[0] % (1 << 64)
+        expected[key % 8] |= 1 << (key >> 58) | 1 << (key >> 52 & 63)
+    assert [n % (1 << 64) for n in numbers] == expected
+    empty = decontaminate.window_filter(known.limit(0), []).head()[0]
+    assert empty == [0] * 8
+
+
+def test_no_row_carries_the_filter(docs, benchmark, monkeypatch):
+    made = []
+    monkeypatch.setattr(decontaminate, "settled", lambda spark, name, build: made.append(build()) or made[0])
+    text = decontaminate.find_hits(docs, benchmark)._jdf.queryExecution().executedPlan().toString()
+    assert "lambda q" in text and "AS __filter" not in text and "Subquery" in text
 
 
 def test_suffix_dedup(docs, none):

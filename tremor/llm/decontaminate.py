@@ -1,14 +1,18 @@
 """Benchmark decontamination: windows of benchmark words found in documents.
 
 A benchmark item gives a window for each run of ``length`` words, or one window if it has
-fewer words, and none if it has none. The distinct windows form a hash set. Every document is
-cut into words and every window of it is hashed in the scan; where the set is small enough
-(its size is checked), its hashes are part of the filter there, so that only windows that may
-hit leave the scan. Each of those is verified: its words, not its hash, are joined to the
-benchmark's. A set beyond the bound is joined by a shuffle instead, with the same result.
+fewer words, and none if it has none. The hashes of all windows make a filter of fixed size
+(FILTER_WORDS numbers of 64 bits, two bits for each hash), which every task gets as the value of
+a scalar subquery. Every document is cut into words and every window of it is hashed and looked
+up in the scan, so that only windows that may hit leave it. Each of those is verified: its words,
+not its hash, are joined to the benchmark's. The plan is the same for every benchmark; a larger
+one fills the filter, which then lets more windows through that the join refuses, and nothing
+else changes. Spark sends the benchmark's windows to all tasks while their table is small enough
+for its own limit, and shuffles them otherwise; a window of a third of all documents is then
+one skewed partition, which adaptive execution splits.
 
 Hits are exploded with the window's words only and aggregated per document. A passage that a
-third of all documents share is one row of the set, which each task looks up for itself.
+third of all documents share is one entry of the filter, which each task looks up for itself.
 
 Null and empty texts have no words and hit nothing; so does every document if the benchmark is
 empty. Every row is a document of its own, also where ids repeat. An item without id makes
@@ -25,8 +29,8 @@ from tremor.llm.words import LETTER_WORD, hashes, with_run_hashes, words
 from tremor.sinks import settled, stored
 
 LENGTH = 10
-#: Windows of the benchmark up to which the set is sent to all tasks: some 20 MB.
-MOST_BROADCAST = 200_000
+#: Numbers of 64 bits in the filter, a power of two: 4 MB. A million windows let half a per cent through.
+FILTER_WORDS = 1 << 19
 # A word with the characters before it, and what follows the last word.
 _PIECE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _TAIL = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\z"
@@ -50,21 +54,44 @@ def benchmark_windows(benchmark: DataFrame, length: int = LENGTH) -> DataFrame:
     )
 
 
-def _set_hashes(distinct: DataFrame, size: int) -> list[int]:
-    """The hashes of the windows of one size, as those of documents are taken."""
-    split = distinct.filter(F.col("size") == size).select(hashes(F.split("window", " ")).alias("hash"))
-    runs = with_run_hashes(split, "run", "hash", size)
-    return [row[0] for row in runs.select(F.get("run", F.lit(0))).distinct().collect()]
+def _slot(hash: str) -> str:
+    """The number of the filter that has the bits of a hash."""
+    return f"CAST({hash} & {FILTER_WORDS - 1}L AS int)"
 
 
-def _candidates(name: str, size: int, keys: list[int] | None) -> Column:
-    """Windows that may hit: all, or those whose hash is in the set."""
-    at = f"if(size({name}) > 0, sequence(0, size({name}) - 1), array())"
-    if keys is not None:
-        at = f"filter({at}, i -> get({name}, i) IN ({', '.join(f'{key}L' for key in keys)}))"
+def _bits(hash: str) -> list[str]:
+    """The bits of a hash within its number, taken from the other end of the hash."""
+    return [f"CAST(shiftrightunsigned(shiftleft({hash}, {drop}), 58) AS int)" for drop in (0, 6)]
+
+
+def window_filter(distinct: DataFrame, sizes: list[int]) -> DataFrame:
+    """One row, with the filter of all windows as an array of FILTER_WORDS numbers.
+
+    The hashes are taken as those of documents are. One task puts the array together, of a size
+    that does not depend on the benchmark.
+    """
+    spark = distinct.sparkSession
+    made = spark.range(FILTER_WORDS).select(F.col("id").cast("int").alias("slot"), F.lit(0).cast("bigint").alias("bits"))
+    for size in sizes:
+        split = distinct.filter(F.col("size") == size).select(hashes(F.split("window", " ")).alias("hash"))
+        runs = with_run_hashes(split, "run", "hash", size).select(F.get("run", F.lit(0)).alias("h"))
+        first, second = _bits("h")
+        made = made.union(
+            runs.selectExpr(f"{_slot('h')} AS slot", f"shiftleft(1L, {first}) | shiftleft(1L, {second}) AS bits")
+        )
+    merged = made.groupBy("slot").agg(F.bit_or("bits").alias("bits"))
+    ordered = F.sort_array(F.collect_list(F.struct("slot", "bits")))
+    return merged.agg(ordered.alias("slots")).select(F.col("slots.bits").alias("filter"))
+
+
+def _candidates(name: str, size: int) -> str:
+    """SQL for the windows that may hit: of the places ``at_``, those whose bits are set in ``q``."""
+    hash = f"get({name}, i)"
+    is_set = " AND ".join(f"getbit(get(q, {_slot(hash)}), {bit}) = 1" for bit in _bits(hash))
     text = ", ".join(f"get(words, i + {k})" for k in range(size))
-    return F.expr(
-        f"transform({at}, i -> named_struct('at', i, 'end', i + {size}, 'window', concat_ws(' ', {text})))"
+    return (
+        f"transform(filter(at_{name}, i -> {is_set}), "
+        f"i -> named_struct('at', i, 'end', i + {size}, 'window', concat_ws(' ', {text})))"
     )
 
 
@@ -75,27 +102,36 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, length: int = LENGTH)
 
 def _hits(documents: DataFrame, benchmark: DataFrame, length: int) -> DataFrame:
     windows = stored(benchmark_windows(benchmark, length), "windows")
-    distinct = windows.select("size", "window").distinct()
-    small = windows.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
-    # At most ``length`` sizes, and at most the bound's number of hashes, reach the driver.
-    sizes = sorted(row.size for row in windows.select("size").distinct().collect())
+    known = stored(windows.select("size", "window").distinct(), "known")
+    # At most ``length`` sizes.
+    sizes = sorted(row.size for row in known.select("size").distinct().collect())
 
     df = placed(
         stable(documents.select("doc_id", "text")), "doc_id", item_words(F.col("text")).alias("words")
     ).withColumn("hash", hashes(F.col("words")))
-    found = [F.expr("CAST(array() AS array<struct<at:int,end:int,window:string>>)")]
+    found = ["CAST(array() AS array<struct<at:int,end:int,window:string>>)"]
     for size in sizes:
         df = with_run_hashes(df, f"runs{size}", "hash", size)
-        keys = _set_hashes(distinct, size) if small else None
-        found.append(_candidates(f"runs{size}", size, keys))
+        found.append(_candidates(f"runs{size}", size))
+    filter_of = stored(window_filter(known, sizes), "filter").scalar()
+    # A subquery may not stand in a higher-order function. As a column that is named once the
+    # optimizer puts it there, so that no row carries the array; the places, which name the runs
+    # twice, keep it from being put together with the step before instead.
+    places = {
+        f"at_runs{size}": F.expr(f"if(size(runs{size}) > 0, sequence(0, size(runs{size}) - 1), array())")
+        for size in sizes
+    }
+    df = df.withColumns({"__filter": filter_of, **places})
+    all_found = F.expr(f"get(transform(array(__filter), q -> flatten(array({', '.join(found)}))), 0)")
     rows = df.select(
-        ROW, "doc_id", F.size("words").alias("n_words"), F.flatten(F.array(*found)).alias("found")
+        ROW, "doc_id", F.size("words").alias("n_words"), all_found.alias("found")
     ).select(ROW, "doc_id", "n_words", F.explode_outer("found").alias("found"))
 
-    known = distinct.select(F.col("window").alias("known"))
-    verified = rows.join(
-        F.broadcast(known) if small else known, F.col("found.window") == F.col("known"), "left"
-    )
+    # No window holds a NUL: documents without candidates meet nothing, in places of their own.
+    alone = F.concat(F.lit("\0"), F.col(ROW).cast("string"))
+    key = F.coalesce("found.window", alone)
+    known = known.select(F.col("window").alias("known"))
+    verified = rows.withColumn("key", key).join(known, F.col("key") == F.col("known"), "left")
     places = F.when(F.col("known").isNotNull(), F.sequence("found.at", F.col("found.end") - 1))
     hits = verified.groupBy(ROW).agg(
         F.first("doc_id").alias("doc_id"),
@@ -108,9 +144,7 @@ def _hits(documents: DataFrame, benchmark: DataFrame, length: int) -> DataFrame:
         ROW, "doc_id", "n_words", "hit_words", F.posexplode_outer("windows").alias("i", "window")
     ).withColumn("hit_words", F.when(F.coalesce("i", F.lit(0)) == 0, F.col("hit_words")))
     of_item = windows.select("item", F.col("window").alias("of"))
-    named = opened.join(
-        F.broadcast(of_item) if small else of_item, F.col("window") == F.col("of"), "left"
-    )
+    named = opened.join(of_item, F.coalesce("window", alone) == F.col("of"), "left")
     return named.groupBy(ROW).agg(
         F.first("doc_id").alias("doc_id"),
         F.first("n_words").alias("n_words"),
