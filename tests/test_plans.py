@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from tremor.checks import inputs as i
 from tremor.checks import queries
 from tremor.operators import analysis as a
+from tremor.plans import (
+    change_of_places,
+    frequency_intensity_of_totals,
+    scan_place_totals,
+    write_place_totals,
+)
 from tremor.plans.load import silver_rows
 from tremor.sources import scan_geojson
 
@@ -103,6 +109,28 @@ def test_ties_are_spread_by_the_sort(spark, sf_dir):
         assert key.split(",")[-1].strip().startswith("place")
 
 
+def test_totals_by_place_need_no_shuffle(spark, sf_dir, tmp_path):
+    rows = i.quakes(spark, sf_dir)
+    try:
+        for load_id in ("a", "b"):
+            write_place_totals(rows, "by_place", load_id, buckets=4, path=str(tmp_path / "t"))
+        both = scan_place_totals(spark, "by_place")
+        assert "Exchange" not in plan(both) and "Bucketed: true" in plan(both)
+        # Only the sort has an exchange, by ranges.
+        assert re.findall(r"Arguments: (\w+partitioning)", plan(frequency_intensity_of_totals(both))) == [
+            "rangepartitioning"
+        ]
+        joined = change_of_places(*(scan_place_totals(spark, "by_place", [x]) for x in ("a", "b")))
+        assert "Exchange" not in plan(joined) and "SortMergeJoin" in plan(joined)
+        assert re.search(r"PartitionFilters: \[.*load_id#\d+ = a", plan(joined))
+        expected = a.place_totals(rows).count()
+        assert both.count() == expected and joined.count() == expected
+        # A task has written one file of each bucket.
+        assert len(list((tmp_path / "t" / "load_id=a").glob("*.parquet"))) <= 4
+    finally:
+        spark.sql("DROP TABLE IF EXISTS by_place")
+
+
 def test_a_week_reads_its_folders_only(spark, sf_dir):
     text = plan(queries()["last_week_partitioned"](spark, sf_dir))
     [folders] = re.findall(r"PartitionFilters: \[load_id#\d+ INSET (.*?)\]", text)

@@ -14,7 +14,18 @@ from tremor.functions import area_comma, area_tail, epoch_ms_to_str, epoch_ms_to
 from tremor.operators import analysis as a
 from tremor.operators import orders as o
 from tremor.operators.flatten import flatten, transform
-from tremor.plans import analyses, analyses_of_loads, load, order_report, scan_loads
+from tremor.plans import (
+    analyses,
+    analyses_of_loads,
+    change_of_places,
+    drop_place_totals,
+    frequency_intensity_of_totals,
+    load,
+    order_report,
+    scan_loads,
+    scan_place_totals,
+    write_place_totals,
+)
 from tremor.plans.load import silver_rows
 from tremor.sinks import (
     Journal,
@@ -836,6 +847,61 @@ def load_week_of_late_loads(spark, sf_dir):
     return _journaled(spark, sf_dir, runs, read)
 
 
+# ---- totals by place -------------------------------------------------------
+
+
+def _by_weekday(spark: SparkSession, sf_dir: str, days: str) -> DataFrame:
+    return i.quakes(spark, sf_dir).where(F.expr(f"dayofweek(insert_dt) {days}"))
+
+
+def _with_place_totals(spark: SparkSession, sf_dir: str, read) -> DataFrame:
+    """What ``read`` makes of a table with two loads that count, after one repeated and one undone."""
+    name = f"tremor_check_{uuid4().hex}"
+
+    def write(days: str, load_id: str) -> None:
+        rows = _by_weekday(spark, sf_dir, days)
+        write_place_totals(rows, name, load_id, buckets=8, path=scratch_path(spark, "places"))
+
+    try:
+        for days, load_id in (("< 3", "a"), ("IN (1, 6)", "b"), (">= 3", "b"), ("> 0", "undone")):
+            write(days, load_id)
+        drop_place_totals(spark, name, "undone")
+        return stored(read(name), "places")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@_query(_ORACLE["frequency_intensity"])
+def frequency_intensity_of_places(spark, sf_dir):
+    """Frequency and intensity from a table laid out by place, which two loads have filled."""
+
+    def read(name):
+        return _rounded(frequency_intensity_of_totals(scan_place_totals(spark, name)), "intensity", 4)
+
+    return _with_place_totals(spark, sf_dir, read)
+
+
+@_query(
+    i.QUAKES_SQL
+    + """, t AS (
+  SELECT place, dayofweek(insert_dt) < 2 AS early, count(mag) AS frequency, round(sum(mag), 4) AS intensity
+  FROM q WHERE place IS NOT NULL GROUP BY ALL
+)
+SELECT place, b.frequency AS frequency_before, b.intensity AS intensity_before,
+       a.frequency AS frequency_after, a.intensity AS intensity_after
+FROM (SELECT * FROM t WHERE early) b JOIN (SELECT * FROM t WHERE NOT early) a USING (place)"""
+)
+def change_by_place(spark, sf_dir):
+    """Totals of two loads side by side, joined where they lie."""
+
+    def read(name):
+        a_, b_ = (scan_place_totals(spark, name, [load_id]) for load_id in ("a", "b"))
+        both = change_of_places(a_, b_)
+        return _rounded(_rounded(both, "intensity_before", 4), "intensity_after", 4)
+
+    return _with_place_totals(spark, sf_dir, read)
+
+
 # ---- whole documents -----------------------------------------------------------
 
 

@@ -52,6 +52,8 @@ def write_table(
     *,
     partition_by: tuple[str, ...] = (),
     partition: dict[str, str] | None = None,
+    bucket_by: str | None = None,
+    buckets: int = 0,
     path: str | None = None,
     fmt: str | None = None,
     **options: str,
@@ -61,6 +63,9 @@ def write_table(
     ``append`` adds rows, ``overwrite`` replaces the table, which stays where it
     lies, and ``replace_partition`` replaces the one ``partition`` (values by
     column, in the table's order), also when ``df`` has no rows.
+    ``bucket_by`` deals the rows to ``buckets`` files by the hash of a column, so that
+    grouping and joining by it needs no shuffle; the table's rows with one value all
+    go to one task then, so they should be few. It has to be given at every append.
     ``path`` places a new table outside the warehouse. With ``fmt`` the table is
     a connector's, which knows the first two modes and its own ``options``.
     """
@@ -71,6 +76,9 @@ def write_table(
         df.write.format(fmt).option("table", name).options(**options).mode(mode).save()
         return
     exists = spark.catalog.tableExists(name)
+    if bucket_by is not None:
+        # By the hash that the buckets have too: a task writes one file in each partition.
+        df = df.repartition(buckets, bucket_by)
     if mode == "replace_partition":
         if not partition:
             raise ValueError("replace_partition needs the partition")
@@ -83,6 +91,8 @@ def write_table(
     writer = df.write.mode("append" if mode == "replace_partition" else mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by is not None:
+        writer = writer.bucketBy(buckets, bucket_by)
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
