@@ -91,3 +91,16 @@ def test_load_of_documents(spark, tmp_path):
     done = load(spark, "daily", day, keep_good=True, **options)
     assert (done.documents, done.unreadable) == (2, 1)
     assert [r.id for r in spark.read.parquet(f"{tmp_path}/s").collect()] == ["a"]
+
+
+def test_ranges_of_a_large_document_are_bounded(spark, sf_dir, monkeypatch):
+    """A seventh of a document grows with it, and a task holds a range."""
+    from tremor.checks import registry
+
+    given_, scan = [], registry.scan_documents
+    monkeypatch.setattr(registry, "RANGE_BYTES", 20_000, raising=False)
+    monkeypatch.setattr(registry, "scan_documents", lambda s, path, n: given_.append(n) or scan(s, path, n))
+    n = 2 * spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    for name in ("split_document_line", "split_document_pretty"):
+        assert registry.queries()[name](spark, sf_dir).select("id").distinct().count() == n
+    assert given_ == [20_000] * 2

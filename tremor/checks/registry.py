@@ -47,6 +47,7 @@ from tremor.sources import (
     scan_silver,
     scan_table,
 )
+from tremor.sources.split import RANGE_BYTES
 from tremor.streaming import load_incremental
 
 _QUERIES: dict[str, Query] = {}
@@ -925,29 +926,49 @@ def whole_documents(spark, sf_dir):
     return i.silver_view(silver_rows(scan_geojson(spark, path, multi_line=True), load_ts=i.LOAD_TS))
 
 
+_HEAD, _TAIL = '{"type": "FeatureCollection", "title": "a \\"[{\\\\", "features" : [', '], "bbox": [[{"a": {}}]]}'
+
+
+def _write_document(texts: DataFrame, path: str, line_end: str) -> None:
+    """Write features, given as text in ``value``, as one document in one file.
+
+    One task writes it, and holds a batch at a time: it gets the lines in any order.
+    """
+    head, tail = _HEAD, _TAIL
+
+    def framed(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def lines(values):
+            return pa.RecordBatch.from_arrays([values], ["value"])
+
+        yield lines(pa.array([head]))
+        comma = ""
+        for batch in batches:
+            if batch.num_rows:
+                values = batch.column(0).cast(pa.string())
+                yield lines(pc.binary_join_element_wise(comma, values.slice(0, 1), ""))
+                yield lines(pc.binary_join_element_wise(",", values.slice(1), ""))
+                comma = ","
+        yield lines(pa.array([tail]))
+
+    # Reading the file is what this is about.
+    texts.repartition(1).mapInArrow(framed, "value string").write.option("lineSep", line_end).text(path)
+
+
 def _one_document(spark: SparkSession, sf_dir: str, line_end: str, pretty: bool) -> DataFrame:
-    """All events as one document, which is then read in many ranges."""
+    """All events as one document, which is then read in many ranges: seven, or more of a bounded size."""
     path = scratch_path(spark, "document")
     single = i.single_features(spark, sf_dir)
-    first = single.agg(F.min("id")).first()[0]
     texts = _pretty(single.select("type", "properties", "geometry", "id")) if pretty else single.select(
         F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")
     )
-    key = F.get_json_object("value", "$.id")
-    lines = texts.select(
-        F.when(key == first, 1).otherwise(2).alias("at"),
-        F.when(key == first, F.col("value")).otherwise(F.concat(F.lit(","), "value")).alias("value"),
-    )
-    ends = spark.createDataFrame(
-        [(0, '{"type": "FeatureCollection", "title": "a \\"[{\\\\", "features" : ['), (3, '], "bbox": [[{"a": {}}]]}')],
-        "at int, value string",
-    )
-    # One file is written by one task; reading it is what this is about.
-    whole = ends.unionByName(lines).repartition(1).sortWithinPartitions("at").select("value")
-    whole.write.option("lineSep", line_end).text(path)
+    _write_document(texts, path, line_end)
     size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
-    rows = silver_rows(scan_documents(spark, path, -(-size // 7)), layout="features", load_ts=i.LOAD_TS)
-    return i.silver_view(rows)
+    # A task holds a range, so that a seventh of a large document would be too much.
+    landed = scan_documents(spark, path, min(-(-size // 7), RANGE_BYTES))
+    return i.silver_view(silver_rows(landed, layout="features", load_ts=i.LOAD_TS))
 
 
 @_query(i.SILVER_SQL)
