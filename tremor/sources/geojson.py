@@ -36,12 +36,14 @@ def parse_landed(texts: DataFrame, layout: str = "collections", keep: tuple[str,
     lines are no documents. The columns in ``keep`` stay.
     """
     whole = checked_layout(layout) == "collections"
-    document = F.from_json("value", schema.COLLECTION if whole else schema.FEATURE)
+    # Ends at the first other character; ``translate`` looks each one of a document up.
+    texts = texts.where(F.ltrim("value", F.lit(" \t\r\n")) != "")
     if whole:
-        content = document["features"].alias("features")
-    else:
-        content = F.when(document["properties"].isNotNull(), document).alias("feature")
-    return texts.where(F.trim(F.translate("value", "\t\r\n", "")) != "").select(*keep, "value", content)
+        return texts.select(*keep, "value", F.from_json("value", schema.COLLECTION)["features"].alias("features"))
+    # In a projection of its own, or the test of its properties would parse it once more.
+    parsed = texts.select(*keep, "value", F.from_json("value", schema.FEATURE).alias("document"))
+    content = F.when(F.col("document.properties").isNotNull(), F.col("document"))
+    return parsed.select(*keep, "value", content.alias("feature"))
 
 
 def scan_landed(
