@@ -1,8 +1,16 @@
-"""What loads of many documents spend: one parse of each."""
+"""What loads of many documents spend: one parse of each, no shuffle where many tasks read them."""
+
+from datetime import date
 
 import pytest
+from feed import collection, feature, land
+
+from tremor.plans import load
+from tremor.plans.load import spread_by_default
+from tremor.sinks import write_landing
+from tremor.sources import landing_path, parse_landed, scan_landed
 
-from tremor.sources import parse_landed
+DAY = date(2024, 1, 5)
 
 
 def _plan(df):
@@ -28,3 +36,29 @@ def test_features_without_properties_are_null(spark):
     texts = ['{"properties": {"mag": 1}}', '{"properties": null}', '{"id": "a"}', "x", "[]"]
     landed = parse_landed(spark.createDataFrame([(t,) for t in texts], "value string"), "features")
     assert {r.value for r in landed.where("feature IS NOT NULL").collect()} == {texts[0]}
+
+
+def test_rows_are_spread_where_few_tasks_read_them(spark, tmp_path):
+    few, many = (landing_path(f"{tmp_path}/l", feed, DAY) for feed in ("daily", "historical"))
+    land(few, collection(feature("a")))
+    for n in range(9):
+        land(many, collection(feature(f"b{n}")), name=f"{n}.json")
+    assert spread_by_default(scan_landed(spark, few), "collections")
+    assert not spread_by_default(scan_landed(spark, many), "collections")
+    assert not spread_by_default(scan_landed(spark, few, "features"), "features")
+    # One file for each reading task, and not those that a shuffle evens out.
+    done = load(spark, "historical", DAY, landing=f"{tmp_path}/l", silver=f"{tmp_path}/s")
+    rows = spark.read.parquet(done.day)
+    assert len(rows.inputFiles()) > 1
+    assert sorted(r.id for r in rows.collect()) == [f"b{n}" for n in range(9)]
+
+
+def test_compressed_landing(spark, tmp_path):
+    path = landing_path(f"{tmp_path}/l", "daily", DAY)
+    rows = spark.read.schema("type string, features array<struct<id: string, properties: struct<mag: double>>>")
+    land(f"{tmp_path}/from", *(collection(feature(f"a{n}", mag=1.0)) for n in range(7)))
+    write_landing(rows.json(f"{tmp_path}/from"), path, compression="lz4", lines_per_file=3)
+    assert len([p for p in (tmp_path / "l").rglob("*.lz4") if not p.name.startswith(".")]) >= 3
+    done = load(spark, "daily", DAY, landing=f"{tmp_path}/l", silver=f"{tmp_path}/s")
+    assert (done.documents, done.unreadable) == (7, 0)
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/s").collect()) == [f"a{n}" for n in range(7)]

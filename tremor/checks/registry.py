@@ -380,12 +380,12 @@ def silver_overwrite(spark, sf_dir):
     return i.silver_view(scan_silver(spark, path, partitioned=False))
 
 
-def _through_table(spark: SparkSession, fill) -> DataFrame:
-    """Rows of a table that ``fill`` writes; the table leaves no name behind."""
+def _through_table(spark: SparkSession, fill, view=lambda rows: rows) -> DataFrame:
+    """What ``view`` makes of the rows of a table that ``fill`` writes; it leaves no name behind."""
     name = f"tremor_check_{uuid4().hex}"
     try:
         fill(name, scratch_path(spark, "table"))
-        return stored(scan_table(spark, name), "table-rows")
+        return stored(view(scan_table(spark, name)), "table-rows")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
@@ -426,11 +426,22 @@ def _loaded_view(rows: DataFrame) -> DataFrame:
     )
 
 
+# A compressed file is read by one task, so each has some 5 MB of JSON.
+_LANDED = {"compression": "lz4", "lines_per_file": 5_000}
+
+
+def _land(spark: SparkSession, sf_dir: str, *paths: str) -> None:
+    """Land the events in each folder: in the first one from the table, in others the same lines."""
+    write_landing(i.collections(spark, sf_dir), paths[0], **_LANDED)
+    for path in paths[1:]:
+        copy = spark.read.text(paths[0]).write.option("compression", _LANDED["compression"])
+        copy.option("maxRecordsPerFile", _LANDED["lines_per_file"]).text(path)
+
+
 def _load_runs(spark: SparkSession, sf_dir: str, runs: list[tuple[str, str | None]]) -> DataFrame:
     """Land the events for each feed, load in the given order, return the table."""
     landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
-    for feed in {feed for feed, _ in runs}:
-        write_landing(i.collections(spark, sf_dir), landing_path(landing, feed, i.LOAD_DATE))
+    _land(spark, sf_dir, *(landing_path(landing, feed, i.LOAD_DATE) for feed in {feed for feed, _ in runs}))
 
     def fill(name, path):
         for feed, mode in runs:
@@ -439,7 +450,7 @@ def _load_runs(spark: SparkSession, sf_dir: str, runs: list[tuple[str, str | Non
                 table_path=path, mode=mode, load_ts=i.LOAD_TS,
             )
 
-    return _loaded_view(_through_table(spark, fill))
+    return _through_table(spark, fill, _loaded_view)
 
 
 @_query(_loaded_sql("daily", "daily"))
@@ -466,7 +477,7 @@ def load_stream(spark, sf_dir):
     landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
     checkpoint = scratch_path(spark, "checkpoint")
     for feed in ("daily", "historical"):
-        write_landing(i.collections(spark, sf_dir), landing_path(landing, feed, i.LOAD_DATE))
+        _land(spark, sf_dir, landing_path(landing, feed, i.LOAD_DATE))
         # The second run finds the first feed loaded already and takes the other.
         load_incremental(spark, landing, silver, checkpoint).awaitTermination()
     return _loaded_view(scan_silver(spark, silver)).drop("loaded_micros")
@@ -572,7 +583,7 @@ def _load_with_bad(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
     landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
     path = landing_path(landing, "daily", i.LOAD_DATE)
     whole = layout == "collections"
-    write_landing((i.collections if whole else i.single_features)(spark, sf_dir), path)
+    write_landing((i.collections if whole else i.single_features)(spark, sf_dir), path, **_LANDED)
     _land_bad(spark, sf_dir, path)
     done = load(
         spark, "daily", i.LOAD_DATE, landing=landing, silver=silver, layout=layout, keep_good=True
@@ -594,7 +605,7 @@ def load_with_bad_lines(spark, sf_dir):
 def load_stream_with_bad_documents(spark, sf_dir):
     landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
     path = landing_path(landing, "daily", i.LOAD_DATE)
-    write_landing(i.collections(spark, sf_dir), path)
+    _land(spark, sf_dir, path)
     _land_bad(spark, sf_dir, path)
     rejects = scratch_path(spark, "rejects")
     load_incremental(
@@ -612,13 +623,13 @@ def load_replacing_with_nothing(spark, sf_dir):
 
     def fill(name, path):
         for day, documents in ((i.LOAD_DATE, full), (_NEXT, full), (i.LOAD_DATE, empty)):
-            write_landing(documents, landing_path(landing, "daily", day))
+            write_landing(documents, landing_path(landing, "daily", day), **_LANDED)
             load(
                 spark, "daily", day, landing=landing, silver=silver, table=name, table_path=path,
                 mode="replace_partition", load_ts=i.LOAD_TS,
             )
 
-    return _loaded_view(_through_table(spark, fill))
+    return _through_table(spark, fill, _loaded_view)
 
 
 @_query(_loaded_sql("daily"))
@@ -644,14 +655,13 @@ def load_stream_table(spark, sf_dir):
     landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
 
     def fill(name, path):
-        for feed in ("daily", "historical"):
-            write_landing(i.collections(spark, sf_dir), landing_path(landing, feed, i.LOAD_DATE))
+        _land(spark, sf_dir, *(landing_path(landing, feed, i.LOAD_DATE) for feed in ("daily", "historical")))
         load_incremental(
             spark, landing, silver, scratch_path(spark, "checkpoint"), table=name,
             table_path=path, load_ts=i.LOAD_TS,
         ).awaitTermination()
 
-    return _loaded_view(_through_table(spark, fill))
+    return _through_table(spark, fill, _loaded_view)
 
 
 # ---- instants with a zone, the text variant, partitions, large numbers -------
@@ -707,7 +717,7 @@ _TEXT_SQL = f"""{i.SILVER_CTE}, q AS (
 def load_text_variant(spark, sf_dir):
     """All analyses over a loaded table of the text variant."""
     landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
-    write_landing(i.collections(spark, sf_dir), landing_path(landing, "daily", i.LOAD_DATE))
+    _land(spark, sf_dir, landing_path(landing, "daily", i.LOAD_DATE))
 
     def fill(name, path):
         load(
@@ -746,8 +756,7 @@ def _journaled(spark: SparkSession, sf_dir: str, runs: list[tuple], read) -> Dat
     """
     landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
     journal, shares = scratch_path(spark, "journal"), scratch_path(spark, "shares")
-    for feed, day in {run[:2] for run in runs}:
-        write_landing(i.collections(spark, sf_dir), landing_path(landing, feed, day))
+    _land(spark, sf_dir, *(landing_path(landing, feed, day) for feed, day in {run[:2] for run in runs}))
     name = f"tremor_check_{uuid4().hex}"
     try:
         for feed, day, mode, at in runs:

@@ -59,6 +59,14 @@ def rejects_path(silver: str) -> str:
     return f"{silver.rstrip('/')}-rejects"
 
 
+def spread_by_default(landed: DataFrame, layout: str) -> bool:
+    """If rows should be spread before they are written: collections that leave more than half
+    of the cores idle when they are read. Else parsing keeps them busy, and writing follows it."""
+    if layout != "collections":
+        return False
+    return 2 * landed.rdd.getNumPartitions() < landed.sparkSession.sparkContext.defaultParallelism
+
+
 def silver_rows(
     landed: DataFrame,
     *,
@@ -124,8 +132,9 @@ def load(
     ``layout`` is ``collections`` (one document per line), ``features`` (one
     feature per line, the one that scales with the size of a file; see
     ``split_landing``) or ``documents`` (files of one document of any size and
-    spelling, read by many tasks). A collection is parsed by one task, so collections are
-    rebalanced before they are written unless ``rebalance`` is false. With
+    spelling, read by many tasks). A collection is parsed by one task, so where tasks for
+    fewer than half of the cores read collections, their rows are rebalanced before they are
+    written; with ``rebalance`` always or never. With
     ``table_format`` and ``table_options`` the table is a connector's.
     """
     source = landing_path(landing, feed, run_date, style)
@@ -180,7 +189,7 @@ def load(
         "append",
         variant=variant,
         partition_by=("load_id",),
-        rebalance=layout == "collections" if rebalance is None else rebalance,
+        rebalance=spread_by_default(landed, layout) if rebalance is None else rebalance,
     )
 
     documents, readable = seen.get["documents"], seen.get["readable"]

@@ -11,12 +11,17 @@ from tremor.functions import pair_text
 from tremor.sinks.scratch import move_folder, remove
 
 
-def write_landing(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_landing(
+    df: DataFrame, path: str, mode: str = "overwrite", *, compression: str = "none", lines_per_file: int = 0
+) -> None:
     """Land each row as one line of JSON, null fields included.
 
-    Landing a folder again replaces it; ``append`` adds files to it.
+    Landing a folder again replaces it; ``append`` adds files to it. With ``compression``
+    a line has an eighth of its size or less, but a file is then read by one task, so give
+    ``lines_per_file`` too; the layout ``documents`` takes no compressed files.
     """
-    df.write.mode(mode).option("ignoreNullFields", False).json(path)
+    writer = df.write.mode(mode).option("ignoreNullFields", False).option("compression", compression)
+    writer.option("maxRecordsPerFile", lines_per_file).json(path)
 
 
 def write_rejects(df: DataFrame, path: str, *, replace_partitions: bool = False) -> None:
@@ -41,7 +46,7 @@ def write_silver(
     """Write silver Parquet (Snappy) with exactly the declared columns and types.
 
     ``rebalance`` lets adaptive execution even out the files, at the cost of a
-    shuffle: worth it where a few large collections hold most of the features.
+    shuffle: worth it where a few tasks hold most of the features.
     ``replace_partitions`` makes an overwrite touch only the partitions that
     occur in ``df``.
     """

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tremor import schema
-from tremor.plans.load import rejects_path, silver_rows
+from tremor.plans.load import rejects_path, silver_rows, spread_by_default
 from tremor.sinks import move_folders, remove, write_rejects, write_silver, write_table
 from tremor.sources import (
     NoFeaturesError,
@@ -88,7 +88,6 @@ def load_incremental(
     checked_layout(layout)
     schema.silver_schema(variant)
     rejects = rejects or rejects_path(silver)
-    spread = layout == "collections" if rebalance is None else rebalance
     keys = tuple(schema.SILVER_PARTITIONS.names)
 
     def write_batch(batch: DataFrame, number: int) -> None:
@@ -118,7 +117,7 @@ def load_incremental(
                 "overwrite",
                 variant=variant,
                 partition_by=keys,
-                rebalance=spread,
+                rebalance=spread_by_default(batch, layout) if rebalance is None else rebalance,
             )
             if seen.get["documents"] != seen.get["readable"]:
                 bad = batch.where(content.isNull()).withColumn("load_id", F.lit(load_id))
