@@ -1,10 +1,14 @@
 """What loads of many documents spend: one parse of each, no shuffle where many tasks read them."""
 
+import glob
+import os
 from datetime import date
 
+import pyarrow.parquet as pq
 import pytest
 from feed import collection, feature, land
 
+from tremor.checks.registry import _land
 from tremor.plans import load
 from tremor.plans.load import spread_by_default
 from tremor.sinks import write_landing
@@ -62,3 +66,42 @@ def test_compressed_landing(spark, tmp_path):
     done = load(spark, "daily", DAY, landing=f"{tmp_path}/l", silver=f"{tmp_path}/s")
     assert (done.documents, done.unreadable) == (7, 0)
     assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/s").collect()) == [f"a{n}" for n in range(7)]
+
+
+def test_events_are_dealt_to_all_cores(spark, tmp_path):
+    """One row group is one task, which then made all documents; each core lands some now."""
+    rows = spark.range(0, 400_000, 1, 1).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ'2024-01-02 03:04:05' AS ts", "id * 7919 AS user_id",
+        "'click' AS event_type", "rand(1) AS value", """'{"k": 3}' AS props""",
+    )
+    rows.write.option("parquet.block.size", 1 << 28).parquet(str(tmp_path / "events.parquet"))
+    _land(spark, str(tmp_path), f"{tmp_path}/a", f"{tmp_path}/b")
+    writers = {name.split("-")[1] for name in os.listdir(f"{tmp_path}/a") if name.startswith("part-")}
+    assert len(writers) >= 4
+    lines = [spark.read.text(f"{tmp_path}/{folder}") for folder in "ab"]
+    assert lines[0].distinct().count() == lines[1].count() == 400_000
+    assert lines[0].exceptAll(lines[1]).isEmpty()
+
+
+def _encodings(spark, folder):
+    """If a column's values are kept in a dictionary, by column, of the one file in a folder."""
+    (file,) = glob.glob(f"{folder}/**/*.parquet", recursive=True)
+    group = pq.ParquetFile(file).metadata.row_group(0)
+    columns = [group.column(n) for n in range(group.num_columns)]
+    return {c.path_in_schema: any("DICTIONARY" in e for e in c.encodings) for c in columns}
+
+
+def test_no_dictionary_for_values_of_one_event(spark, tmp_path):
+    name = "tremor_test_plain"
+    features = [feature(f"a{n}", place=f"{n} km N of X, CA", time="1700000000000", net="ci") for n in range(9)]
+    land(landing_path(f"{tmp_path}/l", "daily", DAY), collection(*features))
+    try:
+        where = {"landing": f"{tmp_path}/l", "silver": f"{tmp_path}/s"}
+        load(spark, "daily", DAY, table=name, table_path=f"{tmp_path}/t", **where)
+        for layer in "st":
+            kept = _encodings(spark, f"{tmp_path}/{layer}")
+            assert not any(kept[c] for c in ("id", "place", "time", "updated", "title"))
+            assert kept["net"] and kept["insert_dt"]
+        assert sorted(r.id for r in spark.table(name).collect()) == [f"a{n}" for n in range(9)]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -1,7 +1,7 @@
 """The test tables in the shapes the operators take, in Spark and in SQL.
 
 Events stand for quakes and orders for order records. Every frame covers its
-whole table, row by row, without a shuffle.
+whole table, row by row, without a shuffle unless it is asked to spread the rows.
 """
 
 from collections.abc import Callable
@@ -27,8 +27,13 @@ MIN_PRICE = 100000.0
 LARGE_TOTAL = 1500000.0
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+def events(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """The events; ``spread`` deals them to all cores, however few tasks the table's row groups are.
+
+    An event is some 50 bytes here, and makes two features of some 700 each later.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return rows.hint("rebalance", "event_id") if spread else rows
 
 
 def utc_millis(naive: str) -> Column:
@@ -86,7 +91,7 @@ def _feature(fid: Column, given: dict[str, Column], coordinates: Column, missing
     )
 
 
-def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def features(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Two features per event, in columns ``whole`` and ``poor``.
 
     The poor one has what real feeds have now and then: no magnitude, an
@@ -117,7 +122,7 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
         "updated": millis.cast("string"),
         "net": F.col("event_type"),
     }
-    return events(spark, sf_dir).select(
+    return events(spark, sf_dir, spread).select(
         _feature(event_id.cast("string"), whole, F.array(longitude, latitude, depth), F.lit(False)).alias("whole"),
         _feature(
             F.concat(event_id.cast("string"), F.lit("p")), poor, F.array(longitude, latitude), event_id % 2 == 0
@@ -125,22 +130,22 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def single_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def single_features(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """The same features, one per row, with the fields of a feature as columns."""
     return (
-        features(spark, sf_dir)
+        features(spark, sf_dir, spread)
         .select(F.explode(F.array("whole", "poor")).alias("feature"))
         .select("feature.*")
     )
 
 
-def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
+def collections(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """One feature collection per event.
 
     A collection of a whole day would put a busy day into one task; these stay
     small whatever the table holds.
     """
-    return features(spark, sf_dir).select(
+    return features(spark, sf_dir, spread).select(
         F.lit("FeatureCollection").alias("type"),
         F.struct(F.lit("events").alias("title"), F.lit(2).alias("count")).alias("metadata"),
         F.array("whole", "poor").alias("features"),

@@ -380,12 +380,16 @@ def silver_overwrite(spark, sf_dir):
     return i.silver_view(scan_silver(spark, path, partitioned=False))
 
 
+# Rows that are read once do not pay for a dictionary.
+_ONCE = {"parquet.enable.dictionary": "false"}
+
+
 def _through_table(spark: SparkSession, fill, view=lambda rows: rows) -> DataFrame:
     """What ``view`` makes of the rows of a table that ``fill`` writes; it leaves no name behind."""
     name = f"tremor_check_{uuid4().hex}"
     try:
         fill(name, scratch_path(spark, "table"))
-        return stored(view(scan_table(spark, name)), "table-rows")
+        return stored(view(scan_table(spark, name)), "table-rows", **_ONCE)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
@@ -432,10 +436,15 @@ _LANDED = {"compression": "lz4", "lines_per_file": 5_000}
 
 def _land(spark: SparkSession, sf_dir: str, *paths: str) -> None:
     """Land the events in each folder: in the first one from the table, in others the same lines."""
-    write_landing(i.collections(spark, sf_dir), paths[0], **_LANDED)
+    write_landing(i.collections(spark, sf_dir, spread=True), paths[0], **_LANDED)
     for path in paths[1:]:
-        copy = spark.read.text(paths[0]).write.option("compression", _LANDED["compression"])
-        copy.option("maxRecordsPerFile", _LANDED["lines_per_file"]).text(path)
+        _land_again(spark, paths[0], path)
+
+
+def _land_again(spark: SparkSession, landed: str, path: str) -> None:
+    """Land the lines of a folder in another one."""
+    copy = spark.read.text(landed).write.option("compression", _LANDED["compression"])
+    copy.option("maxRecordsPerFile", _LANDED["lines_per_file"]).text(path)
 
 
 def _load_runs(spark: SparkSession, sf_dir: str, runs: list[tuple[str, str | None]]) -> DataFrame:
@@ -476,8 +485,9 @@ _UNSTAMPED = "SELECT * EXCLUDE (loaded_micros) FROM"
 def load_stream(spark, sf_dir):
     landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
     checkpoint = scratch_path(spark, "checkpoint")
-    for feed in ("daily", "historical"):
-        _land(spark, sf_dir, landing_path(landing, feed, i.LOAD_DATE))
+    daily, historical = (landing_path(landing, feed, i.LOAD_DATE) for feed in ("daily", "historical"))
+    for land in (lambda: _land(spark, sf_dir, daily), lambda: _land_again(spark, daily, historical)):
+        land()
         # The second run finds the first feed loaded already and takes the other.
         load_incremental(spark, landing, silver, checkpoint).awaitTermination()
     return _loaded_view(scan_silver(spark, silver)).drop("loaded_micros")
@@ -570,7 +580,7 @@ _KEPT_SQL = f"{i.SILVER_CTE}SELECT 'kept' AS kind, id AS text FROM silver UNION
 
 def _land_bad(spark: SparkSession, sf_dir: str, path: str) -> None:
     text = F.concat(F.lit('{"features": [ '), F.col("event_id").cast("string"))
-    i.events(spark, sf_dir).select(text.alias("value")).write.mode("append").text(path)
+    i.events(spark, sf_dir, spread=True).select(text.alias("value")).write.mode("append").text(path)
 
 
 def _kept_and_rejected(spark: SparkSession, silver: str, rejects: str) -> DataFrame:
@@ -583,7 +593,7 @@ def _load_with_bad(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
     landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
     path = landing_path(landing, "daily", i.LOAD_DATE)
     whole = layout == "collections"
-    write_landing((i.collections if whole else i.single_features)(spark, sf_dir), path, **_LANDED)
+    write_landing((i.collections if whole else i.single_features)(spark, sf_dir, spread=True), path, **_LANDED)
     _land_bad(spark, sf_dir, path)
     done = load(
         spark, "daily", i.LOAD_DATE, landing=landing, silver=silver, layout=layout, keep_good=True
@@ -618,12 +628,16 @@ def load_stream_with_bad_documents(spark, sf_dir):
 def load_replacing_with_nothing(spark, sf_dir):
     """Two days are loaded; the first is landed again without features, and replaced."""
     landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
-    full = i.collections(spark, sf_dir)
-    empty = full.withColumn("features", F.slice("features", 1, 0))
+    first, second = (landing_path(landing, "daily", day) for day in (i.LOAD_DATE, _NEXT))
+    empty = i.collections(spark, sf_dir, spread=True).withColumn("features", F.slice("features", 1, 0))
 
     def fill(name, path):
-        for day, documents in ((i.LOAD_DATE, full), (_NEXT, full), (i.LOAD_DATE, empty)):
-            write_landing(documents, landing_path(landing, "daily", day), **_LANDED)
+        for day, land in (
+            (i.LOAD_DATE, lambda: _land(spark, sf_dir, first)),
+            (_NEXT, lambda: _land_again(spark, first, second)),
+            (i.LOAD_DATE, lambda: write_landing(empty, first, **_LANDED)),
+        ):
+            land()
             load(
                 spark, "daily", day, landing=landing, silver=silver, table=name, table_path=path,
                 mode="replace_partition", load_ts=i.LOAD_TS,
@@ -764,7 +778,7 @@ def _journaled(spark: SparkSession, sf_dir: str, runs: list[tuple], read) -> Dat
                 spark, feed, day, landing=landing, silver=silver, table=name, mode=mode, load_ts=at,
                 table_path=f"{shares}-table", journal=journal, aggregates=shares,
             )
-        return stored(read(journal, silver, name, shares), "journaled")
+        return stored(read(journal, silver, name, shares), "journaled", **_ONCE)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 

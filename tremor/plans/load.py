@@ -231,7 +231,7 @@ def load(
             partition=partition if mode == "replace_partition" and book is None else None,
             path=table_path,
             fmt=table_format,
-            **(table_options or {}),
+            **((table_options or {}) if table_format else schema.PARQUET_OPTIONS),
         )
     if aggregates is not None:
         write_partials(loaded_rows(spark, written, variant), aggregates, load_id, variant)

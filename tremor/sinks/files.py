@@ -43,7 +43,8 @@ def write_silver(
     rebalance: bool = False,
     replace_partitions: bool = False,
 ) -> None:
-    """Write silver Parquet (Snappy) with exactly the declared columns and types.
+    """Write silver Parquet (Snappy) with exactly the declared columns and types, and a
+    dictionary for those whose values repeat.
 
     ``rebalance`` lets adaptive execution even out the files, at the cost of a
     shuffle: worth it where a few tasks hold most of the features.
@@ -54,7 +55,7 @@ def write_silver(
     rows = df.select(*fields, *partition_by)
     if rebalance:
         rows = rows.hint("rebalance")
-    writer = rows.write.mode(mode).option("compression", "snappy")
+    writer = rows.write.mode(mode).option("compression", "snappy").options(**schema.PARQUET_OPTIONS)
     writer = writer.option("partitionOverwriteMode", "dynamic" if replace_partitions else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -105,16 +105,16 @@ def noted() -> Iterator[list[str]]:
             around.extend(paths)
 
 
-def stored(df: DataFrame, name: str = "stored", path: str | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str = "stored", path: str | None = None, **options: str) -> DataFrame:
     """Compute ``df`` once, keep it in the shared folder, and read it from there.
 
     What is read later depends on the files alone, so the loss of an executor
-    costs no recomputation.
+    costs no recomputation. ``options`` are the Parquet writer's.
     """
     path = path or scratch_path(df.sparkSession, name)
     if (paths := _NOTED.get()) is not None:
         paths.append(path)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

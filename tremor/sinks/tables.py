@@ -67,7 +67,8 @@ def write_table(
     grouping and joining by it needs no shuffle; the table's rows with one value all
     go to one task then, so they should be few. It has to be given at every append.
     ``path`` places a new table outside the warehouse. With ``fmt`` the table is
-    a connector's, which knows the first two modes and its own ``options``.
+    a connector's, which knows the first two modes and its own ``options``. Those of a
+    catalog table are kept with it when it is created.
     """
     spark = df.sparkSession
     if fmt is not None:
@@ -88,7 +89,7 @@ def write_table(
             return
     if exists and mode == "overwrite":
         path = path or _own_location(spark, name)
-    writer = df.write.mode("append" if mode == "replace_partition" else mode)
+    writer = df.write.mode("append" if mode == "replace_partition" else mode).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by is not None:

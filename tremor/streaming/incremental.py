@@ -139,7 +139,9 @@ def load_incremental(
             feed, day = partition["feed"], date.fromisoformat(partition["load_date"])
             rows = scan_silver(session, silver_path(silver, feed, day), variant)
             rows = rows.where(F.col("load_id") == load_id)
-            write_table(rows, table, "replace_partition", partition=partition, path=table_path)
+            write_table(
+                rows, table, "replace_partition", partition=partition, path=table_path, **schema.PARQUET_OPTIONS
+            )
 
     stream = landing_stream(
         spark,
