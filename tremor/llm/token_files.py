@@ -37,8 +37,8 @@ from tremor.llm.common import offsets, ragged, ship, slices
 NO_ID = -(1 << 63)
 #: Pieces between blanks whose ids a Python worker remembers; past it, it goes back to the
 #: first KEPT of them, among which are the common ones.
-MEMO = 400_000
-KEPT = 150_000
+MEMO = 800_000
+KEPT = 300_000
 
 # Marks that end a word and are a piece of their own there.
 _MARKS = (".", ",", ";", ":", "!", "?")
