@@ -381,7 +381,7 @@ def test_pipeline_stages(spark, sf_dir, docs, none):
 
 def test_word_encoder_remembers_the_words_of_a_task():
     """Half a million pieces are less than a task of 85 MB meets; they were forgotten on the way."""
-    encode = token_files.WordEncoder.load(public_tokenizers.path("word_bpe_49k.json"))
+    encode = token_files.WordEncoder.load(P.path("word_bpe_49k.json"))
     texts = [" ".join(f"w{n}" for n in range(start, start + 10_000)) for start in range(0, 500_000, 10_000)]
     first = [encode([text])[0] for text in texts]
     assert len(encode._codes) >= 500_000
