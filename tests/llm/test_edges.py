@@ -386,3 +386,36 @@ def test_word_encoder_remembers_the_words_of_a_task():
     first = [encode([text])[0] for text in texts]
     assert len(encode._codes) >= 500_000
     assert all((encode([text])[0] == ids).all() for text, ids in zip(texts[:3], first[:3], strict=True))
+
+
+class _Taken(Exception):
+    """What a frame was asked to run in its tasks."""
+
+
+class _Frame:
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        raise _Taken(run)
+
+
+def test_a_worker_drops_what_another_operator_left_in_it():
+    path = P.path(corpus_pipeline.RANKS)
+    bpe.vocabulary(path, P.PATTERN)
+    with pytest.raises(_Taken) as taken:
+        ngram_join._common(_Frame())
+    assert list(taken.value.args[0](iter([]))) == []
+    assert not bpe.vocabulary.cache_info().currsize
+
+
+def test_decoding_needs_no_vocabulary(spark, monkeypatch):
+    path = P.path(corpus_pipeline.RANKS)
+    few = bpe.TokenBytes({b"a": 0, b"bc": 2})
+    assert few.decode(np.array([2, 0, 1, 0]), np.array([2, 1, 1, 0])) == [b"bca", None, b"a", b""]
+    rows = spark.createDataFrame([([65, 66],), (None,), ([-1],), ([],)], "token_ids array<int>")
+    ranks = {rank: key for key, rank in bpe.read_ranks(path).items()}
+    found = [row.decoded for row in bpe.decode(rows, path, P.PATTERN).collect()]
+    assert found == [ranks[65] + ranks[66], None, None, b""]
+    monkeypatch.setattr(bpe.ByteBpe, "load", None)
+    assert bpe.token_bytes(path).decode(np.array([65]), np.array([1])) == [ranks[65]]

@@ -15,7 +15,6 @@ import base64
 import heapq
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -25,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tremor.llm.common import list_array, offsets, ragged, release, ship, slices
+from tremor.llm.common import forget, kept_in_worker, list_array, offsets, ragged, release, ship, slices
 
 #: Merged pre-tokens that a Python worker remembers; past it, it starts afresh.
 MEMO = 300_000
@@ -148,10 +147,46 @@ def merge_by_heap(symbols: list[int], joined: dict[int, int], base: int) -> list
     return [s for s in symbols if s >= 0]
 
 
-class ByteBpe:
+def read_ranks(path: str) -> dict[bytes, int]:
+    """The byte strings of a rank file, each with its rank."""
+    with open(path, "rb") as lines:
+        pairs = (line.split() for line in lines if line.strip())
+        return {base64.b64decode(token): int(rank) for token, rank in pairs}
+
+
+class TokenBytes:
+    """The bytes that each id of a vocabulary stands for, which is all that decoding needs."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        by_id = [None] * (max(ranks.values(), default=-1) + 1)
+        for key, rank in ranks.items():
+            by_id[rank] = key
+        self.known = np.array([k is not None for k in by_id], bool)
+        self.lengths = np.array([len(k or b"") for k in by_id], np.int64)
+        self.bytes = np.frombuffer(b"".join(k or b"" for k in by_id), np.uint8)
+        self.starts = offsets(self.lengths)[:-1]
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes | None]:
+        """The bytes of each row of ids, or None where the vocabulary lacks one of them."""
+        sound = (ids >= 0) & (ids < len(self.known))
+        sound[sound] = self.known[ids[sound]]
+        used = np.where(sound, ids, 0)
+        sizes = np.where(sound, self.lengths[used], 0) if len(self.lengths) else used * 0
+        data = self.bytes[ragged(self.starts[used], sizes)].tobytes() if len(ids) else b""
+        at = offsets(counts)
+        ends = offsets(sizes)[at]
+        bad = offsets(~sound)[at]
+        return [
+            data[ends[i] : ends[i + 1]] if bad[i] == bad[i + 1] else None
+            for i in range(len(counts))
+        ]
+
+
+class ByteBpe(TokenBytes):
     """A vocabulary of byte strings and their ranks, which are also their ids."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        super().__init__(ranks)
         self.ranks = ranks
         self.pattern = regex.compile(pattern)
         keys = list(ranks)
@@ -160,16 +195,8 @@ class ByteBpe:
         self._id_at = [b""] * len(keys)  # as four bytes, like all ids of pre-tokens
         for key, slot in zip(keys, self.hash.slot_of_key.tolist(), strict=True):
             self._key_at[slot], self._id_at[slot] = key, array("i", [ranks[key]]).tobytes()
-        top = max(ranks.values(), default=-1)
-        by_id = [None] * (top + 1)
-        for key, rank in ranks.items():
-            by_id[rank] = key
-        self.known = np.array([k is not None for k in by_id], bool)
-        self.lengths = np.array([len(k or b"") for k in by_id], np.int64)
-        self.bytes = np.frombuffer(b"".join(k or b"" for k in by_id), np.uint8)
-        self.starts = offsets(self.lengths)[:-1]
         self._memo: dict[bytes, bytes] = {}
-        self._base = top + 1
+        self._base = len(self.known)
         self._joined = {
             ranks[left] * self._base + ranks[right]: rank
             for key, rank in ranks.items()
@@ -180,9 +207,7 @@ class ByteBpe:
 
     @classmethod
     def load(cls, path: str, pattern: str) -> "ByteBpe":
-        with open(path, "rb") as lines:
-            pairs = (line.split() for line in lines if line.strip())
-            return cls({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern)
+        return cls(read_ranks(path), pattern)
 
     def merged(self, token: bytes) -> bytes:
         """The ids of a pre-token, four bytes each."""
@@ -220,27 +245,17 @@ class ByteBpe:
         ends = offsets(each)[offsets(counts)]
         return ids, np.diff(ends)
 
-    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes | None]:
-        """The bytes of each row of ids, or None where the vocabulary lacks one of them."""
-        sound = (ids >= 0) & (ids < len(self.known))
-        sound[sound] = self.known[ids[sound]]
-        used = np.where(sound, ids, 0)
-        sizes = np.where(sound, self.lengths[used], 0) if len(self.lengths) else used * 0
-        data = self.bytes[ragged(self.starts[used], sizes)].tobytes() if len(ids) else b""
-        at = offsets(counts)
-        ends = offsets(sizes)[at]
-        bad = offsets(~sound)[at]
-        return [
-            data[ends[i] : ends[i + 1]] if bad[i] == bad[i + 1] else None
-            for i in range(len(counts))
-        ]
-
 
-@lru_cache(maxsize=2)
+@kept_in_worker
 def vocabulary(path: str, pattern: str) -> ByteBpe:
     return ByteBpe.load(path, pattern)
 
 
+@kept_in_worker
+def token_bytes(path: str) -> TokenBytes:
+    return TokenBytes(read_ranks(path))
+
+
 def _with(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([f for f in schema if f.name != name] + [T.StructField(name, kind)])
 
@@ -258,6 +273,7 @@ def encode(
     ship(df.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(vocabulary, token_bytes)
         bpe = vocabulary(path, pattern)
         for batch in batches:
             for part in slices(batch, text):
@@ -272,18 +288,19 @@ def encode(
 def decode(
     df: DataFrame, path: str, pattern: str, ids: str = "token_ids", data: str = "decoded"
 ) -> DataFrame:
-    """Add the bytes that the ids stand for."""
+    """Add the bytes that the ids stand for; the rank file says all, whatever the ``pattern``."""
     ship(df.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = vocabulary(path, pattern)
+        forget(vocabulary, token_bytes)
+        table = token_bytes(path)
         for batch in batches:
             # Rows are cut by the number of ids; a slice of them needs a few bytes each.
             for part in slices(batch, ids, SLICE_IDS):
                 column = part.column(part.schema.get_field_index(ids))
                 counts = pc.list_value_length(column).fill_null(0).to_numpy(False)
                 values = column.flatten().fill_null(-1).to_numpy(False)
-                found = bpe.decode(values.astype(np.int64), counts.astype(np.int64))
+                found = table.decode(values.astype(np.int64), counts.astype(np.int64))
                 none = column.is_null().to_numpy(False)
                 found = [None if gone else x for x, gone in zip(found, none, strict=True)]
                 yield _replaced(part, data, pa.array(found, pa.binary()))

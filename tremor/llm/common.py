@@ -1,7 +1,8 @@
 """Helpers that the operators share: shipping the package, slices of Arrow batches, ragged arrays."""
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -94,6 +95,30 @@ def release() -> None:
         pass  # another C library
 
 
+#: What operators keep in this Python worker from one task to the next.
+_KEPT: list = []
+
+
+def kept_in_worker(build: Callable) -> Callable:
+    """Make something once in a Python worker, and keep it there until ``forget``."""
+    made = lru_cache(maxsize=2)(build)
+    _KEPT.append(made)
+    return made
+
+
+def forget(*but: Callable) -> None:
+    """Let go of what tasks of other operators have left in this worker, ``but`` the given.
+
+    Spark hands each task the worker that has waited longest, so that tables of one operator would
+    stay in all workers through every later stage.
+    """
+    gone = [made for made in _KEPT if made not in but and made.cache_info().currsize]
+    for made in gone:
+        made.cache_clear()
+    if gone:
+        release()
+
+
 def packed(df: DataFrame) -> DataFrame:
     """All columns in one, so that no name meets an operator's own, and the row's place."""
     return placed(df, F.struct("*").alias(GIVEN))

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from tremor.llm.common import (
     ROW,
+    forget,
     list_array,
     lower_ascii,
     offsets,
@@ -87,6 +88,7 @@ def _common(sets: DataFrame) -> np.ndarray:
     """How common the n-grams of each counter are, as the bits of a count."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         counts = np.zeros(SKETCH, np.int32)
         for part in (p for batch in batches for p in slices(batch, "grams", 1 << 18)):
             grams = part.column(0).flatten().to_numpy().view(np.uint64)
@@ -116,6 +118,7 @@ def _prefixes(classes: DataFrame, percent: int) -> DataFrame:
     common = spark.sparkContext.broadcast(_common(classes))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         weight = common.value
         for part in (p for batch in batches for p in slices(batch, "grams", 1 << 18)):
             lists = part.column(2)
@@ -163,6 +166,7 @@ def _tile_links(members: DataFrame, percent: int) -> DataFrame:
     """A spanning forest of the links within each pair of tiles."""
 
     def run(table: pa.Table) -> pa.Table:
+        forget()
         try:
             return _forest(table, percent)
         finally:

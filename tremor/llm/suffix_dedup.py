@@ -45,6 +45,7 @@ from pyspark.sql import types as T
 from tremor.llm.common import (
     GIVEN,
     ROW,
+    forget,
     given,
     list_array,
     offsets,
@@ -164,6 +165,7 @@ def _reported(documents: DataFrame, bits: int) -> DataFrame:
     """The anchors of each block by bucket: 32 bits of each, and how often it occurs, to 255."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
+        forget()
         found, times = np.unique(_keys(_Block(table).segments()[0], bits), return_counts=True)
         cuts = np.searchsorted(found, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32))
         used = np.flatnonzero(np.diff(cuts))
