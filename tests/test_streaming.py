@@ -1,15 +1,17 @@
 import os
+import re
 from datetime import date, datetime
 
 import pytest
 from feed import collection, feature, land
 
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrameWriter
 
 from tremor.plans import load
 from tremor.sinks import move_folders
 from tremor.sources import landing_path, scan_silver
-from tremor.streaming import load_incremental
+from tremor.streaming import incremental, load_incremental
 
 DAY, NEXT = date(2024, 1, 5), date(2024, 1, 6)
 
@@ -146,3 +148,38 @@ def test_folders_move_into_place(spark, tmp_path):
 def test_wrong_layout(stream):
     with pytest.raises(ValueError):
         stream.run(layout="rows")
+
+
+@pytest.mark.parametrize("folders", [8, 1])
+def test_a_batch_is_not_sorted_by_folder(spark, stream, monkeypatch, folders):
+    """Rows go to files that are open at once; those of further folders are sorted. The table's are constant."""
+    name, key = f"unsorted_{folders}", "spark.sql.maxConcurrentOutputFileWriters"
+    at_once, filled, parquet, fill = [], [], DataFrameWriter.parquet, incremental.write_table
+
+    def write(writer, path, *args, **kwargs):
+        at_once.append((writer._spark.conf.get(key), "/_open/" in path))
+        return parquet(writer, path, *args, **kwargs)
+
+    def write_table(rows, *args, **kwargs):
+        folder = rows.select("feed", "load_date", "load_id")
+        filled.append(folder._jdf.queryExecution().optimizedPlan().toString().split("\n")[0])
+        return fill(rows, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", write)
+    monkeypatch.setattr(incremental, "write_table", write_table)
+    monkeypatch.setattr(incremental, "OPEN_FOLDERS", folders)
+    # One file for several folders: a task of the batch has rows of all of them, in turn.
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        stream.land("daily", NEXT, feature("d3"))
+        stream.run(table=name)
+        assert at_once == [(str(folders), True)]
+        feeds = [re.search(r"\[(\w+) AS feed#\d+, [\d-]+ AS load_date#\d+, stream-", text)[1] for text in filled]
+        assert feeds == ["daily", "daily", "historical"]
+        assert stream.ids() == sorted(FIRST + [("daily", "2024-01-06", "d3")])
+        rows = spark.table(name).select("feed", "load_date", "id").collect()
+        assert sorted((r.feed, str(r.load_date), r.id) for r in rows) == stream.ids()
+        assert spark.conf.get(key) == "0"
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

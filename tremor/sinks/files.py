@@ -1,8 +1,10 @@
 """File sinks. Every task writes its own files; nothing passes the driver."""
 
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +35,18 @@ def write_rejects(df: DataFrame, path: str, *, replace_partitions: bool = False)
     writer.partitionBy(*schema.SILVER_PARTITIONS.names).parquet(path)
 
 
+@contextmanager
+def _open_at_once(spark: SparkSession, folders: int) -> Iterator[None]:
+    """Let tasks write into so many folders at once, without sorting their rows by folder."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, folders)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_silver(
     df: DataFrame,
     path: str,
@@ -42,6 +56,7 @@ def write_silver(
     partition_by: tuple[str, ...] = (),
     rebalance: bool = False,
     replace_partitions: bool = False,
+    open_folders: int = 0,
 ) -> None:
     """Write silver Parquet (Snappy) with exactly the declared columns and types, and a
     dictionary for those whose values repeat.
@@ -49,7 +64,9 @@ def write_silver(
     ``rebalance`` lets adaptive execution even out the files, at the cost of a
     shuffle: worth it where a few tasks hold most of the features.
     ``replace_partitions`` makes an overwrite touch only the partitions that
-    occur in ``df``.
+    occur in ``df``. With ``open_folders`` a task has a file open in each of so many
+    folders and sorts only the rows of further ones; otherwise it sorts all its rows by
+    folder, and spills them where they exceed its memory.
     """
     fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.silver_schema(variant)]
     rows = df.select(*fields, *partition_by)
@@ -59,7 +76,8 @@ def write_silver(
     writer = writer.option("partitionOverwriteMode", "dynamic" if replace_partitions else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with _open_at_once(df.sparkSession, open_folders) if open_folders else nullcontext():
+        writer.parquet(path)
 
 
 def _pair_lines(df: DataFrame, key: str, value: str) -> Column:

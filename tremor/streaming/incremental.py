@@ -26,6 +26,9 @@ from tremor.sources import (
 
 _PARTITIONS = tuple(schema.LANDING_PARTITIONS.names)
 
+#: Folders of a batch that a task writes to at once; rows of more than that are sorted by folder.
+OPEN_FOLDERS = 8
+
 
 def landing_stream(
     spark: SparkSession,
@@ -118,6 +121,7 @@ def load_incremental(
                 variant=variant,
                 partition_by=keys,
                 rebalance=spread_by_default(batch, layout) if rebalance is None else rebalance,
+                open_folders=OPEN_FOLDERS,
             )
             if seen.get["documents"] != seen.get["readable"]:
                 bad = batch.where(content.isNull()).withColumn("load_id", F.lit(load_id))
@@ -138,7 +142,10 @@ def load_incremental(
             partition = dict(unquote(part).split("=", 1) for part in folder.split("/"))
             feed, day = partition["feed"], date.fromisoformat(partition["load_date"])
             rows = scan_silver(session, silver_path(silver, feed, day), variant)
-            rows = rows.where(F.col("load_id") == load_id)
+            # As constants the folder's values leave nothing to sort by.
+            kinds = {f.name: f.dataType for f in schema.SILVER_PARTITIONS}
+            constant = {key: F.lit(partition[key]).cast(kind) for key, kind in kinds.items()}
+            rows = rows.where(F.col("load_id") == load_id).drop(*kinds).withColumns(constant)
             write_table(
                 rows, table, "replace_partition", partition=partition, path=table_path, **schema.PARQUET_OPTIONS
             )
