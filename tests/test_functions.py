@@ -12,6 +12,7 @@ from tremor.functions import (
     load_day_text,
     load_instant,
     load_instant_text,
+    naive_utc,
     pair_text,
     plain_number,
 )
@@ -99,6 +100,26 @@ def test_load_days(spark):
     assert [str(v) for v in df.select(load_day("t"), load_day_text("s")).first()] == ["2024-01-30"] * 2
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Pacific/Auckland", "Asia/Kathmandu"])
+def test_instants_in_utc_do_not_pass_local_time(spark, in_zone, zone):
+    in_zone(zone)
+    # In New York the third is the second 01:30 of its night; the next two are before the epoch and the last day.
+    texts = ["2024-01-30 12:34:56.789012", "2024-11-03 05:30:00", "2024-11-03 06:30:00.000001"]
+    texts += ["1969-12-31 23:59:59.999999", "0001-01-01 00:00:00", "9999-12-31 23:59:59.999999", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    df = df.select("s", F.expr("CAST(s || 'Z' AS TIMESTAMP)").alias("t"))
+    rows = df.select(naive_utc("t").cast("string").alias("n"), load_day("t").cast("string").alias("day")).collect()
+    assert [r.n for r in rows] == texts
+    assert [r.day for r in rows] == [t and t[:10] for t in texts]
+
+
+def test_instants_in_utc_look_up_no_zone(spark):
+    """A zone given by name is looked up in every row, by two regular expressions."""
+    df = spark.range(1).select(F.timestamp_micros("id").alias("t"))
+    plan = df.select(naive_utc("t"), load_day("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "convert_timezone" not in plan
+
+
 def test_plain_numbers(spark):
     given = [12345678.5, 100.0, 0.1 + 0.2, 0.00012, 123456789012345.6, -98765432.1, 1e7, 5.0, None]
     expected = [None if v is None else repr(v) for v in given]

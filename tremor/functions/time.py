@@ -66,8 +66,13 @@ def load_instant_text(load_ts: datetime) -> Column:
 
 
 def naive_utc(c: ColumnOrName) -> Column:
-    """An instant as a timestamp without a zone, in UTC whatever the session's zone."""
-    return F.convert_timezone(None, F.lit("UTC"), column(c))
+    """An instant as a timestamp without a zone, in UTC whatever the session's zone.
+
+    Counted from the epoch. convert_timezone looks two zones up by name in every row, and
+    takes the instant through local time, which has one hour twice when clocks go back.
+    """
+    zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return zero + F.expr("INTERVAL '0.000001' SECOND") * F.unix_micros(column(c).cast("timestamp"))
 
 
 def load_day(c: ColumnOrName) -> Column:
