@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremor import schema
+from tremor.functions import naive_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,11 +42,6 @@ def utc_millis(naive: str) -> Column:
     return F.unix_millis(F.concat(F.col(naive).cast("string"), F.lit("Z")).cast("timestamp"))
 
 
-def naive_utc(instant: Column) -> Column:
-    """A timestamp as one without a zone, in UTC whatever the session's zone."""
-    return F.convert_timezone(None, F.lit("UTC"), instant)
-
-
 def _place() -> Column:
     return F.concat(
         F.col("user_id").cast("string"),

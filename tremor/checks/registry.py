@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tremor import schema
 from tremor.checks import inputs as i
 from tremor.checks.inputs import Query
-from tremor.functions import area_comma, area_tail, epoch_ms_to_str, epoch_ms_to_ts
+from tremor.functions import area_comma, area_tail, epoch_ms_to_str, epoch_ms_to_ts, naive_utc
 from tremor.operators import analysis as a
 from tremor.operators import orders as o
 from tremor.operators.flatten import flatten, transform
@@ -305,7 +305,7 @@ def _epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("SELECT event_id AS id, date_trunc('second', ts) AS time FROM events")
 def epoch_to_ts(spark, sf_dir):
-    return _epochs(spark, sf_dir).select("id", i.naive_utc(epoch_ms_to_ts("millis")).alias("time"))
+    return _epochs(spark, sf_dir).select("id", naive_utc(epoch_ms_to_ts("millis")).alias("time"))
 
 
 @_query("SELECT event_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time FROM events")
