@@ -2,16 +2,17 @@
 
 import glob
 import os
-from datetime import date
+from datetime import date, datetime
 
 import pyarrow.parquet as pq
 import pytest
 from feed import collection, feature, land
 
+from tremor.checks import registry
 from tremor.checks.registry import _land
 from tremor.plans import load
 from tremor.plans.load import spread_by_default
-from tremor.sinks import write_landing
+from tremor.sinks import shared_folder, write_landing
 from tremor.sources import landing_path, parse_landed, scan_landed
 
 DAY = date(2024, 1, 5)
@@ -105,3 +106,40 @@ def test_no_dictionary_for_values_of_one_event(spark, tmp_path):
         assert sorted(r.id for r in spark.table(name).collect()) == [f"a{n}" for n in range(9)]
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_landing_lies_there_until_it_is_read(spark, tmp_path):
+    events = [(n, datetime(2024, 1, 5), n, "view", 1.5, '{"k": 3}') for n in range(20)]
+    kinds = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(events, kinds).write.parquet(f"{tmp_path}/events.parquet")
+    paths = [f"{tmp_path}/landing/{name}" for name in "aabca"]
+    seen = []
+    for path, _ in zip(paths, registry._land_in_turn(spark, str(tmp_path), paths), strict=True):
+        assert spark.read.text(path).count() == 20
+        seen.append("".join(sorted(os.listdir(f"{tmp_path}/landing"))))
+    assert seen == ["a", "a", "ab", "ac", "ac"]
+    assert not os.listdir(f"{tmp_path}/landing")
+
+
+@pytest.mark.parametrize("query", ["load_committed", "load_week_of_late_loads"])
+def test_loads_leave_their_result_alone(spark, tmp_path, query, monkeypatch):
+    events = [(n, datetime(2024, 1, 5), n, "view", 1.5, '{"k": 3}') for n in range(20)]
+    kinds = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(events, kinds).write.parquet(f"{tmp_path}/events.parquet")
+    folder, store, beside = f"{shared_folder(spark).removeprefix('file:')}/tremor", registry.stored, []
+
+    def lying():
+        return {os.path.relpath(at, folder) for at, _, files in os.walk(folder) if files} - before
+
+    def storing(df, name, **options):
+        beside.extend(lying())
+        return store(df, name, **options)
+
+    before = set()
+    before = lying()
+    monkeypatch.setattr(registry, "stored", storing)
+    rows = registry.queries()[query](spark, str(tmp_path))
+    # While the result is written no landing lies there, and then nothing but the result.
+    assert beside and not [path for path in beside if path.startswith("landing")]
+    assert lying() and all(path.startswith("journaled") for path in lying())
+    assert rows.count() == {"load_committed": 240, "load_week_of_late_loads": 80}[query]

@@ -2,6 +2,8 @@
 digits depend on the order of the rows; days are text, so that every client
 prints them alike."""
 
+from collections.abc import Iterator
+from contextlib import ExitStack
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +31,9 @@ from tremor.plans import (
 from tremor.plans.load import silver_rows
 from tremor.sinks import (
     Journal,
+    move_folder,
+    remove,
+    scratch,
     scratch_path,
     stored,
     write_landing,
@@ -763,24 +768,48 @@ def pairs_text_large(spark, sf_dir):
 # ---- loads that are one commit, and what is kept of each ----------------------
 
 
+def _land_in_turn(spark: SparkSession, sf_dir: str, paths: list[str]) -> Iterator[None]:
+    """Land the events in each folder, in the order in which they are read; a step for each reading.
+
+    Lines that no later step reads become those of the next new folder, so that no more of them lie
+    there at once than are still to be read. After the last step none are left.
+    """
+    lying: list[str] = []
+    for at, path in enumerate(paths):
+        if path not in lying:
+            done = [p for p in lying if p not in paths[at:]]
+            if done:
+                move_folder(spark, done[0], path)
+                lying.remove(done[0])
+            elif lying:
+                _land_again(spark, lying[0], path)
+            else:
+                _land(spark, sf_dir, path)
+            lying.append(path)
+        yield
+    for path in lying:
+        remove(spark, path)
+
+
 def _journaled(spark: SparkSession, sf_dir: str, runs: list[tuple], read) -> DataFrame:
     """Land the events for each feed and day, load in the given order, return what ``read`` gives.
 
-    A run is a feed, a day, a mode and a load instant.
+    A run is a feed, a day, a mode and a load instant. Of what was written the result alone is kept.
     """
-    landing, silver = scratch_path(spark, "landing"), scratch_path(spark, "silver")
-    journal, shares = scratch_path(spark, "journal"), scratch_path(spark, "shares")
-    _land(spark, sf_dir, *(landing_path(landing, feed, day) for feed, day in {run[:2] for run in runs}))
     name = f"tremor_check_{uuid4().hex}"
-    try:
-        for feed, day, mode, at in runs:
+    with ExitStack() as kept:
+        landing, silver, journal, shares, table = (
+            kept.enter_context(scratch(spark, layer))
+            for layer in ("landing", "silver", "journal", "shares", "shares-table")
+        )
+        kept.callback(spark.sql, f"DROP TABLE IF EXISTS {name}")
+        landings = _land_in_turn(spark, sf_dir, [landing_path(landing, feed, day) for feed, day, *_ in runs])
+        for (feed, day, mode, at), _ in zip(runs, landings, strict=True):
             load(
                 spark, feed, day, landing=landing, silver=silver, table=name, mode=mode, load_ts=at,
-                table_path=f"{shares}-table", journal=journal, aggregates=shares,
+                table_path=table, journal=journal, aggregates=shares,
             )
-        return stored(read(journal, silver, name, shares), "journaled", **_ONCE)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        return stored(read(journal, silver, name, shares), "journaled", compression="zstd", **_ONCE)
 
 
 _LAYERS_SQL = i.SILVER_CTE + "\nUNION ALL\n".join(

@@ -10,6 +10,7 @@ from tremor.sinks.files import (
 from tremor.sinks.journal import ConcurrentLoadError, Journal, Record, zones
 from tremor.sinks.scratch import (
     exists,
+    move_folder,
     move_folders,
     noted,
     remove,
@@ -28,6 +29,7 @@ __all__ = [
     "Record",
     "drop_partition",
     "exists",
+    "move_folder",
     "move_folders",
     "noted",
     "remove",
