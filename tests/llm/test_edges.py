@@ -2,6 +2,7 @@
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -204,6 +205,54 @@ def test_hot_strings_give_the_same(docs, monkeypatch):
     assert suffix_dedup.find_repeats(docs).orderBy("__row").collect() == plain
 
 
+def test_ends_that_no_other_segment_has_are_not_sorted(monkeypatch):
+    core = bytes(range(60))
+    texts = pa.array([b"x" * 5 + core, core + b"y" * 7, core + b"x" * 5], pa.binary())
+    sorted_ = []
+    monkeypatch.setattr(suffix_dedup, "_settle", lambda *given: sorted_.append(given))
+    least, at = suffix_dedup._least_owner(texts, np.array([7, 7, 8]), np.array([3, 1, 0]))
+    assert not sorted_
+    assert at.tolist() == [0, 16, 34, 50]
+    assert least.tolist() == [3] * 5 + [1] * 11 + [1] * 18 + [0] * 16
+
+
+def test_least_owner_of_each_string():
+    random, size = np.random.default_rng(1), suffix_dedup.LENGTH
+    pieces = [bytes(random.integers(97, 99, n, np.uint8)) for n in (50, 51, 60, 30, 20, 12, 3)]
+    for _ in range(40):
+        made = {
+            (int(random.integers(0, 4)), b"".join(pieces[k] for k in random.integers(0, 7, 4)))
+            for _ in range(30)
+        }
+        made = sorted((route, text) for route, text in made if len(text) >= size)
+        ids = random.integers(0, 9, len(made))
+        first = {}
+        for (route, text), key in zip(made, ids.tolist(), strict=True):
+            for i in range(len(text) - size + 1):
+                string = (route, text[i : i + size])
+                first[string] = min(key, first.get(string, key))
+        least, at = suffix_dedup._least_owner(
+            pa.array([t for _, t in made], pa.binary()), np.array([r for r, _ in made]), ids
+        )
+        for n, (route, text) in enumerate(made):
+            expected = [first[route, text[i : i + size]] for i in range(len(text) - size + 1)]
+            assert least[at[n] : at[n + 1]].tolist() == expected
+
+
+def test_hashes_and_anchors_of_runs():
+    random = np.random.default_rng(2)
+    data = random.integers(0, 3, 200_000, np.uint8)
+    for length in (8, 9, 16, 20, 50):
+        hashed = suffix_dedup._run_hashes(data, length)
+        assert len(hashed) == len(data) - length + 1
+        for start in (0, 1, 13, 65_530, 65_536, len(hashed) - 1):
+            assert suffix_dedup._run_hashes(data[start : start + length], length) == hashed[start]
+    assert not len(suffix_dedup._run_hashes(data[:49], 50))
+    kept = hashed[:70_000] >> np.uint64(20)
+    found = suffix_dedup._anchors(hashed[:70_000], 31)
+    assert found.tolist() == [n + int(np.argmin(kept[n : n + 31])) for n in range(70_000 - 30)]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("abc", max_size=25), min_size=1, max_size=6))
 def test_suffix_arrays(texts):

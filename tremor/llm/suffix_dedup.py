@@ -13,8 +13,9 @@ through one task; instead the suffixes that can share a string are brought toget
    segments around shared anchors leave their block, equal ones of a block as one row.
 3. The distinct segments of an anchor are put in one text, and suffix arrays are built of many
    such texts at once (``suffixes``). Equal strings are neighbours there; the least document
-   id among them decides for all. A segment that shares no string's hash with another one of
-   its anchor is left out beforehand, and where one segment is all there is, no order is needed.
+   id among them decides for all. Of a segment only the part counts from the first to the last
+   string whose hash another one of its anchor has: the rest, or all of it, is left out
+   beforehand, and where one part is all there is, no order is needed.
 4. An anchor that occurs HOT times or more would gather many segments in one task. Its strings
    go by their own hash instead of the anchor's, so that each such group has one string.
    Its rows, one for each block, are read one after the other with the least id first.
@@ -65,60 +66,78 @@ BLOCK = 2 << 20
 #: Anchors that a task of step 2 gathers, about.
 BUCKET = 1 << 20
 #: Occurrences from which the strings of an anchor go by their own hash.
-HOT = 2048
+HOT = 1 << 14
 #: Segments that a task settles together, and symbols whose suffixes it sorts in step.
 GATHER = 60_000
 STEP_SYMBOLS = 1 << 20
 NO_ID = -(1 << 63)
 #: Bytes that are hashed together, so that they stay in the cache.
 _STEP = 1 << 16
-_BASE = np.uint64(0x100000001B3)
+_BASE = 0x9E3779B97F4A7C15
 _SEGMENT, _STRING = 0, 1
 
 
+def _mix(x: np.ndarray, spare: np.ndarray) -> None:
+    x ^= np.right_shift(x, np.uint64(32), out=spare)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= np.right_shift(x, np.uint64(29), out=spare)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(29))
+    x = x.copy()
+    _mix(x, np.empty_like(x))
+    return x
 
 
 def _run_hashes(data: np.ndarray, length: int) -> np.ndarray:
-    """A hash of the ``length`` bytes from each place."""
-    run, size, out, done = data.astype(np.uint64) + np.uint64(1), 1, None, 0
-    rest = length
-    while rest:
-        if rest & 1:
-            if out is None:
-                out, done = run, size
-            else:
-                n = len(data) - done - size + 1
-                out = out[: max(n, 0)] * _power(size) + run[done : done + max(n, 0)]
-                done += size
-        rest >>= 1
-        if rest:
-            n = max(len(data) - 2 * size + 1, 0)
-            run, size = run[:n] * _power(size) + run[size : size + n], 2 * size
-    return _mixed(out)
-
-
-def _power(n: int) -> np.uint64:
-    return np.uint64(pow(int(_BASE), n, 1 << 64))
-
-
-def _least(value: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The least of each ``width`` neighbours and how far it lies from the first, leftmost."""
-
-    def joined(a, b, shift):
-        n = max(min(len(a[0]), len(b[0]) - shift), 0)
-        left = a[0][:n] <= b[0][shift : shift + n]
-        return (
-            np.where(left, a[0][:n], b[0][shift : shift + n]),
-            np.where(left, a[1][:n], b[1][shift : shift + n] + np.uint8(shift)),
-        )
+    """A hash of the ``length`` bytes, eight or more, from each place."""
+    out = np.empty(max(len(data) - length + 1, 0), np.uint64)
+    # The last eight may overlap those before.
+    later = [*range(8, length - 8, 8), *([length - 8] if length > 8 else [])]
+    for lo in range(0, len(out), _STEP):
+        made = out[lo : lo + _STEP]
+        raw = data[lo : lo + len(made) + length - 1].tobytes() + bytes(16)
+        # The eight bytes from each place as a number, from all eight ways to cut the bytes.
+        eights = np.empty(-(-(len(made) + length - 1) // 8) * 8, np.uint64)
+        for k in range(8):
+            eights[k::8] = np.frombuffer(raw, "<u8", len(eights) // 8, k)
+        made[:] = eights[: len(made)]
+        step = np.empty_like(made)
+        for i, at in enumerate(later, 1):
+            np.multiply(eights[at : at + len(made)], np.uint64(pow(_BASE, i, 1 << 64)), out=step)
+            made += step
+        _mix(made, step)
+    return out
 
-    now, size = (value, np.zeros(len(value), np.uint8)), 1
+
+def _anchors(hashed: np.ndarray, width: int) -> np.ndarray:
+    """The place of the least of each ``width`` neighbours, leftmost, by all bits but the last 20."""
+    places = np.uint64((1 << 20) - 1)
+    now, size = (hashed & ~places) | np.arange(len(hashed), dtype=np.uint64), 1
     while 2 * size <= width:
-        now, size = joined(now, now, size), 2 * size
-    return joined(now, now, width - size) if size < width else now
+        now, size = np.minimum(now[: len(now) - size], now[size:]), 2 * size
+    now = np.minimum(now[: len(now) - width + size], now[width - size :]) if size < width else now
+    return (now & places).astype(np.int64)
+
+
+def _bytes(texts: pa.Array | pa.ChunkedArray) -> tuple[bytes, np.ndarray]:
+    """All texts one after the other, and where each begins and the last one ends."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    if not len(texts) or not sizes.any():
+        return b"", offsets(sizes)
+    large = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+    _, at, data = texts.buffers()
+    at = np.frombuffer(at, np.int64 if large else np.int32)
+    lo, hi = int(at[texts.offset]), int(at[texts.offset + len(texts)])
+    return data[lo:hi].to_pybytes(), offsets(sizes)
+
+
+def _binaries(data: bytes | np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Consecutive pieces of ``data`` as an Arrow array."""
+    at = pa.py_buffer(offsets(sizes).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, at, pa.py_buffer(data)])
 
 
 class _Block:
@@ -128,32 +147,34 @@ class _Block:
         table = table.sort_by(ROW).combine_chunks()
         self.rows = table[ROW].to_numpy()
         self.ids = table["id"].to_numpy()
-        self.texts = [t.encode() for t in table["text"].to_pylist()]
-        self.at = offsets(np.fromiter(map(len, self.texts), np.int64, len(self.texts)))
-        self.data = b"".join(self.texts)
+        self.data, self.at = _bytes(table["text"])
 
     def segments(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Anchor hash, document, start and end in the block's bytes of each segment."""
         data = np.frombuffer(self.data, np.uint8)
+        # If a whole string begins here; between two documents there are places where none does.
+        whole = np.ones(len(data), bool)
+        for lo, hi in zip(self.at[:-1].tolist(), self.at[1:].tolist(), strict=True):
+            whole[max(lo, hi - LENGTH + 1) : hi] = False
         parts = []
         for lo in range(0, len(data), _STEP):
             piece = data[lo : lo + _STEP + LENGTH - 1]
             if len(piece) < LENGTH:
                 break
-            value, shift = _least(_run_hashes(piece, ANCHOR), LENGTH - ANCHOR + 1)
-            start = np.arange(lo, lo + len(value))
-            document = np.searchsorted(self.at, start, "right") - 1
-            inside = start + LENGTH <= self.at[document + 1]
-            start, value, document = start[inside], value[inside], document[inside]
-            anchor = start + shift[inside]
-            new = np.ones(len(start), bool)
-            new[1:] = (anchor[1:] != anchor[:-1]) | (document[1:] != document[:-1])
-            first = np.flatnonzero(new)
-            last = np.r_[first[1:], len(start)] - 1
-            parts.append((value[first], document[first], start[first], start[last] + LENGTH))
+            hashed = _run_hashes(piece, ANCHOR)
+            anchor = _anchors(hashed, LENGTH - ANCHOR + 1)
+            inside = whole[lo : lo + len(anchor)]
+            goes_on = anchor[1:] == anchor[:-1]
+            goes_on &= inside[1:] & inside[:-1]
+            first, last = inside.copy(), inside.copy()
+            first[1:] &= ~goes_on
+            last[:-1] &= ~goes_on
+            first, last = np.flatnonzero(first), np.flatnonzero(last)
+            parts.append((hashed[anchor[first]], first + lo, last + (lo + LENGTH)))
         if not parts:
             return tuple(np.zeros(0, kind) for kind in (np.uint64, np.int64, np.int64, np.int64))
-        return tuple(map(np.concatenate, zip(*parts, strict=True)))
+        value, start, end = map(np.concatenate, zip(*parts, strict=True))
+        return value, np.searchsorted(self.at, start, "right") - 1, start, end
 
 
 def _keys(anchors: np.ndarray, bits: int) -> np.ndarray:
@@ -249,41 +270,34 @@ def _sent(documents: DataFrame, shared: DataFrame, bits: int) -> DataFrame:
         if len(each):
             strings = _run_hashes(np.frombuffer(block.data, np.uint8), LENGTH)
             routes = np.r_[routes, strings[each]]
-        distinct: dict[tuple, int] = {}
-        data = block.data
-        group = np.fromiter(
-            (
-                distinct.setdefault((k, data[a:b]), len(distinct))
-                for k, a, b in zip(kinds.tolist(), starts.tolist(), ends.tolist(), strict=True)
-            ),
-            np.int64,
-            len(starts),
-        )
-        if not len(group):
+        if not len(starts):
             return _table(_SENT)
-        order = np.lexsort((documents_, group))
+        # Equal texts of one kind are one group; segments come before strings.
+        data = np.frombuffer(block.data, np.uint8)
+        texts, groups, before = [], [], 0
+        for part in (slice(0, plain.sum()), slice(plain.sum(), None)):
+            sizes = (ends - starts)[part]
+            coded = _binaries(data[ragged(starts[part], sizes)], sizes).dictionary_encode()
+            texts.append(coded.dictionary)
+            groups.append(coded.indices.to_numpy().astype(np.int64) + before)
+            before += len(coded.dictionary)
+        group = np.concatenate(groups)
+        order = np.argsort(group, kind="stable")  # documents are in order already
         first = np.flatnonzero(np.r_[True, np.diff(group[order]) > 0])
         sizes = np.diff(np.r_[first, len(order)])
         entries = np.empty(len(order), _ENTRY)
         entries["place"] = documents_[order]
         entries["start"] = starts[order] - block.at[documents_[order]]
         entries["id"] = ids = block.ids[documents_[order]]
-        packed, width = entries.tobytes(), _ENTRY.itemsize
         head = order[first]
         return pa.table(
             {
                 "route": pa.array(routes[head].view(np.int64)),
                 "kind": pa.array(kinds[head], pa.int32()),
                 "least": pa.array(np.minimum.reduceat(ids, first), pa.int64()),
-                "text": pa.array([text for _, text in distinct], pa.binary()),
+                "text": pa.concat_arrays(texts),
                 "block": pa.array([block_id] * len(head), pa.int64()),
-                "entries": pa.array(
-                    [
-                        packed[width * a : width * (a + n)]
-                        for a, n in zip(first.tolist(), sizes.tolist(), strict=True)
-                    ],
-                    pa.binary(),
-                ),
+                "entries": _binaries(entries.view(np.uint8), sizes * _ENTRY.itemsize),
             }
         )
 
@@ -308,19 +322,72 @@ def _table(schema: str) -> pa.Table:
     return pa.schema([(name, kinds[kind]) for name, kind in fields]).empty_table()
 
 
-def _least_owner(texts: list[bytes], route: np.ndarray, least: np.ndarray):
+def _least_owner(texts: pa.Array, route: np.ndarray, least: np.ndarray):
     """For each string of each text, the least id of its equals on the same route.
 
     Texts of one route are neighbours. Returns the ids, one text's strings after the other's.
     """
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    data, begin = _bytes(texts)
+    data, lengths = np.frombuffer(data, np.uint8), np.diff(begin)
     at = offsets(lengths - LENGTH + 1)
     out = np.repeat(least, lengths - LENGTH + 1)
     number = np.cumsum(np.r_[0, route[1:] != route[:-1]])
-    routes = number[-1] + 1
+    several = np.flatnonzero(np.bincount(number)[number] > 1)
+    chosen, first, many = _matching(data, begin, number, several)
+    if not len(chosen):
+        return out, at
+    # What is left of texts that share one string is mostly one text: all have its least id.
+    sizes = many + LENGTH - 1
+    body = data[ragged(begin[chosen] + first, sizes)]
+    coded = _binaries(body, sizes).dictionary_encode()
+    key = number[chosen] * len(coded.dictionary) + coded.indices.to_numpy()
+    _, one, same = np.unique(key, return_index=True, return_inverse=True)
+    low = np.full(len(one), np.iinfo(np.int64).max)
+    np.minimum.at(low, same, least[chosen])
+    found, found_at = _sorted_owner(body, offsets(sizes)[one], sizes[one], number[chosen][one], low)
+    out[ragged(at[chosen] + first, many)] = found[ragged(found_at[same], many)]
+    return out, at
+
+
+def _matching(data, begin, number, several) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts that share the hash of a string with another text of their route: which of
+    ``several``, the first such string of each, and how many strings lie from it to the last."""
+    empty = np.zeros(0, np.int64)
+    if not len(several):
+        return empty, empty, empty
+    strings = np.diff(begin)[several] - LENGTH + 1
+    starts = ragged(begin[several], strings)
+    owner = np.repeat(np.arange(len(several)), strings)
+    hashed = _run_hashes(data, LENGTH)[starts] ^ _mixed(number[several][owner].astype(np.uint64))
+    order = np.argsort(hashed, kind="stable")  # a text's own strings stay together
+    hashed, sorted_owner = hashed[order], owner[order]
+    same = (hashed[1:] == hashed[:-1]) & (sorted_owner[1:] != sorted_owner[:-1])
+    head = np.ones(len(order), bool)
+    head[1:] = hashed[1:] != hashed[:-1]
+    # All strings of a hash that two texts have.
+    group = np.cumsum(head) - 1
+    shared = np.zeros(group[-1] + 1, bool)
+    shared[group[1:][same]] = True
+    hit = np.zeros(len(order), bool)
+    hit[order] = shared[group]
+    hit = np.flatnonzero(hit)
+    if not len(hit):
+        return empty, empty, empty
+    of = owner[hit]
+    heads = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+    lo, hi = hit[heads], hit[np.r_[heads[1:], len(hit)] - 1]
+    which = of[heads]
+    return several[which], lo - offsets(strings)[which], hi - lo + 1
+
+
+def _sorted_owner(data, begin, lengths, number, least):
+    """``_least_owner`` of different texts of each route, by their suffix arrays."""
+    at = offsets(lengths - LENGTH + 1)
+    out = np.repeat(least, lengths - LENGTH + 1)
     chosen = np.flatnonzero(np.bincount(number)[number] > 1)
-    chosen = chosen[_may_match(texts, lengths, number, chosen)]
-    total = np.bincount(number[chosen], lengths[chosen] + 1, minlength=routes)
+    if not len(chosen):
+        return out, at
+    total = np.bincount(number[chosen], lengths[chosen] + 1, minlength=number[-1] + 1)
     # Texts of about one length go in step, so that none waits for much longer ones.
     chosen = chosen[np.lexsort((number[chosen], total[number[chosen]]))]
     step = np.log2(np.maximum(total[number[chosen]], 1)).astype(np.int64)
@@ -330,36 +397,18 @@ def _least_owner(texts: list[bytes], route: np.ndarray, least: np.ndarray):
     new[1:] &= number[chosen][1:] != number[chosen][:-1]
     cuts = np.flatnonzero(new)
     for lo, hi in zip(cuts, np.r_[cuts[1:], len(chosen)], strict=False):
-        _settle(chosen[lo:hi], texts, lengths, number, least, at, out)
+        _settle(chosen[lo:hi], data, begin, lengths, number, least, at, out)
     return out, at
 
 
-def _may_match(texts, lengths, number, chosen) -> np.ndarray:
-    """Which texts share the hash of a string with another text of their route."""
-    out = np.zeros(len(chosen), bool)
-    if not len(chosen):
-        return out
-    data = np.frombuffer(b"".join([texts[i] for i in chosen]), np.uint8)
-    strings = lengths[chosen] - LENGTH + 1
-    starts = ragged(offsets(lengths[chosen])[:-1], strings)
-    owner = np.repeat(np.arange(len(chosen)), strings)
-    hashed = _run_hashes(data, LENGTH)[starts] ^ _mixed(number[chosen][owner].astype(np.uint64))
-    order = np.argsort(hashed, kind="stable")  # a text's own strings stay together
-    hashed, owner = hashed[order], owner[order]
-    same = (hashed[1:] == hashed[:-1]) & (owner[1:] != owner[:-1])
-    out[owner[1:][same]] = True
-    out[owner[:-1][same]] = True
-    return out
-
-
-def _settle(chosen, texts, lengths, number, least, at, out) -> None:
+def _settle(chosen, data, begin, lengths, number, least, at, out) -> None:
     """Sort the suffixes of some routes' texts, and let the least id of equal strings count."""
     # One text for each route: its segments with a mark after each, the last one the least.
     total = lengths[chosen] + 1
     place = offsets(total)
     symbols = np.ones(place[-1], np.uint16)
     body = ragged(place[:-1], lengths[chosen])
-    symbols[body] = np.frombuffer(b"".join([texts[i] for i in chosen]), np.uint8)
+    symbols[body] = data[ragged(begin[chosen], lengths[chosen])]
     symbols[body] += 2
     last = np.flatnonzero(np.r_[number[chosen][1:] != number[chosen][:-1], True])
     symbols[place[1:][last] - 1] = 0
@@ -391,9 +440,9 @@ def _cuts(rows: pa.Table, least: np.ndarray, at: np.ndarray, text: np.ndarray) -
 
     ``text`` says which text each row has; ``least`` and ``at`` are of the texts.
     """
-    packed = rows["entries"].to_pylist()
-    sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // _ENTRY.itemsize
-    given = np.frombuffer(b"".join(packed), _ENTRY)
+    packed, begin = _bytes(rows["entries"])
+    sizes = np.diff(begin) // _ENTRY.itemsize
+    given = np.frombuffer(packed, _ENTRY)
     places, starts, ids = given["place"], given["start"], given["id"]
     row = np.repeat(np.arange(rows.num_rows), sizes)
     strings = np.diff(at)[text][row]
@@ -441,29 +490,34 @@ def _ranges(sent: DataFrame) -> DataFrame:
     """Ranges to remove, as lists for each block."""
     ordered = sent.repartition("route").sortWithinPartitions("kind", "route", "text", "least")
 
-    def settled(table: pa.Table) -> pa.Table:
-        """All segments of some anchors."""
-        route, texts = table["route"].to_numpy(), table["text"].to_pylist()
+    def new_texts(table: pa.Table) -> np.ndarray:
+        """Which rows have another route or text than the one before."""
+        route, texts = table["route"].to_numpy(), table["text"].combine_chunks()
         new = np.ones(len(texts), bool)
-        new[1:] = [a != b for a, b in zip(texts[1:], texts[:-1], strict=True)]
+        new[1:] = pc.not_equal(texts[1:], texts[:-1]).to_numpy(zero_copy_only=False)
         new[1:] |= route[1:] != route[:-1]
+        return new
+
+    def settled(table: pa.Table) -> pa.Table:
+        """All segments of some anchors."""
+        new = new_texts(table)
         first = np.flatnonzero(new)
         # Rows of a text come with the least id first.
+        texts = table["text"].combine_chunks().take(pa.array(first))
         least, at = _least_owner(
-            [texts[i] for i in first], route[first], table["least"].to_numpy()[first]
+            texts, table["route"].to_numpy()[first], table["least"].to_numpy()[first]
         )
         return _cuts(table, least, at, np.cumsum(new) - 1)
 
     def one_by_one(table: pa.Table, known: dict) -> pa.Table:
         """Strings of hot anchors: the first row of each has the least id of all its rows."""
-        route, texts = table["route"].to_numpy(), table["text"].to_pylist()
-        least = np.empty(len(texts), np.int64)
-        given = table["least"].to_pylist()
-        for i, key in enumerate(zip(route.tolist(), texts, strict=True)):
-            if known.get("key") != key:
-                known.update(key=key, least=given[i])
-            least[i] = known["least"]
-        return _cuts(table, least, np.arange(len(texts) + 1), np.arange(len(texts)))
+        new, given = new_texts(table), table["least"].to_numpy()
+        key = (table["route"][0].as_py(), table["text"][0].as_py())
+        new[0] = known.get("key") != key
+        first = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
+        least = np.where(first < 0, known.get("least", 0), given[first])
+        known.update(key=(table["route"][-1].as_py(), table["text"][-1].as_py()), least=int(least[-1]))
+        return _cuts(table, least, np.arange(len(new) + 1), np.arange(len(new)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_, known = None, {}
