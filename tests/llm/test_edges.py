@@ -20,6 +20,7 @@ from tremor.llm import (
     queries,
     shards,
     suffix_dedup,
+    suffixes,
     token_files,
     warc,
 )
@@ -205,6 +206,31 @@ def test_hot_strings_give_the_same(docs, monkeypatch):
     assert suffix_dedup.find_repeats(docs).orderBy("__row").collect() == plain
 
 
+@pytest.mark.parametrize("together", [1, 3, 16, 10_000])
+def test_suffix_arrays_in_step_and_alone(together, monkeypatch):
+    monkeypatch.setattr(suffixes, "TOGETHER", together)
+    random = np.random.default_rng(3)
+    for letters in (2, 4, 200):
+        sizes = [*random.integers(0, 30, 60).tolist(), 900, 2, 400]
+        texts = [[*random.integers(1, letters, n).tolist(), 0] for n in sizes]
+        texts[5] = [1] * 50 + [0]
+        symbols = np.array([c for text in texts for c in text], np.uint16)
+        order, bounds = suffix_arrays(symbols, np.array([len(t) for t in texts]))
+        for i, text in enumerate(texts):
+            expected = sorted(range(len(text)), key=lambda k, t=text: t[k:])
+            assert (order[bounds[i] : bounds[i + 1]] - bounds[i]).tolist() == expected
+
+
+def test_a_much_longer_text_takes_its_steps_alone(monkeypatch):
+    in_step, groups = [], suffixes._groups
+    monkeypatch.setattr(suffixes, "_groups", lambda s, *given: in_step.append(len(s)) or groups(s, *given))
+    lengths = np.array([10] * 40 + [5_000])
+    symbols = np.random.default_rng(4).integers(1, 5, lengths.sum(), np.uint16)
+    symbols[np.cumsum(lengths) - 1] = 0
+    suffix_arrays(symbols, lengths)
+    assert in_step == [400]
+
+
 def test_ends_that_no_other_segment_has_are_not_sorted(monkeypatch):
     core = bytes(range(60))
     texts = pa.array([b"x" * 5 + core, core + b"y" * 7, core + b"x" * 5], pa.binary())

@@ -388,12 +388,11 @@ def _sorted_owner(data, begin, lengths, number, least):
     if not len(chosen):
         return out, at
     total = np.bincount(number[chosen], lengths[chosen] + 1, minlength=number[-1] + 1)
-    # Texts of about one length go in step, so that none waits for much longer ones.
+    # Routes of about one length go in step; the shorter ones of a batch are done before the others.
     chosen = chosen[np.lexsort((number[chosen], total[number[chosen]]))]
-    step = np.log2(np.maximum(total[number[chosen]], 1)).astype(np.int64)
     part = np.cumsum(lengths[chosen] + 1) // STEP_SYMBOLS
     new = np.ones(len(chosen), bool)
-    new[1:] = (step[1:] != step[:-1]) | (part[1:] != part[:-1])
+    new[1:] = part[1:] != part[:-1]
     new[1:] &= number[chosen][1:] != number[chosen][:-1]
     cuts = np.flatnonzero(new)
     for lo, hi in zip(cuts, np.r_[cuts[1:], len(chosen)], strict=False):

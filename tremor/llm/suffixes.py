@@ -10,13 +10,18 @@ puts the suffix before the current one, and the smaller ones it points back to,
 place of their group. Nothing is renamed or sorted again.
 
 Both phases are steps of one text; here they run in step over all texts of a batch, as numpy
-operations on the members of the current group of every text.
+operations on the members of the current group of every text. A step costs much the same for one
+text as for TOGETHER of them, so that the few texts that are much longer than the others take
+their steps one by one instead, in the same two phases.
 """
 
 import numpy as np
 
 from tremor.llm.common import offsets, ragged
 
+#: Texts that are as dear in step as one by one.
+TOGETHER = 16
+
 
 def suffix_arrays(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The suffix arrays of consecutive texts, as places in ``symbols``.
@@ -24,9 +29,77 @@ def suffix_arrays(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray,
     Each text has to end with a symbol that is smaller than all others in it.
     """
     bounds = offsets(lengths)
-    text = np.repeat(np.arange(len(lengths)), lengths)
-    group, back = _groups(symbols, text, bounds)
-    return _emitted(group, back, bounds), bounds
+    if not len(symbols):
+        return np.zeros(0, np.int64), bounds
+    order = np.empty(len(symbols), np.int64)
+    usual = np.sort(lengths)[-TOGETHER] if len(lengths) >= TOGETHER else 0
+    alone = lengths > 2 * usual
+    for i in np.flatnonzero(alone).tolist():
+        lo, hi = bounds[i], bounds[i + 1]
+        order[lo:hi] = _alone(symbols[lo:hi])
+        order[lo:hi] += lo
+    rest = lengths[~alone]
+    at = ragged(bounds[:-1][~alone], rest)
+    if len(at):
+        inner = offsets(rest)
+        group, back = _groups(symbols[at], np.repeat(np.arange(len(rest)), rest), inner)
+        order[at] = at[_emitted(group, back, inner)]
+    return order, bounds
+
+
+def _alone(symbols: np.ndarray) -> list[int]:
+    """The suffix array of one text, step by step."""
+    size = len(symbols)
+    by_symbol = np.argsort(symbols, kind="stable")
+    first = np.flatnonzero(np.r_[True, np.diff(symbols[by_symbol].astype(np.int64)) != 0])
+    many = np.diff(np.r_[first, size])
+    slots, place, group, members = (np.zeros(size, np.int64) for _ in range(4))
+    slots[:] = by_symbol
+    place[by_symbol] = np.arange(size)
+    group[by_symbol] = np.repeat(first, many)
+    members[first] = many
+    slots, place, group, members = (x.tolist() for x in (slots, place, group, members))
+    back = list(range(-1, size - 1))
+    top = size
+    while top > 0:
+        start = group[slots[top - 1]]
+        times: dict[int, int] = {}
+        for i in slots[start:top]:
+            to = back[i]
+            while to >= 0 and group[to] >= start:
+                to = back[to]
+            back[i] = to
+            if to >= 0:
+                times[to] = times.get(to, 0) + 1
+        top = start
+        lifted: dict[tuple[int, int], list[int]] = {}
+        for to, n in times.items():
+            lifted.setdefault((-n, group[to]), []).append(to)
+        # Those that more members point to go first. What is lifted has a group of its own then.
+        for (_, old), moved in sorted(lifted.items()) if len(lifted) > 1 else lifted.items():
+            slot = old + members[old]
+            fresh = slot - len(moved)
+            for i in moved:
+                slot -= 1
+                there, free = slots[slot], place[i]
+                slots[free], slots[slot] = there, i
+                place[there], place[i] = free, slot
+                group[i] = fresh
+            members[old] -= len(moved)
+            members[fresh] = len(moved)
+    order, done, free = [-1] * size, [False] * size, list(range(size))
+    order[0] = size - 1
+    done[-1] = True
+    free[group[-1]] += 1
+    for rank in range(size):
+        to = order[rank] - 1
+        while to >= 0 and not done[to]:
+            head = group[to]
+            order[free[head]] = to
+            free[head] += 1
+            done[to] = True
+            to = back[to]
+    return order
 
 
 def _groups(symbols: np.ndarray, text: np.ndarray, bounds: np.ndarray):
